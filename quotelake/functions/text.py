@@ -121,10 +121,14 @@ def change_percent(c: Column | str) -> Column:
 
 
 def trade_day(c: Column | str) -> Column:
-    """``"Sun 07 Dec '25"`` to a date; the weekday name is not checked."""
+    """``"Sun 07 Dec '25"`` to a date; the weekday name is not checked.
+
+    Years 70 to 99 belong to the last century.
+    """
     text = F.trim(F.replace(_col(c), F.lit(MISSING_SIGN), F.lit("")))
     day = F.regexp_extract(text, r"^\S+\s+([0-9]{1,2}\s+[A-Za-z]{3}\s+'[0-9]{2})$", 1)
-    return F.try_to_timestamp(F.nullif(day, F.lit("")), F.lit("d MMM ''yy")).cast("date")
+    read = F.try_to_timestamp(F.nullif(day, F.lit("")), F.lit("d MMM ''yy")).cast("date")
+    return F.when(F.year(read) >= 2070, F.add_months(read, -1200)).otherwise(read)
 
 
 def quarter_start(c: Column | str) -> Column:

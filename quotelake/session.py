@@ -35,6 +35,7 @@ def local_session(cores: int | str = 8, app: str = "quotelake", **settings: str)
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in {**RUNTIME_SETTINGS, **settings}.items():

@@ -6,13 +6,8 @@ numbers instead of DECIMAL rounding.
 
 from __future__ import annotations
 
-NNBSP, MINUS, MISSING, DASH, LRE = " ", "−", "∅", "—", "‪"
-
 # --- shared inputs ----------------------------------------------------------
 
-_DAY = "strftime({0}, '%Y-%m-%d')"
-_TS = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
-
 
 def day(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d')"
@@ -141,7 +136,8 @@ _INPUTS = {
     "order_text": """SELECT *, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS kind,
   CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS plain,
   'Q' || quarter(o_orderdate) || ' ''' || strftime(o_orderdate, '%y') AS quarter_text,
-  CAST(date_trunc('quarter', o_orderdate) AS DATE) AS quarter_day FROM orders""",
+  make_date(2000 + CAST(strftime(o_orderdate, '%y') AS BIGINT), 3 * quarter(o_orderdate) - 2, 1)
+    AS quarter_day FROM orders""",
     "listed": """SELECT DISTINCT 'P' || (l_partkey + l_linenumber) AS symbol FROM lineitem""",
 }
 
@@ -520,7 +516,8 @@ ORACLES["financial_ratios"] = sql(
     "statements",
 )
 ORACLES["staged_financials"] = sql(
-    f"""SELECT symbol, company_name, sector, {day('q')} AS quarter,
+    f"""SELECT symbol, company_name, sector,
+    {day("make_date(2000 + year(q) % 100, month(q), 1)")} AS quarter,
     CAST(year(q) AS BIGINT) AS fiscal_year, CAST(NULL AS BIGINT) AS fiscal_quarter,
     {', '.join(f'coalesce({m}, 0) AS {m}' for m in _METRICS)}, {_RATIOS} FROM (
       SELECT s.symbol, s.quarter AS q, total_revenue, gross_profit, net_income,
@@ -569,9 +566,8 @@ ORACLES["quarter_parse"] = sql(
     f"""SELECT o_orderkey,
     CASE WHEN o_orderstatus = 'P' THEN 'H1 ' || strftime(o_orderdate, '%y') ELSE quarter_text END
       AS quarter,
-    CASE WHEN o_orderstatus <> 'P' THEN strftime(make_date(2000
-      + CAST(strftime(o_orderdate, '%y') AS BIGINT), 3 * quarter(o_orderdate) - 2, 1), '%Y-%m-%d')
-      END AS quarter_date FROM order_text""",
+    CASE WHEN o_orderstatus <> 'P' THEN {day('quarter_day')} END AS quarter_date
+    FROM order_text""",
     "order_text",
 )
 ORACLES["volume_parse"] = sql(
