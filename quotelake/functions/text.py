@@ -16,11 +16,12 @@ EM_DASH = "\u2014"
 EN_DASH = "\u2013"
 BIDI_MARKS = "\u202a\u202b\u202c\u202e\u202f"
 
-# Power of ten behind each magnitude letter.
+# The power of ten each magnitude letter stands for.
 MAGNITUDES = {"T": 12, "B": 9, "M": 6, "K": 3}
 
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
+# Letters in rising order, so that a letter's place gives its power of a thousand.
+_LETTERS = " KMBT"
+_NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
 
 def _col(c: Column | str) -> Column:
@@ -49,33 +50,29 @@ def strip_signs(c: Column | str) -> Column:
 
 
 def try_decimal(c: Column | str, precision: int = 38, scale: int = 10) -> Column:
-    """Plain decimal text to DECIMAL, null when it is anything else."""
-    text = _col(c)
-    return F.when(text.rlike(_PLAIN_NUMBER), text.try_cast(f"decimal({precision},{scale})"))
+    """Decimal text to DECIMAL, null when it is anything else."""
+    return _col(c).try_cast(f"decimal({precision},{scale})")
 
 
 def try_double(c: Column | str) -> Column:
-    """Number text to DOUBLE, null when it is anything else."""
-    text = F.trim(_col(c))
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    """Number text to DOUBLE, null when it is anything else, such as ``1d`` or ``NaN``."""
+    return F.regexp_extract(F.trim(_col(c)), _NUMBER, 0).try_cast("double")
 
 
-def parse_magnitude(
-    c: Column | str, letters: str = "TBMK", ignore_case: bool = False
-) -> Column:
+def parse_magnitude(c: Column | str, letters: str = "TBMK", ignore_case: bool = False) -> Column:
     """``'1.25 B'`` to 1250000000 as DECIMAL(38,10); unknown text gives null."""
-    text = strip_signs(c)
-    last = F.right(text, F.lit(1))
-    last = F.upper(last) if ignore_case else last
-    has_unit = last.isin(*letters)
-    body = F.when(has_unit, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
-    number = try_decimal(body)
-    factor = F.lit(1).cast("decimal(13,0)")
-    for letter in letters:
-        factor = F.when(
-            last == letter, F.lit(10 ** MAGNITUDES[letter]).cast("decimal(13,0)")
-        ).otherwise(factor)
-    return F.try_multiply(number, factor).try_cast("decimal(38,10)")
+    return magnitude_of(strip_signs(c), letters, ignore_case)
+
+
+def magnitude_of(text: Column | str, letters: str = "TBMK", ignore_case: bool = False) -> Column:
+    """``parse_magnitude`` for text that ``strip_signs`` has cleaned."""
+    value = F.upper(_col(text)) if ignore_case else _col(text)
+    shape = rf"^([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+))([{letters}]?)$"
+    number = try_decimal(F.regexp_extract(value, shape, 1))
+    thousands = F.array(*[F.lit(10 ** (3 * i)).cast("decimal(13,0)") for i in range(len(_LETTERS))])
+    # An empty letter is found at place 1, whose factor is one.
+    place = F.position(F.regexp_extract(value, shape, 2), F.lit(_LETTERS))
+    return F.try_multiply(number, F.get(thousands, place - F.lit(1))).try_cast("decimal(38,10)")
 
 
 def convert_units(c: Column | str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quotelake.functions.text import location_key, normalize_key
 from quotelake.operators.incremental import newer_than_target
 from quotelake.operators.latest import latest_by
-from quotelake.sources.bronze import member
+from quotelake.sources.bronze import members
 
 UNKNOWN = "Unknown"
 TEXT_ATTRIBUTES = (
@@ -21,15 +21,19 @@ TEXT_ATTRIBUTES = (
 
 def staged_companies(companies_raw: DataFrame) -> DataFrame:
     """Latest raw row per symbol with defaults for name, sector and market cap."""
-    raw = F.col("raw")
-    typed = companies_raw.select(
-        member(raw, "symbol").alias("symbol"),
-        F.coalesce(member(raw, "company_name"), F.lit("Unknown Company")).alias("company_name"),
-        F.coalesce(member(raw, "sector"), F.lit("Unclassified")).alias("sector"),
-        F.coalesce(member(raw, "market_cap", "double"), F.lit(0.0)).alias("market_cap"),
-        member(raw, "logo_url").alias("logo_url"),
+    text = members(
+        companies_raw,
+        ["symbol", "company_name", "sector", "market_cap", "logo_url"],
+        keep=["load_ts"],
+    )
+    typed = text.filter(F.col("symbol").isNotNull()).select(
+        "symbol",
+        F.coalesce("company_name", F.lit("Unknown Company")).alias("company_name"),
+        F.coalesce("sector", F.lit("Unclassified")).alias("sector"),
+        F.coalesce(F.col("market_cap").try_cast("double"), F.lit(0.0)).alias("market_cap"),
+        "logo_url",
         F.col("load_ts").alias("created_at"),
-    ).filter(F.col("symbol").isNotNull())
+    )
     return latest_by(typed, ["symbol"], ["created_at"])
 
 
@@ -50,11 +54,8 @@ def completed_companies(company: DataFrame) -> DataFrame:
 
 def company_attributes(companies_raw: DataFrame) -> DataFrame:
     """Raw company rows as text columns, one per row read."""
-    raw = F.col("raw")
     names = [n for n in TEXT_ATTRIBUTES if n != "logo_url"]
-    return companies_raw.select(
-        *[member(raw, name).alias(name) for name in names], "file_name", "load_ts"
-    )
+    return members(companies_raw, names, keep=["file_name", "load_ts"])
 
 
 def market_stats(

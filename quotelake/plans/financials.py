@@ -19,7 +19,7 @@ from quotelake.operators.incremental import newer_than_target
 from quotelake.operators.latest import latest_by
 from quotelake.operators.lookups import enrich
 from quotelake.schemas import STATEMENT_METRICS
-from quotelake.sources.bronze import INGEST_SYMBOL, member
+from quotelake.sources.bronze import INGEST_SYMBOL, members
 
 MONEY_METRICS = tuple(m for m in STATEMENT_METRICS if m not in ("eps", "gross_profit"))
 
@@ -43,14 +43,17 @@ def staged_financials(
 
     ``debt_to_asset_ratio`` is assets over liabilities, as the source defines it.
     """
-    raw = F.col("raw")
-    quarter = member(raw, ("quarter", "Quarter"))
-    typed = finance_raw.select(
-        F.coalesce(member(raw, INGEST_SYMBOL), member(raw, "symbol")).alias("symbol"),
-        F.coalesce(quarter_start(quarter), quarter.try_cast("date")).alias("quarter"),
-        member(raw, "fiscal_year", "int").alias("fiscal_year"),
-        member(raw, "fiscal_quarter", "int").alias("fiscal_quarter"),
-        *[member(raw, name, "double").alias(name) for name in STATEMENT_METRICS],
+    text = members(
+        finance_raw,
+        [INGEST_SYMBOL, "symbol", "quarter", "fiscal_year", "fiscal_quarter", *STATEMENT_METRICS],
+        keep=["load_ts"],
+        also={"quarter": "Quarter"},
+    )
+    typed = text.select(
+        F.coalesce(INGEST_SYMBOL, "symbol").alias("symbol"),
+        F.coalesce(quarter_start("quarter"), F.col("quarter").try_cast("date")).alias("quarter"),
+        *[F.col(name).try_cast("int").alias(name) for name in ("fiscal_year", "fiscal_quarter")],
+        *[F.col(name).try_cast("double").alias(name) for name in STATEMENT_METRICS],
         F.col("load_ts").alias("ingested_at"),
     ).filter(F.col("quarter").isNotNull())
     if target is not None:
@@ -86,12 +89,17 @@ def financial_ratios(rows: DataFrame) -> DataFrame:
 
 def text_financials(finance_raw: DataFrame) -> DataFrame:
     """Statement rows whose cells are display text such as ``1.2 B``, as numbers."""
-    raw = F.col("raw")
-    return finance_raw.select(
-        F.coalesce(member(raw, "symbol"), member(raw, INGEST_SYMBOL)).alias("symbol"),
-        quarter_start(member(raw, ("quarter", "Quarter"))).alias("quarter_date"),
-        *[parse_magnitude(member(raw, name)).alias(name) for name in MONEY_METRICS],
-        try_double(strip_signs(member(raw, "eps"))).alias("eps"),
+    text = members(
+        finance_raw,
+        ["symbol", INGEST_SYMBOL, "quarter", "eps", *MONEY_METRICS],
+        keep=["file_name", "load_ts"],
+        also={"quarter": "Quarter"},
+    )
+    return text.select(
+        F.coalesce("symbol", INGEST_SYMBOL).alias("symbol"),
+        quarter_start("quarter").alias("quarter_date"),
+        *[parse_magnitude(name).alias(name) for name in MONEY_METRICS],
+        try_double(strip_signs("eps")).alias("eps"),
         "file_name",
         "load_ts",
     )

@@ -21,7 +21,7 @@ from quotelake.operators.incremental import newer_than_target
 from quotelake.operators.latest import latest_by
 from quotelake.operators.lookups import enrich
 from quotelake.operators.series import CARRIED, SLICE, drop_carried, last_rows, with_lookback
-from quotelake.sources.bronze import INGEST_SYMBOL, member
+from quotelake.sources.bronze import INGEST_SYMBOL, members
 from quotelake.sources.loaders import BATCH_SOURCE
 
 SHORT_ROWS = 7
@@ -38,15 +38,15 @@ def unified_prices(
 
     One row per (symbol, trade_date, data_source): the latest load wins.
     """
-    raw = F.col("raw")
-    typed = prices_raw.select(
-        member(raw, INGEST_SYMBOL).alias("symbol"),
-        member(raw, "trade_date", "date").alias("trade_date"),
-        *[
-            member(raw, name, "double").cast(MONEY).alias(f"{name}_price")
-            for name in ("open", "high", "low", "close")
-        ],
-        member(raw, "volume", "bigint").alias("volume"),
+    quotes = ("open", "high", "low", "close")
+    text = members(
+        prices_raw, [INGEST_SYMBOL, "trade_date", *quotes, "volume"], keep=["load_ts"]
+    )
+    typed = text.select(
+        F.col(INGEST_SYMBOL).alias("symbol"),
+        F.col("trade_date").try_cast("date").alias("trade_date"),
+        *[F.col(name).try_cast(MONEY).alias(f"{name}_price") for name in quotes],
+        F.col("volume").try_cast("bigint").alias("volume"),
         F.col("load_ts").alias("ingested_at"),
     ).filter(F.col("trade_date").isNotNull() & F.col("close_price").isNotNull())
     if target is not None:
@@ -84,18 +84,20 @@ def latest_stock_prices(stock_price: DataFrame) -> DataFrame:
 
 def text_prices(prices_raw: DataFrame) -> DataFrame:
     """Prices whose cells are display text, cleaned; one row per (symbol, date)."""
-    raw = F.col("raw")
-
-    def price(name: str) -> Column:
-        return try_decimal(strip_signs(member(raw, name))).cast("double").alias(name)
-
-    typed = prices_raw.select(
-        F.coalesce(member(raw, "symbol"), member(raw, INGEST_SYMBOL)).alias("symbol"),
-        trade_day(member(raw, ("date", "Date"))).alias("date"),
-        *[price(name) for name in ("open", "high", "low", "close")],
-        change_percent(member(raw, "change")).alias("change_pct"),
-        parse_magnitude(member(raw, "volume")).cast("double").alias("volume"),
-        member(raw, "last_day").alias("last_day_raw"),
+    quotes = ("open", "high", "low", "close")
+    text = members(
+        prices_raw,
+        ["symbol", INGEST_SYMBOL, "date", *quotes, "change", "volume", "last_day"],
+        keep=["file_name", "load_ts"],
+        also={"date": "Date"},
+    )
+    typed = text.select(
+        F.coalesce("symbol", INGEST_SYMBOL).alias("symbol"),
+        trade_day("date").alias("date"),
+        *[try_decimal(strip_signs(name)).cast("double").alias(name) for name in quotes],
+        change_percent("change").alias("change_pct"),
+        parse_magnitude("volume").cast("double").alias("volume"),
+        F.col("last_day").alias("last_day_raw"),
         "file_name",
         "load_ts",
     )

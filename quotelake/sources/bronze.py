@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,22 +28,38 @@ def envelope(
     if symbol is not None:
         cells.append(symbol.alias(INGEST_SYMBOL))
     stamp = batch_ts if isinstance(batch_ts, Column) else F.lit(batch_ts)
-    text = F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})
     return rows.select(
         file_name.alias(FILE_NAME),
         stamp.cast("timestamp").alias("load_ts"),
-        F.parse_json(text).alias("raw"),
+        F.to_variant_object(F.struct(*cells)).alias("raw"),
     )
 
 
-def member(raw: Column, names: str | tuple[str, ...], kind: str = "string") -> Column:
-    """A member of the raw object as ``kind``, null when absent or not convertible.
+def members(
+    rows: DataFrame, names: Sequence[str], keep: Sequence[str] = (), also: dict[str, str] | None = None
+) -> DataFrame:
+    """Members of the raw object as text columns, null when absent.
 
-    Several names are tried in turn, for sources that spell a key differently.
+    All are read in one pass over the object; the caller casts the text. ``also``
+    names a second spelling of a member, read where the first is missing.
     """
-    wanted = (names,) if isinstance(names, str) else names
-    found = [F.try_variant_get(raw, f"$.{name}", kind) for name in wanted]
-    return found[0] if len(found) == 1 else F.coalesce(*found)
+    kind = "struct<" + ",".join(f"`{name}`:string" for name in names) + ">"
+    spelled = {
+        name: F.try_variant_get("raw", f"$.{other}", "string")
+        for name, other in (also or {}).items()
+    }
+    read = rows.select(
+        *keep,
+        F.try_variant_get("raw", "$", kind).alias("_members"),
+        *[value.alias(f"_also_{name}") for name, value in spelled.items()],
+    )
+    columns = [
+        F.coalesce(f"_members.{name}", f"_also_{name}").alias(name)
+        if name in spelled
+        else F.col(f"_members.{name}").alias(name)
+        for name in names
+    ]
+    return read.select(*keep, *columns)
 
 
 def real_symbols(price_files: DataFrame, finance_files: DataFrame) -> DataFrame:

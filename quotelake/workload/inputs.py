@@ -197,10 +197,9 @@ def raw_rows(df: DataFrame, file_name: Column | str, load_ts: Column) -> DataFra
     """Rows as a bronze table (file_name, load_ts, raw)."""
     name = F.lit(file_name) if isinstance(file_name, str) else file_name
     cells = [c for c in df.columns if not c.startswith("_meta_")]
-    text = F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})
     return df.select(
         name.alias("file_name"), load_ts.cast("timestamp").alias("load_ts"),
-        F.parse_json(text).alias("raw"),
+        F.to_variant_object(F.struct(*cells)).alias("raw"),
     )
 
 

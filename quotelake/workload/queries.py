@@ -975,13 +975,14 @@ def bronze_load(spark, sf):
     )
     rows.write.partitionBy("s_nationkey").option("header", True).csv(folder)
     bronze.load_bronze(spark, folder, table, datetime(2024, 2, 1))
-    raw = F.col("raw")
-    return bronze.read_bronze(spark, table).select(
-        bronze.member(raw, "s_suppkey", "bigint").alias("s_suppkey"),
-        bronze.member(raw, "s_name").alias("s_name"),
-        bronze.member(raw, "s_acctbal", "double").alias("s_acctbal"),
-        bronze.member(raw, "absent").alias("absent"),
-        F.col("load_ts"),
+    text_rows = bronze.members(
+        bronze.read_bronze(spark, table), ["s_suppkey", "s_name", "s_acctbal", "absent"], ["load_ts"]
+    )
+    return text_rows.withColumns(
+        {
+            "s_suppkey": F.col("s_suppkey").cast("bigint"),
+            "s_acctbal": F.col("s_acctbal").cast("double"),
+        }
     )
 
 
