@@ -124,8 +124,8 @@ def trade_day(c: Column | str) -> Column:
     """
     text = F.trim(F.replace(_col(c), F.lit(MISSING_SIGN), F.lit("")))
     day = F.regexp_extract(text, r"^\S+\s+([0-9]{1,2}\s+[A-Za-z]{3}\s+'[0-9]{2})$", 1)
-    read = F.try_to_timestamp(F.nullif(day, F.lit("")), F.lit("d MMM ''yy")).cast("date")
-    return F.when(F.year(read) >= 2070, F.add_months(read, -1200)).otherwise(read)
+    century = F.when(F.right(day, F.lit(2)) >= "70", -1200).otherwise(0)
+    return F.add_months(F.try_to_timestamp(day, F.lit("d MMM ''yy")), century)
 
 
 def quarter_start(c: Column | str) -> Column:

@@ -41,25 +41,28 @@ def members(
     """Members of the raw object as text columns, null when absent.
 
     All are read in one pass over the object; the caller casts the text. ``also``
-    names a second spelling of a member, read where the first is missing.
+    names a second spelling of a member, read where the first is missing. The
+    members come out of a generator, so a filter on them is not moved below it,
+    where the object would be read a second time.
     """
+    second = [(name, other) for name, other in (also or {}).items()]
     kind = "struct<" + ",".join(f"`{name}`:string" for name in names) + ">"
-    spelled = {
-        name: F.try_variant_get("raw", f"$.{other}", "string")
-        for name, other in (also or {}).items()
-    }
     read = rows.select(
         *keep,
-        F.try_variant_get("raw", "$", kind).alias("_members"),
-        *[value.alias(f"_also_{name}") for name, value in spelled.items()],
+        *[
+            F.try_variant_get("raw", f"$.{other}", "string").alias(f"_also_{name}")
+            for name, other in second
+        ],
+        F.inline(F.array(F.try_variant_get("raw", "$", kind))),
+    )
+    spelled = dict(second)
+    return read.select(
+        *keep,
+        *[
+            F.coalesce(name, f"_also_{name}").alias(name) if name in spelled else F.col(name)
+            for name in names
+        ],
     )
-    columns = [
-        F.coalesce(f"_members.{name}", f"_also_{name}").alias(name)
-        if name in spelled
-        else F.col(f"_members.{name}").alias(name)
-        for name in names
-    ]
-    return read.select(*keep, *columns)
 
 
 def real_symbols(price_files: DataFrame, finance_files: DataFrame) -> DataFrame:

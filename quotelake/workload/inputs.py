@@ -22,6 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer splits than cores, dealt out evenly.
+
+    A table in many files is left alone, so this costs a shuffle only where a
+    single file would keep all parsing and sorting in one task.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def money(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast(MONEY)
 
@@ -98,7 +108,7 @@ def tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stock_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The large price table; a part and day may hold several rows."""
     base = money("l_extendedprice")
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("price_id"),
         F.col("l_partkey").cast("int").alias("company_id"),
         F.to_date("l_shipdate").alias("trade_date"),
@@ -275,7 +285,7 @@ def finance_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text statements, one per order."""
     kind = priority_kind()
     total = F.col("o_totalprice")
-    cells = table(spark, sf_dir, "orders").select(
+    cells = spread(table(spark, sf_dir, "orders")).select(
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("_ingest_symbol"),
         F.when(F.col("o_orderstatus") != "P", quarter_text(F.col("o_orderdate")))
         .otherwise("TTM")

@@ -144,7 +144,7 @@ def _text_prices_raw(spark, sf):
     base = inputs.money("l_extendedprice")
     kind = F.col("l_linenumber") % 5 + 1
     day = F.to_date("l_shipdate")
-    cells = inputs.table(spark, sf, "lineitem").select(
+    cells = inputs.spread(inputs.table(spark, sf, "lineitem")).select(
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("symbol"),
         F.date_format(day, "E dd MMM ''yy").alias("date"),
         base.cast("string").alias("open"),
