@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
+_JSON_NAMES = {"int": "integer", "bigint": "long"}
+
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _schema(columns: str) -> T.StructType:
+    """Columns as ``name type``; unlike Spark's own DDL reader it needs no session."""
+    fields = re.findall(r"(`[^`]+`|\w+)\s+(\w+(?:\(\d+,\d+\))?)", columns)
+    return T.StructType.fromJson(
+        {
+            "fields": [
+                {"name": n.strip("`"), "type": _JSON_NAMES.get(t, t), "nullable": True,
+                 "metadata": {}}
+                for n, t in fields
+            ]
+        }
+    )
 
 
 BRONZE = _schema("file_name string, load_ts timestamp, raw variant")

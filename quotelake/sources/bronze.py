@@ -13,6 +13,7 @@ from quotelake.sources.files import (
     file_status,
     list_files,
     new_files,
+    readable_paths,
     scan_csv_text,
     symbol_of,
 )
@@ -106,7 +107,7 @@ def load_bronze(
     fresh = [r[0] for r in new_files(listing, history).select(FILE_NAME).collect()]
     if not fresh:
         return file_status(listing, history, history)
-    rows = scan_csv_text(spark, fresh)
+    rows = scan_csv_text(spark, readable_paths(fresh))
     if symbols is not None:
         loaded = envelope(companies_with_data(rows, symbols), F.col(FILE_NAME), batch_ts)
     else:

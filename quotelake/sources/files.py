@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
 from datetime import datetime, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,11 +28,20 @@ ROUTES = (
 def symbol_of(path: Column, suffix: str = ".csv") -> Column:
     """Symbol from a file path: last part without the suffix, trimmed, upper case."""
     last = F.element_at(F.split(path, "/"), -1)
-    return F.upper(F.trim(F.replace(F.url_decode(last), F.lit(suffix), F.lit(""))))
+    plain = F.url_decode(F.replace(last, F.lit("+"), F.lit("%2B")))
+    return F.upper(F.trim(F.replace(plain, F.lit(suffix), F.lit(""))))
+
+
+def readable_paths(names: Iterable[str]) -> list[str]:
+    """File names as listed (percent-encoded) to paths a reader takes literally."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(name)) for name in names]
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """One row per file: file_name, bytes, modified. File contents are not read."""
+    """One row per file: file_name, bytes, modified. File contents are not read.
+
+    Files of no bytes are not listed.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -93,7 +104,7 @@ def scan_csv_text(
             continue
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         # With one layout the folder itself is scanned; else the files of the group.
-        source = paths if len(layouts) == 1 else layout["files"]
+        source = paths if len(layouts) == 1 else readable_paths(layout["files"])
         reader = spark.read.schema(schema).option("header", True).option("multiLine", False)
         reader = reader.option("recursiveFileLookup", True)
         for name, value in options.items():
