@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,20 +11,6 @@ MARKET_OPENS = "10:00:00"
 MARKET_CLOSES = "14:30:00"
 
 
-def clock(value: Column | datetime | date | str) -> Column:
-    """An injected clock value as a column."""
-    return value if isinstance(value, Column) else F.lit(value)
-
-
-def months_before(as_of: Column | datetime | date | str, months: int) -> Column:
-    return F.add_months(clock(as_of).cast("date"), -months)
-
-
-def within(time: Column, as_of: Column | datetime | str, span: str) -> Column:
-    """``time`` lies after ``as_of`` minus ``span``, e.g. ``'5 minutes'``."""
-    return time > clock(as_of) - F.expr(f"INTERVAL {span}")
-
-
 def market_state(utc_time: Column) -> Column:
     """OPEN from Sunday to Thursday between 10:00 and 14:30 local time, both included.
 

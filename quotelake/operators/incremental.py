@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.operators.latest import latest_by
+from quotelake.operators.ranges import Clock, moment
 from quotelake.session import scratch_path
 
 # Fixed value: the watermark of an empty target.
@@ -30,8 +31,11 @@ def newer_than_target(updates: DataFrame, target: DataFrame, column: str) -> Dat
 
 def latest_day_only(df: DataFrame, column: str) -> DataFrame:
     """Rows of the last calendar day found in ``column``."""
-    last = df.select(F.max(F.to_date(column)).alias("last"))
-    return df.filter(F.to_date(column) == last.scalar())
+    kind = df.schema[column].dataType
+    last = F.to_date(F.max(column))
+    first = df.select(last.cast(kind).alias("first")).scalar()
+    end = df.select(F.date_add(last, 1).cast(kind).alias("end")).scalar()
+    return df.filter((F.col(column) >= first) & (F.col(column) < end))
 
 
 def merge_upsert(
@@ -88,13 +92,12 @@ def sync_schema(target: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def split_retention(
-    df: DataFrame, column: str, as_of: Column | date | datetime | str, days: int
+    df: DataFrame, column: str, as_of: Clock, days: int
 ) -> tuple[DataFrame, DataFrame]:
     """(rows to keep, rows to archive): archived rows lie more than ``days`` back."""
-    today = (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("date")
-    cut = F.date_sub(today, days).cast(df.schema[column].dataType)
-    old = F.coalesce(F.col(column) < cut, F.lit(False))
-    return df.filter(~old), df.filter(old)
+    cut = moment(df, column, as_of, lambda now: F.date_sub(now.cast("date"), days))
+    stamp = F.col(column)
+    return df.filter((stamp >= cut) | stamp.isNull()), df.filter(stamp < cut)
 
 
 def upsert_table(

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.functions.calendar import within
 from quotelake.operators.incremental import latest_day_only
+from quotelake.operators.ranges import Clock, since
 
 
 class QualityError(RuntimeError):
@@ -113,10 +112,10 @@ def minimum_rows(rows: DataFrame, table: str, least: int, severity: str = "error
 
 
 def freshness(
-    rows: DataFrame, time: str, company: str, as_of: Column | datetime | str, span: str = "1 hour"
+    rows: DataFrame, time: str, company: str, as_of: Clock, span: str = "1 hour"
 ) -> DataFrame:
     """Rows, companies and the newest time in the last ``span``."""
-    return rows.filter(within(F.col(time), as_of, span)).agg(
+    return since(rows, time, as_of, span).agg(
         F.count("*").alias("records"),
         F.countDistinct(company).alias("companies"),
         F.max(time).alias("latest"),
@@ -124,10 +123,10 @@ def freshness(
 
 
 def freshness_check(
-    rows: DataFrame, table: str, time: str, as_of: Column | datetime | str, span: str = "1 hour"
+    rows: DataFrame, table: str, time: str, as_of: Clock, span: str = "1 hour"
 ) -> DataFrame:
     """One failure when nothing arrived in the last ``span``."""
-    counts = rows.filter(within(F.col(time), as_of, span)).agg(
+    counts = since(rows, time, as_of, span).agg(
         F.when(F.count("*") == 0, 1).otherwise(0).alias(time)
     )
     return _report(counts, "freshness", table, "error")

@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.functions.calendar import within
 from quotelake.functions.measures import index_label
 from quotelake.operators.latest import latest_by, top_rows
+from quotelake.operators.ranges import Clock, since
 
 # Fixed value: index tickers start with this.
 INDEX_PREFIX = "EGX"
 REPORT_ROWS = 10
 
-Clock = Column | datetime | str
-
 
 def is_index(prefix: str = INDEX_PREFIX) -> Column:
     return F.col("ticker").startswith(prefix)
@@ -47,7 +43,7 @@ def index_panel(ticks: DataFrame) -> DataFrame:
 
 def price_series(ticks: DataFrame, as_of: Clock, span: str = "30 minutes") -> DataFrame:
     return (
-        ticks.filter(within(F.col("time"), as_of, span))
+        since(ticks, "time", as_of, span)
         .select("time", "price", F.col("ticker").alias("metric"))
         .orderBy("time", "metric")
     )
@@ -66,21 +62,21 @@ def volume_ranking(
     ticks: DataFrame, as_of: Clock, span: str = "5 minutes", n: int = REPORT_ROWS
 ) -> DataFrame:
     """Stocks with the most volume in their newest tick of the span."""
-    recent = ticks.filter(~is_index() & within(F.col("time"), as_of, span))
+    recent = since(ticks, "time", as_of, span).filter(~is_index())
     latest = latest_ticks(recent, "company_name", "volume").filter("volume > 0")
     return top_rows(latest, "volume", "ticker", n).select("company_name", "volume")
 
 
 def active_tickers(ticks: DataFrame, as_of: Clock, span: str = "5 minutes") -> DataFrame:
-    recent = ticks.filter(within(F.col("time"), as_of, span))
+    recent = since(ticks, "time", as_of, span)
     return recent.agg(F.countDistinct("ticker").alias("tickers"))
 
 
 def average_price(ticks: DataFrame, as_of: Clock, span: str = "5 minutes") -> DataFrame:
-    recent = ticks.filter(within(F.col("time"), as_of, span))
+    recent = since(ticks, "time", as_of, span)
     return recent.agg(F.avg("price").alias("avg_price"))
 
 
 def total_volume(ticks: DataFrame, as_of: Clock, span: str = "5 minutes") -> DataFrame:
-    recent = ticks.filter(within(F.col("time"), as_of, span))
+    recent = since(ticks, "time", as_of, span)
     return recent.agg(F.sum("volume").alias("total_volume"))

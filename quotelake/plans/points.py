@@ -3,25 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.functions.calendar import clock
 from quotelake.operators.latest import latest_by, top_rows
+from quotelake.operators.ranges import Clock, moment, until
 
 # Index symbols, shown apart from stocks.
 INDEX_SYMBOLS = ("EGX30", "EGX30CAPPED", "EGX70EWI", "EGX100EWI")
 
-Clock = Column | datetime | str
-
-
-def recent_points(points: DataFrame, as_of: Clock, span: str) -> DataFrame:
-    """Points from ``as_of`` minus ``span``, included, up to ``as_of``, excluded."""
-    now, time = clock(as_of), F.col("time")
-    return points.filter((time >= now - F.expr(f"INTERVAL {span}")) & (time < now))
-
 
 def stocks_only(points: DataFrame, indices: Sequence[str] = INDEX_SYMBOLS) -> DataFrame:
     return points.filter(~F.col("symbol").isin(*indices))
@@ -31,13 +22,13 @@ def index_values(
     points: DataFrame, as_of: Clock, span: str = "24 hours", indices: Sequence[str] = INDEX_SYMBOLS
 ) -> DataFrame:
     """Last close of every index symbol."""
-    recent = recent_points(points, as_of, span).filter(F.col("symbol").isin(*indices))
+    recent = until(points, "time", as_of, span).filter(F.col("symbol").isin(*indices))
     last = latest_by(recent.select("symbol", "time", "close"), ["symbol"], ["time"])
     return last.select("symbol", "time", F.col("close").alias("value"))
 
 
 def volume_by_symbol(points: DataFrame, as_of: Clock, span: str = "24 hours") -> DataFrame:
-    recent = recent_points(stocks_only(points), as_of, span)
+    recent = until(stocks_only(points), "time", as_of, span)
     return recent.groupBy("symbol").agg(F.sum("volume").alias("value"))
 
 
@@ -62,7 +53,7 @@ def net_change(points: DataFrame, as_of: Clock, span: str = "7 days") -> DataFra
 
     A symbol with a single point has no difference and is left out.
     """
-    recent = recent_points(stocks_only(points), as_of, span)
+    recent = until(stocks_only(points), "time", as_of, span)
     ends = recent.groupBy("symbol").agg(
         F.min(F.struct("time", "close")).alias("_first"),
         F.max(F.struct("time", "close")).alias("_last"),
@@ -81,7 +72,7 @@ def net_movers(
 
 def volatility(points: DataFrame, as_of: Clock, n: int = 10, span: str = "7 days") -> DataFrame:
     """Highest high minus lowest low per symbol, from one aggregation."""
-    recent = recent_points(stocks_only(points), as_of, span)
+    recent = until(stocks_only(points), "time", as_of, span)
     ranges = recent.groupBy("symbol").agg((F.max("high") - F.min("low")).alias("value"))
     return top_rows(ranges, "value", "symbol", n)
 
@@ -91,15 +82,16 @@ def daily_last(points: DataFrame, as_of: Clock, span: str = "5 years") -> DataFr
 
     The current day ends at ``as_of``.
     """
-    recent = recent_points(points, as_of, span).withColumn(
+    recent = until(points, "time", as_of, span).withColumn(
         "_day", F.date_trunc("day", F.col("time"))
     )
     last = latest_by(
         recent.select("symbol", "_day", "time", "close"), ["symbol", "_day"], ["time"]
     )
+    now = moment(points, "time", as_of, lambda t: t)
     return last.select(
         "symbol",
-        F.least(F.col("_day") + F.expr("INTERVAL 1 DAY"), clock(as_of)).alias("time"),
+        F.least(F.col("_day") + F.expr("INTERVAL 1 DAY"), now).alias("time"),
         F.col("close").alias("value"),
     )
 
@@ -111,7 +103,7 @@ def latest_fields(
 
     ``field_rows`` are points in long form (symbol, time, field, value).
     """
-    recent = recent_points(stocks_only(field_rows), as_of, span).filter(
+    recent = until(stocks_only(field_rows), "time", as_of, span).filter(
         F.col("field").isin(*fields)
     )
     last = latest_by(recent, ["symbol", "field"], ["time"])

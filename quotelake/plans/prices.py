@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotelake.functions.calendar import months_before
 from quotelake.functions.measures import (
     mover_type,
     percent_change,
@@ -20,6 +17,7 @@ from quotelake.functions.text import change_percent, parse_magnitude, strip_sign
 from quotelake.operators.incremental import newer_than_target
 from quotelake.operators.latest import latest_by
 from quotelake.operators.lookups import enrich
+from quotelake.operators.ranges import Clock, since_months
 from quotelake.operators.series import CARRIED, SLICE, drop_carried, last_rows, with_lookback
 from quotelake.sources.bronze import INGEST_SYMBOL, members
 from quotelake.sources.loaders import BATCH_SOURCE
@@ -252,10 +250,10 @@ def market_snapshot(gold: DataFrame, companies: DataFrame) -> DataFrame:
     )
 
 
-def price_history(gold: DataFrame, as_of: Column | date | datetime | str, months: int = 6):
+def price_history(gold: DataFrame, as_of: Clock, months: int = 6) -> DataFrame:
     """The last months of every symbol, for charts."""
     return (
-        gold.filter(F.col("trade_date") >= months_before(as_of, months))
+        since_months(gold, "trade_date", as_of, months)
         .select(
             "symbol", "trade_date", "open_price", "high_price", "low_price", "close_price",
             "volume", "ma_7d", "ma_30d", "trend_signal", "data_source",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quotelake.functions.calendar import market_state
 from quotelake.functions.text import MINUS_SIGN, MISSING_SIGN, NARROW_SPACE
-from quotelake.session import tune
+from quotelake.session import scratch_path, tune
 
 MONEY = "decimal(18,4)"
 BATCH_TS = "2024-02-01 00:00:00"
@@ -69,15 +69,22 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def clock(spark: SparkSession, sf_dir: str) -> Column:
-    """The newest tick's time."""
-    return table(spark, sf_dir, "events").agg(F.max("ts")).scalar()
+def clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest tick's time, as a table of one row."""
+    return table(spark, sf_dir, "events").agg(F.max("ts").alias("now"))
 
 
-def midnight(spark: SparkSession, sf_dir: str) -> Column:
-    """The end of the newest tick's day."""
+def midnight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The end of the newest tick's day, as a table of one row."""
     day = F.date_trunc("day", F.max("ts")) + F.expr("INTERVAL 1 DAY")
-    return table(spark, sf_dir, "events").agg(day).scalar()
+    return table(spark, sf_dir, "events").agg(day.alias("now"))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder and read back as a table."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,20 +70,15 @@ def daily_prices_ticks(spark, sf):
     return prices.daily_prices(inputs.tick_bars(spark, sf))
 
 
-def _last_days(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(bars before the last five days, bars of the last five days)."""
-    cut = bars.select(F.date_sub(F.max("trade_date"), 5)).scalar()
-    return bars.filter(F.col("trade_date") <= cut), bars.filter(F.col("trade_date") > cut)
-
-
 @query
 def daily_prices_incremental(spark, sf):
     """Gold rows of the last five days, from these days and the carried rows."""
-    bars = inputs.tick_bars(spark, sf)
-    history, _ = _last_days(bars)
-    gold = prices.daily_prices(history)
-    fresh = prices.new_days(bars, gold)
-    return prices.daily_prices_increment(fresh, prices.carry_rows(history))
+    bars = inputs.stored(inputs.tick_bars(spark, sf), "bars")
+    cut = bars.select(F.date_sub(F.max("trade_date"), 5)).scalar()
+    history = bars.filter(F.col("trade_date") <= cut)
+    gold = inputs.stored(prices.daily_prices(history), "gold")
+    carried = inputs.stored(prices.carry_rows(history), "carry")
+    return prices.daily_prices_increment(prices.new_days(bars, gold), carried)
 
 
 @query
@@ -112,7 +107,7 @@ def market_snapshot(spark, sf):
 def price_history(spark, sf):
     """Six months of the gold fact before the newest day."""
     rows = inputs.part_prices(spark, sf)
-    newest = rows.agg(F.max("trade_date")).scalar()
+    newest = rows.agg(F.max("trade_date").alias("now"))
     return prices.price_history(prices.daily_prices(rows), newest)
 
 
@@ -211,11 +206,13 @@ def index_performance(spark, sf):
 @query
 def index_performance_incremental(spark, sf):
     """Index days past the newest loaded one, using only that day of the past."""
-    bars = inputs.part_prices(spark, sf)
+    bars = inputs.stored(inputs.part_prices(spark, sf), "bars")
     members = _members(spark, sf)
     loaded = bars.select(F.date_sub(F.max("trade_date"), 30)).scalar()
     old = indices.index_days(members, bars.filter(F.col("trade_date") <= loaded))
-    last = latest.latest_by(old, ["index_code", "index_name"], ["trade_date"])
+    last = inputs.stored(
+        latest.latest_by(old, ["index_code", "index_name"], ["trade_date"]), "index_days"
+    )
     fresh = bars.filter(F.col("trade_date") > loaded)
     return indices.index_performance(members, fresh, last)
 
@@ -840,7 +837,7 @@ def merge_prices(spark, sf):
 def archive_split(spark, sf):
     """Rows and dates on either side of the retention limit."""
     rows = inputs.stock_price(spark, sf).select("price_id", "trade_date")
-    newest = rows.agg(F.max("trade_date")).scalar()
+    newest = rows.agg(F.max("trade_date").alias("now"))
     kept, expired = incremental.split_retention(rows, "trade_date", newest, 360)
 
     def summary(df: DataFrame, side: str) -> DataFrame:
