@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 10_000
 RANGES = 256
 
 

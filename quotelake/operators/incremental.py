@@ -111,14 +111,18 @@ def upsert_table(
     """Merge updates into a parquet table partitioned by a key column.
 
     A row never leaves its partition because ``partition`` is part of the key,
-    so only the partitions the updates touch are read and rewritten. The merged
-    rows are staged in the shared folder first: the table is never read while
-    it is being replaced.
+    so only the partitions the updates touch are read and rewritten. Their names
+    are a list bounded by the calendar. Updates and merged rows are staged in
+    the shared folder: the updates are computed once, and the table is never
+    read while it is being replaced.
     """
     if partition not in keys:
         raise ValueError(f"{partition} has to be one of the keys {list(keys)}")
-    target = spark.read.parquet(path)
-    touched = target.join(updates.select(partition).distinct(), partition, "left_semi")
+    arriving = scratch_path(spark, "updates")
+    updates.write.parquet(arriving)
+    updates = spark.read.parquet(arriving)
+    values = [row[0] for row in updates.select(partition).distinct().collect()]
+    touched = spark.read.parquet(path).filter(F.col(partition).isin(values))
     staged = scratch_path(spark, "merge")
     merge_upsert(touched, updates, keys, order).write.parquet(staged)
     write_partitions(spark.read.parquet(staged), path, partition)

@@ -38,11 +38,15 @@ def current_membership(membership: DataFrame, index: DataFrame, company: DataFra
     )
 
 
-def index_days(members: DataFrame, prices: DataFrame) -> DataFrame:
+def index_days(
+    members: DataFrame, prices: DataFrame, one_row_per_day: bool = False
+) -> DataFrame:
     """Weighted index values per index and day.
 
     Open and close are sums over members, high and low the extremes of single
-    weighted prices. A member without a weight adds nothing.
+    weighted prices. A member without a weight adds nothing. Counting distinct
+    members moves every joined row to its (index, day, symbol) task; prices known
+    to hold one row per symbol and day are counted in the map tasks instead.
     """
     columns = members.select("index_code", "index_name", "symbol", "weight", "effective_date")
     quotes = prices.select(
@@ -56,12 +60,17 @@ def index_days(members: DataFrame, prices: DataFrame) -> DataFrame:
         F.min(weighted["low"]).alias("index_low"),
         F.sum(weighted["close"]).alias("index_close"),
         F.sum("volume").alias("total_volume"),
-        F.countDistinct("symbol").alias("constituents_count"),
+        (F.count("symbol") if one_row_per_day else F.countDistinct("symbol")).alias(
+            "constituents_count"
+        ),
     )
 
 
 def index_performance(
-    members: DataFrame, prices: DataFrame, previous: DataFrame | None = None
+    members: DataFrame,
+    prices: DataFrame,
+    previous: DataFrame | None = None,
+    one_row_per_day: bool = False,
 ) -> DataFrame:
     """Daily index values with change against the day before.
 
@@ -69,7 +78,7 @@ def index_performance(
     last index day already loaded, which is used and not repeated. One index has
     one row per day, so its window is bounded by the calendar.
     """
-    days = index_days(members, prices).withColumn("_new", F.lit(True))
+    days = index_days(members, prices, one_row_per_day).withColumn("_new", F.lit(True))
     if previous is not None:
         known = previous.select(*[c for c in days.columns if c != "_new"])
         days = days.unionByName(known.withColumn("_new", F.lit(False)))

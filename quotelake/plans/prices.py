@@ -156,17 +156,19 @@ def _gold_columns(rows: DataFrame) -> DataFrame:
     )
 
 
-def daily_prices(prices: DataFrame, slice_of: Column | None = None) -> DataFrame:
+def daily_prices(
+    prices: DataFrame, slice_of: Column | None = None, by_range: bool = False
+) -> DataFrame:
     """The gold daily fact.
 
     The input holds one row per symbol, day and source, so a symbol's series is
     as long as the calendar and one window per symbol is the plan with the
     fewest shuffles. For series without that bound, ``slice_of`` (for example
-    ``F.year("trade_date")``) cuts each symbol into slices that run apart, with
-    the same result.
+    ``F.year("trade_date")``) or ``by_range`` (slices of even size) cuts each
+    symbol into slices that run apart, with the same result.
     """
     rows = price_input(prices)
-    if slice_of is None:
+    if slice_of is None and not by_range:
         return _gold_columns(_indicators(rows, ["symbol"]))
     sliced = with_lookback(rows, ["symbol"], ["trade_date", "data_source"], slice_of, LOOKBACK_ROWS)
     computed = _indicators(sliced, ["symbol", SLICE])

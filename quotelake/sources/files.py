@@ -78,16 +78,20 @@ def scan_csv_text(
     paths: str | list[str],
     modified_after: datetime | None = None,
     glob: str = "*.csv",
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """All CSV files as text columns plus ``file_name``; missing cells are null.
 
     Files are grouped by their header line, because columns may differ between
     files; each group is one scan with an explicit schema. Columns a group lacks
-    are null. Empty files give no rows.
+    are null. Empty files give no rows. With ``columns`` all files are taken to
+    have that layout, which saves the pass over their first lines.
     """
     options: dict = {"pathGlobFilter": glob}
     if modified_after is not None:
         options["modifiedAfter"] = modified_after.strftime("%Y-%m-%dT%H:%M:%S")
+    if columns is not None:
+        return _scan_layout(spark, paths, columns, options)
     first = _first_lines(spark, paths, options)
     layouts = (
         first.groupBy("header")
@@ -102,20 +106,25 @@ def scan_csv_text(
         names = _column_names(layout["header"])
         if not names:
             continue
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         # With one layout the folder itself is scanned; else the files of the group.
         source = paths if len(layouts) == 1 else readable_paths(layout["files"])
-        reader = spark.read.schema(schema).option("header", True).option("multiLine", False)
-        reader = reader.option("recursiveFileLookup", True)
-        for name, value in options.items():
-            reader = reader.option(name, value)
-        rows = reader.csv(source).withColumn(FILE_NAME, F.col("_metadata.file_path"))
+        rows = _scan_layout(spark, source, names, options)
         merged = rows if merged is None else merged.unionByName(rows, allowMissingColumns=True)
     if merged is None:
         return spark.createDataFrame([], T.StructType([T.StructField(FILE_NAME, T.StringType())]))
     return merged
 
 
+def _scan_layout(
+    spark: SparkSession, paths: str | list[str], columns: Sequence[str], options: dict
+) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    reader = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True)
+    for name, value in options.items():
+        reader = reader.option(name, value)
+    return reader.csv(paths).withColumn(FILE_NAME, F.col("_metadata.file_path"))
+
+
 def _column_names(header: str | None) -> list[str]:
     """Header cells; blank ones are named by position and repeated ones numbered."""
     if not header or not header.strip():

@@ -64,6 +64,12 @@ def daily_prices_sliced(spark, sf):
     return prices.daily_prices(inputs.part_prices(spark, sf), F.year("trade_date"))
 
 
+@query
+def daily_prices_ranged(spark, sf):
+    """The same fact with all rows cut into ranges of even size."""
+    return prices.daily_prices(inputs.part_prices(spark, sf), by_range=True)
+
+
 @query
 def daily_prices_ticks(spark, sf):
     """Gold daily fact over bars built from ticks."""
@@ -200,7 +206,9 @@ def index_membership(spark, sf):
 
 @query
 def index_performance(spark, sf):
-    return indices.index_performance(_members(spark, sf), inputs.part_prices(spark, sf))
+    return indices.index_performance(
+        _members(spark, sf), inputs.part_prices(spark, sf), one_row_per_day=True
+    )
 
 
 @query
@@ -572,7 +580,7 @@ def dim_sector_dense(spark, sf):
 
 @query
 def dim_industry_dense(spark, sf):
-    """Customer names numbered in name order; large enough to be cut into ranges."""
+    """Customer names numbered in name order; cut into ranges once there are many."""
     rows = inputs.table(spark, sf, "customer").select(F.col("c_name").alias("industry"))
     return dimensions.numbered_dimension(rows, "industry")
 
@@ -707,11 +715,9 @@ def volume_share_24h(spark, sf):
 
 @query
 def consecutive_difference(spark, sf):
-    """Each tick's price against the one before it, in daily slices."""
+    """Each tick's price against the one before it, in slices of even size."""
     rows = inputs.ticks(spark, sf).select("ticker", "time", "price")
-    return series.consecutive_difference(
-        rows, "ticker", ["time"], "price", F.date_trunc("day", "time")
-    )
+    return series.consecutive_difference(rows, "ticker", ["time"], "price")
 
 
 @query

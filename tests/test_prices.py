@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from quotelake.operators.series import consecutive_difference, with_lookback
+from quotelake.operators.series import consecutive_difference, range_slices, with_lookback
 from quotelake.plans import indices, prices
 
 SCHEMA = (
@@ -34,6 +34,16 @@ def test_slices_change_nothing(spark):
     whole = as_set(prices.daily_prices(rows))
     for slice_of in (F.year("trade_date"), F.trunc("trade_date", "month"), F.col("trade_date")):
         assert as_set(prices.daily_prices(rows, slice_of)) == whole
+    assert as_set(prices.daily_prices(rows, by_range=True)) == whole
+
+
+def test_range_slices_split_a_hot_key_evenly(spark):
+    rows = bars(spark).select("symbol", "trade_date", "close_price")
+    ranged = range_slices(rows, ["symbol"], ["trade_date"], slices=12)
+    sizes = [r["n"] for r in ranged.groupBy("_slice").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 12 and max(sizes) < 2 * sum(sizes) / 12
+    steps = consecutive_difference(rows, "symbol", ["trade_date"], "close_price")
+    assert steps.count() == rows.count() - 3
 
 
 def test_chain_of_increments_equals_full_run(spark):

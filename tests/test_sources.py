@@ -148,3 +148,18 @@ def test_messages(spark):
     )
     assert {tuple(r) for r in messages.first_links(links).collect()} == {
         (1, "a", "/x"), (3, "c", "/y")}
+
+
+def test_typed_scan_and_known_layout(spark, tmp_path):
+    from quotelake.schemas import DAILY_PRICE_CSV
+
+    write(tmp_path, "prices/a.csv", "symbol,trade_date,open,high,low,close,volume\nA,2024-01-02,1,x,,2.5,7\n")
+    typed = files.scan_csv_typed(spark, f"{tmp_path}/prices", DAILY_PRICE_CSV)
+    assert tuple(typed.first()) == ("A", "2024-01-02", 1.0, None, None, 2.5, 7)
+    company = spark.createDataFrame([("A", 5)], "symbol string, company_id int")
+    loaded = loaders.load_prices(typed, company, BATCH).first()
+    assert (loaded["company_id"], float(loaded["high_price"]), loaded["volume"]) == (5, 2.5, 7)
+    known = files.scan_csv_text(
+        spark, f"{tmp_path}/prices", columns=["symbol", "trade_date", "open", "high"]
+    )
+    assert known.first()["high"] == "x"

@@ -112,3 +112,17 @@ def test_keyed_messages_round_trip(spark):
     sent = ticks.keyed_messages(rows)
     assert sent.columns == ["key", "value"]
     assert ticks.decode_ticks(sent).first()["price"] == 1.5
+
+
+def test_tick_table_has_one_folder_per_day(spark, tmp_path):
+    from quotelake.sources.sinks import write_ticks
+
+    rows = spark.createDataFrame(
+        [("A", START, 1.0), ("B", START + timedelta(days=1), 2.0)],
+        "ticker string, time timestamp, price double",
+    )
+    path = f"{tmp_path}/ticks"
+    write_ticks(rows, path)
+    assert sorted(d for d in os.listdir(path) if "=" in d) == [
+        "trade_date=2024-01-07", "trade_date=2024-01-08"]
+    assert spark.read.parquet(path).filter("trade_date = '2024-01-08'").count() == 1
