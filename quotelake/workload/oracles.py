@@ -786,6 +786,32 @@ ORACLES["dq_report"] = sql(
       WHERE time > (SELECT now FROM clock) - INTERVAL 1 HOUR)""",
     "company", "market_stat", "stock_price", "ticks", "clock",
 )
+ORACLES["gold_checks"] = gold(
+    """SELECT "check", 'gold_daily_prices' AS "table", "column", severity,
+      CAST(failures AS BIGINT) AS failures FROM (
+    SELECT 'not_null' AS "check", 'symbol' AS "column", 'error' AS severity,
+      count(*) FILTER (WHERE symbol IS NULL) AS failures FROM gold
+    UNION ALL SELECT 'not_null', 'trade_date', 'error',
+      count(*) FILTER (WHERE trade_date IS NULL) FROM gold
+    UNION ALL SELECT 'not_null', 'close_price', 'error',
+      count(*) FILTER (WHERE close_price IS NULL) FROM gold
+    UNION ALL SELECT 'not_null', 'price_change', 'error',
+      count(*) FILTER (WHERE price_change IS NULL) FROM gold
+    UNION ALL SELECT 'unique', 'symbol,trade_date', 'error', count(*) FROM
+      (SELECT symbol, trade_date FROM gold GROUP BY 1, 2 HAVING count(*) > 1)
+    UNION ALL SELECT 'accepted_values', 'trend_signal', 'error', count(*) FROM gold
+      WHERE trend_signal NOT IN ('BULLISH', 'BEARISH', 'NEUTRAL')
+    UNION ALL SELECT 'accepted_values', 'volume_signal', 'error', count(*) FROM gold
+      WHERE volume_signal NOT IN ('HIGH', 'NORMAL', 'LOW')
+    UNION ALL SELECT 'accepted_values', 'data_source', 'warn', count(*) FROM gold
+      WHERE data_source NOT IN ('A', 'N')
+    UNION ALL SELECT 'relationships', 'trade_date', 'error', count(*) FROM gold
+      WHERE trade_date NOT BETWEEN (SELECT min(l_shipdate) FROM lineitem)
+        AND (SELECT max(l_shipdate) FROM lineitem)
+    UNION ALL SELECT 'expression_is_true', 'volume', 'error', count(*) FROM gold
+      WHERE NOT volume >= 0)""",
+    "part_prices",
+)
 ORACLES["row_counts"] = """SELECT 'company' AS table_name, count(*) AS rows FROM part
     UNION ALL SELECT 'market_stat', count(*) FROM orders
     UNION ALL SELECT 'stock_price', count(*) FROM lineitem

@@ -781,6 +781,26 @@ def dq_report(spark, sf):
     )
 
 
+@query
+def gold_checks(spark, sf):
+    """The declared checks of the gold price fact, over the stored fact."""
+    gold = inputs.stored(prices.daily_prices(inputs.part_prices(spark, sf)), "gold")
+    name = "gold_daily_prices"
+    bounds = inputs.table(spark, sf, "lineitem").agg(
+        F.to_date(F.min("l_shipdate")).alias("first"), F.to_date(F.max("l_shipdate")).alias("last")
+    )
+    days = dimensions.date_dimension(dimensions.days_between(bounds, "first", "last"))
+    return quality.combine(
+        quality.not_null(gold, name, ["symbol", "trade_date", "close_price", "price_change"]),
+        quality.unique(gold, name, ["symbol", "trade_date"]),
+        quality.accepted_values(gold, name, "trend_signal", ["BULLISH", "BEARISH", "NEUTRAL"]),
+        quality.accepted_values(gold, name, "volume_signal", ["HIGH", "NORMAL", "LOW"]),
+        quality.accepted_values(gold, name, "data_source", ["A", "N"], "warn"),
+        quality.relationships(gold, name, "trade_date", days, "date"),
+        quality.expression_is_true(gold, name, "volume", F.col("volume") >= 0),
+    )
+
+
 @query
 def row_counts(spark, sf):
     return quality.row_counts(
