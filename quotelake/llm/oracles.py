@@ -117,7 +117,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM based
 """
 
+EMBEDDINGS = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT vec_id AS v, vec_id AS r FROM embeddings
+  UNION SELECT reach.v, links.b FROM reach JOIN links ON reach.r = links.a
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+       component_id, vec_id = component_id AS kept
+FROM embeddings JOIN (SELECT v, min(r) AS component_id FROM reach GROUP BY v) ON v = vec_id
+"""
+
 ORACLES = {
+    "op7_embedding_near_dedup": EMBEDDINGS,
     "op1_line_dedup": LINE_DEDUP,
     "op4_chat_format": CHAT_FORMAT,
     "op6_sharding": SHARDING,

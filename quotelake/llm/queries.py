@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import chat, line_dedup, quality_rules, sharding
+from quotelake.llm import (
+    chat,
+    embedding_dedup,
+    line_dedup,
+    near_dedup,
+    quality_rules,
+    sharding,
+)
 
 SHARD_BYTES = 1 << 20
 
@@ -50,6 +57,15 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return near_dedup.near_duplicates(docs, percent=85, width=3)
+
+
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
@@ -70,6 +86,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op4_chat_format": op4_chat_format,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op6_sharding": op6_sharding,
     "op9_quality_rules": op9_quality_rules,
 }
