@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.session import scratch_path
@@ -41,8 +43,6 @@ def staged(df: DataFrame, name: str, *partitions: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def literal_table(spark: SparkSession, values: list, kind: str) -> Column:
+def literal_table(values: list, kind: str) -> Column:
     """A bounded list as one folded literal of type ``array<kind>``."""
-    import json
-
     return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), f"array<{kind}>")

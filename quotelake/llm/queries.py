@@ -9,12 +9,16 @@ from quotelake.llm import (
     chat,
     embedding_dedup,
     line_dedup,
+    mixing,
     near_dedup,
+    quality_classifier,
     quality_rules,
     sharding,
 )
+from quotelake.llm.common import held_out
 
 SHARD_BYTES = 1 << 20
+TARGETS = {"clean": 0.94, "toxic": 0.02, "low": 0.04}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +34,29 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", sha256(F.col("text")).alias("kept_sha256"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"), 0))
+    scores = quality_classifier.score_quality(table(spark, sf_dir, "documents"), labels)
+    return scores.select(
+        "doc_id",
+        held_out(F.col("doc_id"), 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = mixing.label_domains(table(spark, sf_dir, "labels"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), labelled, TARGETS)
+    return mixed.select(
+        "doc_id",
+        "tokens",
+        *[F.round(F.col("posterior")[d], 6).alias(f"p_{d}") for d in sorted(TARGETS)],
+        F.round("rate", 6).alias("rate"),
+        "copies",
+    )
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame(
@@ -85,6 +112,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_mixing": op3_mixing,
     "op4_chat_format": op4_chat_format,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
