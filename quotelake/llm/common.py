@@ -36,7 +36,7 @@ def staged(df: DataFrame, name: str, *partitions: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write.option("compression", "zstd")
+    writer = df.write
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(path)

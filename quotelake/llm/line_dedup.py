@@ -85,7 +85,6 @@ class LineRuns:
         name, path = f"line_run_{uuid.uuid4().hex}", scratch_path(self.spark, "line-run")
         (
             run.write.format("parquet")
-            .option("compression", "zstd")
             .bucketBy(self.buckets, "h1", "h2")
             .sortBy("h1", "h2")
             .option("path", path)
