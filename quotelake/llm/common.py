@@ -44,5 +44,6 @@ def staged(df: DataFrame, name: str, *partitions: str) -> DataFrame:
 
 
 def literal_table(values: list, kind: str) -> Column:
-    """A bounded list as one folded literal of type ``array<kind>``."""
-    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), f"array<{kind}>")
+    """A bounded flat list as one folded literal of type ``array<kind>``."""
+    text = json.dumps(values, separators=(",", ":"))
+    return F.from_json(F.lit(text), f"array<{kind}>")

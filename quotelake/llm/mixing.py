@@ -161,12 +161,13 @@ def mix(
     labelled: DataFrame,
     targets: dict[str, float],
     total: float | None = None,
+    rounding: str = "hash",
 ) -> DataFrame:
     """(doc_id, tokens, posterior, rate, copies) per row of ``docs``.
 
     ``labelled`` has (doc_id, domain); ``targets`` has the share of each domain.
     ``copies`` is the rate rounded up or down by a hash of doc_id, so that it has
-    the rate as its mean. Null and empty texts have no tokens: they follow the prior
+    the rate as its mean, or with ``rounding="nearest"`` the nearest number. Null and empty texts have no tokens: they follow the prior
     and do not count. Repeated rows are rated one by one; a null doc_id is rated
     like others; an empty table gives no rows. Only doc_id and text are read.
     """
@@ -177,12 +178,15 @@ def mix(
     rated = members.withColumn("rate", F.round(rate, 9))
     drawn = F.pmod(F.xxhash64(F.lit("copies"), "doc_id"), F.lit(UNIT)) / F.lit(float(UNIT))
     whole = F.floor("rate")
+    up = drawn < F.col("rate") - whole
+    if rounding == "nearest":
+        up = F.col("rate") - whole >= 0.5
     return rated.select(
         "doc_id",
         F.col("t").cast("long").alias("tokens"),
         F.map_from_arrays(F.array(*map(F.lit, domains)), F.col("p")).alias("posterior"),
         "rate",
-        (whole + (drawn < F.col("rate") - whole).cast("long")).alias("copies"),
+        (whole + F.coalesce(up, F.lit(False)).cast("long")).alias("copies"),
     )
 
 

@@ -1,9 +1,9 @@
 """Near-duplicate documents from bottom-k sketches of one hash function.
 
 The k smallest shingle hashes of a document are its sketch. Documents whose
-Jaccard similarity is at least t share, but for a chance below 1e-5, ``need`` of
-the values in two sketches (all of it when both sets are smaller than k), so a
-link must show in the inverted lists of the rarest ``size - need + 1`` values of
+Jaccard similarity is at least t share, but for a chance below 1e-5, a number
+``need`` of the values in two sketches (five standard deviations below the mean;
+small sets are whole in their sketch and share what t asks), so a link must show in the inverted lists of the rarest ``size - need + 1`` values of
 each side. Passages that many documents share fall outside these lists unless
 they make up the documents. Within a list a hub is compared with the members of
 other components, round by round, until few pairs are left; then all of those
@@ -27,7 +27,12 @@ from quotelake.llm.components import components
 from quotelake.llm.shingles import Shingler, mix
 
 SKETCH = 32
-NEED = 17  # of SKETCH values; P(fewer | similarity 0.8 or more) is below 1e-3, at 0.85 below 1e-5
+
+
+def least_overlap(percent: int, k: int) -> int:
+    """Values two sketches share at the similarity, less five standard deviations."""
+    t = percent / 100
+    return max(1, math.floor(k * t - 5 * math.sqrt(k * t * (1 - t))))
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:
@@ -86,7 +91,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
 
 def _need(size, percent: int, k: int):
     whole = F.ceil(size * F.lit(percent) / F.lit(100))
-    return F.least(whole, F.lit(math.ceil(NEED * k / SKETCH))).cast("int")
+    return F.least(whole, F.lit(least_overlap(percent, k))).cast("int")
 
 
 def prefix_lists(heads: DataFrame, percent: int, k: int) -> DataFrame:
@@ -121,7 +126,7 @@ def _similar(pairs: DataFrame, heads: DataFrame, sets: DataFrame, percent: int,
         sized.join(left, "a")
         .join(right, "b")
         .withColumn("u", union)
-        .where(SKETCH * both >= (NEED - 1) * F.size("u"))
+        .where(k * both >= (least_overlap(percent, k) - 1) * F.size("u"))
         .select("a", "b")
     )
     full_a = sets.select(F.col("doc_id").alias("a"), F.col("full").alias("fa"))

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 from quotelake.llm import (
+    bpe,
     chat,
     embedding_dedup,
     line_dedup,
+    lm_scoring,
     mixing,
     near_dedup,
     quality_classifier,
@@ -18,6 +22,7 @@ from quotelake.llm import (
 from quotelake.llm.common import held_out
 
 SHARD_BYTES = 1 << 20
+RANKS = "byte_bpe_multi_50k.tiktoken"
 TARGETS = {"clean": 0.94, "toxic": 0.02, "low": 0.04}
 
 
@@ -110,6 +115,36 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer() -> bpe.Codec:
+    return bpe.Codec(bpe.read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN)
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codec = tokenizer()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = F.col("ids")
+    return bpe.encode_texts(docs, codec).select(
+        "doc_id",
+        F.size(ids).cast("long").alias("n_tokens"),
+        sha256(F.array_join(ids.cast("array<string>"), ",")).alias("ids_sha256"),
+        F.sha2(codec.decode(ids), 256).alias("decoded_sha256"),
+    )
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = held_out(F.col("doc_id"), 1)
+    return lm_scoring.score_texts(docs, ~held).select(
+        "doc_id",
+        (~F.col("learn")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -118,5 +153,7 @@ QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op6_sharding": op6_sharding,
+    "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_rules": op9_quality_rules,
+    "op10_lm_scoring": op10_lm_scoring,
 }
