@@ -3,11 +3,15 @@
 The k smallest shingle hashes of a document are its sketch. Documents whose
 Jaccard similarity is at least t share, but for a chance below 1e-5, a number
 ``need`` of the values in two sketches (five standard deviations below the mean;
-small sets are whole in their sketch and share what t asks), so a link must show in the inverted lists of the rarest ``size - need + 1`` values of
-each side. Passages that many documents share fall outside these lists unless
-they make up the documents. Within a list a hub is compared with the members of
-other components, round by round, until few pairs are left; then all of those
-are compared. The union of two sketches estimates similarity, and what may reach
+small sets are whole in their sketch and share what t asks), so a link must show
+in the inverted lists of the rarest ``size - need + 1`` values of each side.
+Passages that many documents share fall outside these lists unless they make up
+the documents. On the full sets of what is listed, shingles that one set alone
+holds bound the similarity of its document with any other.
+
+Within a list a hub is compared with the members of other components; the hub
+shares most of its set, so that most copies of one text join in the first round.
+What is left is compared with all members the bound allows. The union of two sketches estimates similarity, and what may reach
 t is confirmed on the full sets.
 
 Documents with equal sets are one vertex throughout.
@@ -141,25 +145,54 @@ def _similar(pairs: DataFrame, heads: DataFrame, sets: DataFrame, percent: int,
     )
 
 
+def shared_sizes(sets: DataFrame) -> DataFrame:
+    """(c, shared): how many shingles of a set are in another set too.
+
+    Counted from the shingles of a single set, so a shingle crosses the network
+    once, and once per task if many sets of the task hold it.
+    """
+    holders = (
+        sets.select(F.col("doc_id").alias("c"), F.explode("full").alias("x"))
+        .groupBy("x")
+        .agg(F.count("*").alias("n"), F.min("c").alias("c"))
+    )
+    own = holders.where(F.col("n") == 1).groupBy("c").agg(F.count("*").alias("own"))
+    sizes = sets.select(F.col("doc_id").alias("c"), F.size("full").cast("long").alias("n"))
+    return sizes.join(own, "c", "left").select(
+        "c", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared")
+    )
+
+
+def _reach(n, shared, percent: int):
+    """The largest size a linked set can have: no pair meets in more than is shared."""
+    return F.floor(shared * F.lit(100 + percent) / F.lit(percent)) - n
+
+
 def _hubs(lists: DataFrame, round_: int) -> DataFrame:
-    """Each list's hub (one random member, of the component with most members) on its rows."""
+    """Each list's hub on its rows, unless all rows are of one component.
+
+    The hub is of the component with most members: the one that shares the largest
+    part of its set, later any other one.
+    """
+    chance = F.xxhash64("c", F.lit(round_))
+    first = -F.col("shared") / F.col("n") if round_ == 0 else F.lit(0.0)
     sizes = lists.groupBy("v", "component").agg(
         F.count("*").alias("members"),
-        F.min(F.struct(F.xxhash64("c", F.lit(round_)).alias("o"), "c", "n")).alias("hub"),
+        F.min("n").alias("least"),
+        F.min(F.struct(first.alias("r"), chance.alias("o"), "c", "n", "reach")).alias("hub"),
     )
+    ranked = F.struct("members", -F.col("hub.r"), F.xxhash64("component"), "component", "hub")
     best = sizes.groupBy("v").agg(
-        F.max(F.struct("members", F.xxhash64("component", F.lit(round_)), "component", "hub")).alias(
-            "best"
-        ),
-        F.sum("members").alias("all"),
+        F.max(ranked).alias("best"), F.sum("members").alias("all"), F.min("least").alias("least")
     )
     hubs = best.where(F.col("all") > F.col("best.members")).select(
         "v",
         "all",
-        F.col("best.members").alias("members"),
+        "least",
         F.col("best.component").alias("main"),
         F.col("best.hub.c").alias("hub"),
         F.col("best.hub.n").alias("hub_n"),
+        F.col("best.hub.reach").alias("hub_reach"),
     )
     return lists.join(hubs, "v")
 
@@ -176,33 +209,49 @@ def link_components(
         ),
         "sets",
     )
-    heads = staged(marks.join(wanted.withColumnRenamed("doc_id", "c"), "c", "left_semi"), "heads")
+    # Sets that share too little with all others together have no link.
+    reach = shared_sizes(sets)
+    lists = lists.join(reach, "c").where(100 * F.col("shared") >= percent * F.col("n"))
+    lists = staged(
+        lists.withColumn("reach", _reach(F.col("n"), F.col("shared"), percent)), "reach"
+    )
+    wanted = lists.select("c").distinct()
+    heads = staged(marks.join(wanted, "c", "left_semi"), "heads")
     links, found, round_ = None, None, 0
     while True:
-        if found is None:
-            placed = lists.withColumn("component", F.col("c"))
-        else:
+        placed = lists.withColumn("component", F.col("c"))
+        if found is not None:
             names = found.select(F.col("v").alias("c"), "component")
             placed = lists.join(names, "c", "left").withColumn(
                 "component", F.coalesce("component", "c")
             )
         hubbed = staged(_hubs(placed, round_), "hubs")
-        outside = hubbed.where(F.col("component") != F.col("main"))
-        # Pairs left between the rest of each list and all of it, before any filter.
-        rest = F.col("all") - F.col("members")
-        left = hubbed.select("v", "all", "members").distinct().agg(F.sum(rest * F.col("all"))).first()
-        pending = left[0] or 0
-        last = pending <= 4 * hubbed.count() or round_ >= 8
+        outside = hubbed.where(
+            (F.col("component") != F.col("main")) & (F.col("reach") >= F.col("least"))
+        )
+        pending = outside.agg(F.sum("all")).first()[0] or 0
+        last = round_ == 3 or pending <= 4 * hubbed.count()
         if last:
-            other = hubbed.select("v", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), "main")
-            mine = outside.select("v", F.col("c").alias("a"), F.col("n").alias("na"), "component")
+            other = hubbed.select(
+                "v",
+                F.col("c").alias("b"),
+                F.col("n").alias("nb"),
+                F.col("component").alias("cb"),
+                F.col("reach").alias("rb"),
+                "main",
+            )
+            mine = outside.select("v", F.col("c").alias("a"), F.col("n").alias("na"), "component", "reach")
             # A member outside the main component meets the main one, and the rest once.
             pairs = mine.join(other, "v").where(
                 (F.col("component") != F.col("cb"))
+                & (F.col("nb") <= F.col("reach"))
+                & (F.col("na") <= F.col("rb"))
                 & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
             )
         else:
-            pairs = outside.select(
+            pairs = outside.where(
+                (F.col("hub_n") <= F.col("reach")) & (F.col("n") <= F.col("hub_reach"))
+            ).select(
                 F.col("c").alias("a"),
                 F.col("n").alias("na"),
                 F.col("hub").alias("b"),
