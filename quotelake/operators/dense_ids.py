@@ -4,52 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-SAMPLE_ROWS = 10_000
-RANGES = 256
+from quotelake.session import scratch_path
 
 
-def dense_ids(
-    names: DataFrame, column: str, id_name: str, sample_rows: int = SAMPLE_ROWS, ranges: int = RANGES
-) -> DataFrame:
+def dense_ids(names: DataFrame, column: str, id_name: str) -> DataFrame:
     """Number distinct names from 1 in their order.
 
-    A sample of bounded size (the names with the smallest hashes, so the same
-    one in every run) tells whether the whole set is small. If it is, one
-    window numbers it. Otherwise the sample gives range limits: each range is
-    numbered by its own task and shifted by the number of names before it.
+    The names are cut into ranges of even size, one per shuffle partition, and
+    stored with the number of their range, so that ranges stay as they are when a
+    task is repeated. Each range is numbered by its own task and shifted by the
+    number of names before it.
     """
-    sample = [
-        row[0]
-        for row in names.select(column)
-        .orderBy(F.xxhash64(column), column)
-        .limit(sample_rows)
-        .collect()
-    ]
-    if len(sample) < sample_rows:
-        return names.withColumn(id_name, F.row_number().over(Window.orderBy(column)))
-
-    ordered = sorted(sample, key=lambda s: s.encode("utf-8"))
-    step = max(1, len(ordered) // ranges)
-    limits = F.lit(sorted(set(ordered[step::step]), key=lambda s: s.encode("utf-8")))
-    ranged = names.withColumn(
-        "_range", F.size(F.filter(limits, lambda limit: limit <= F.col(column)))
-    )
+    spark = names.sparkSession
+    path = scratch_path(spark, "dense-ids")
+    cut = names.repartitionByRange(column).withColumn("_range", F.spark_partition_id())
+    cut.write.parquet(path)
+    schema = T.StructType([*names.schema.fields, T.StructField("_range", T.IntegerType())])
+    ranged = spark.read.schema(schema).parquet(path)
+    # One row per range, so at most one per shuffle partition.
     counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = counts.select(
-        "_range",
-        F.coalesce(
-            F.sum("_n").over(
-                Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_offset"),
-    )
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(column))
-    # `before` has at most ranges + 1 rows whatever the number of names.
     return (
         ranged.withColumn("_place", inside)
-        .join(F.broadcast(before), "_range")
-        .withColumn(id_name, F.col("_offset") + F.col("_place"))
+        .join(F.broadcast(offsets), "_range")
+        .withColumn(id_name, (F.col("_offset") + F.col("_place")).cast("int"))
         .select(*names.columns, id_name)
     )

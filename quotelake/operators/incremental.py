@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotelake.operators.latest import latest_by
 from quotelake.operators.ranges import Clock, moment
@@ -15,6 +17,9 @@ from quotelake.session import scratch_path
 # Fixed value: the watermark of an empty target.
 BEGINNING = "1900-01-01"
 
+# Folder of an archived day that holds the rows of one source file.
+ARCHIVED_FILE = "archived_file"
+
 
 def newer_than_target(updates: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """Updates past the target's greatest ``column``.
@@ -46,8 +51,16 @@ def merge_upsert(
     With ``order`` the updates may hold several rows per key; the latest wins.
     """
     source = latest_by(updates, keys, order) if order else updates
-    kept = target.join(source.select(*keys), list(keys), "left_anti").select(target.columns)
-    return kept.unionByName(source.select(target.columns))
+    return _without(target, source, keys).unionByName(source.select(target.columns))
+
+
+def _without(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key the source does not hold; null keys are equal."""
+    named = source.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+    same = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    )
+    return target.join(named, same, "left_anti")
 
 
 def merge_columns(
@@ -111,21 +124,38 @@ def upsert_table(
     """Merge updates into a parquet table partitioned by a key column.
 
     A row never leaves its partition because ``partition`` is part of the key,
-    so only the partitions the updates touch are read and rewritten. Their names
-    are a list bounded by the calendar. Updates and merged rows are staged in
-    the shared folder: the updates are computed once, and the table is never
-    read while it is being replaced.
+    so only the partitions the updates touch are read and rewritten: a semi join
+    picks them, rows without a partition value apart. Null keys are equal. The
+    table is read under the updates' types, so partition values such as ``01``
+    stay text, and gets the updates' new columns; columns the updates lack are
+    null in their rows. Updates and merged rows are staged in the shared folder:
+    the updates are computed once, and the table is never read while it is being
+    replaced.
     """
     if partition not in keys:
         raise ValueError(f"{partition} has to be one of the keys {list(keys)}")
     arriving = scratch_path(spark, "updates")
     updates.write.parquet(arriving)
     updates = spark.read.parquet(arriving)
-    values = [row[0] for row in updates.select(partition).distinct().collect()]
-    touched = spark.read.parquet(path).filter(F.col(partition).isin(values))
+    target = _read_as(spark, path, updates.schema)
+    named = updates.select(partition).distinct()
+    unnamed = named.agg(F.coalesce(F.max(F.col(partition).isNull()), F.lit(False))).scalar()
+    touched = target.join(named, partition, "left_semi").select(*target.columns).unionByName(
+        target.filter(F.col(partition).isNull() & unnamed)
+    )
+    source = latest_by(updates, keys, order) if order else updates
+    merged = _without(touched, source, keys).unionByName(source, allowMissingColumns=True)
     staged = scratch_path(spark, "merge")
-    merge_upsert(touched, updates, keys, order).write.parquet(staged)
-    write_partitions(spark.read.parquet(staged), path, partition)
+    merged.write.parquet(staged)
+    write_partitions(spark.read.schema(merged.schema).parquet(staged), path, partition)
+
+
+def _read_as(spark: SparkSession, path: str, wanted: T.StructType) -> DataFrame:
+    """A parquet table under wanted types; columns only one side has are kept."""
+    stored = spark.read.option("mergeSchema", True).parquet(path).schema
+    names = set(wanted.names)
+    extra = [f for f in stored.fields if f.name not in names]
+    return spark.read.schema(T.StructType([*wanted.fields, *extra])).parquet(path)
 
 
 def write_partitions(
@@ -159,22 +189,33 @@ def archive_table(
     """Move the day partitions more than ``days`` before ``as_of`` to the archive.
 
     ``partition`` is the DATE the table is partitioned by, so whole partitions
-    expire at once and nothing that stays is rewritten. Each run writes below
-    ``archived_on=<as_of>``: a repeated run replaces its own copy, and rows that
-    arrive late for an archived day are added by a later run. Gives the number
-    of partitions moved.
+    expire at once and nothing that stays is rewritten. The archive has a folder
+    per day and source file: a run that broke off before the files were deleted is
+    repeated without doubling rows, on whatever day. Just the files that were
+    copied are deleted, so rows that arrive meanwhile wait for the next run. Gives
+    the number of partitions moved.
     """
     _, expired = split_retention(spark.read.parquet(path), partition, as_of, days)
-    values = [r[0] for r in expired.select(partition).distinct().collect()]
-    if values:
-        write_partitions(expired, f"{archive_path.rstrip('/')}/archived_on={as_of}", partition)
-        _drop_partitions(spark, path, partition, values)
-    return len(values)
-
-
-def _drop_partitions(spark, path, partition, values) -> None:
-    """Delete the folders of archived partitions; their number is bounded by the calendar."""
+    expired = expired.withColumn("_path", F.col("_metadata.file_path"))
+    copied = expired.withColumn(ARCHIVED_FILE, F.element_at(F.split("_path", "/"), -1))
+    listed = scratch_path(spark, "archived")
+    expired.select(partition, "_path").distinct().write.parquet(listed)
+    files = spark.read.parquet(listed)
+    names = files.select(F.col("_path").alias("_listed"))
+    (
+        # Only listed files are copied: a file that came since the listing stays.
+        copied.join(names, F.col("_path") == F.col("_listed"), "left_semi")
+        .drop("_path")
+        .hint("rebalance", partition, ARCHIVED_FILE)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition, ARCHIVED_FILE)
+        .parquet(archive_path)
+    )
+    moved = files.select(partition).distinct().count()
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for value in values:
-        folder = hadoop.Path(f"{path.rstrip('/')}/{partition}={value}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    for row in files.select("_path").toLocalIterator():
+        name = hadoop.Path(spark.sparkContext._jvm.java.net.URI.create(row[0]))
+        name.getFileSystem(settings).delete(name, False)
+    return moved

@@ -41,6 +41,7 @@ def staged_financials(
 ) -> DataFrame:
     """Typed statements with company attributes and ratios; key (symbol, quarter).
 
+    Metrics are display text such as ``1.2 B`` or plain numbers.
     ``debt_to_asset_ratio`` is assets over liabilities, as the source defines it.
     """
     text = members(
@@ -53,7 +54,12 @@ def staged_financials(
         F.coalesce(INGEST_SYMBOL, "symbol").alias("symbol"),
         F.coalesce(quarter_start("quarter"), F.col("quarter").try_cast("date")).alias("quarter"),
         *[F.col(name).try_cast("int").alias(name) for name in ("fiscal_year", "fiscal_quarter")],
-        *[F.col(name).try_cast("double").alias(name) for name in STATEMENT_METRICS],
+        *[
+            (try_double(strip_signs(name)) if name == "eps" else parse_magnitude(name))
+            .cast("double")
+            .alias(name)
+            for name in STATEMENT_METRICS
+        ],
         F.col("load_ts").alias("ingested_at"),
     ).filter(F.col("quarter").isNotNull())
     if target is not None:

@@ -38,15 +38,13 @@ def current_membership(membership: DataFrame, index: DataFrame, company: DataFra
     )
 
 
-def index_days(
-    members: DataFrame, prices: DataFrame, one_row_per_day: bool = False
-) -> DataFrame:
+def index_days(members: DataFrame, prices: DataFrame) -> DataFrame:
     """Weighted index values per index and day.
 
     Open and close are sums over members, high and low the extremes of single
-    weighted prices. A member without a weight adds nothing. Counting distinct
-    members moves every joined row to its (index, day, symbol) task; prices known
-    to hold one row per symbol and day are counted in the map tasks instead.
+    weighted prices. A member without a weight adds nothing. Rows are reduced to
+    (index, day, symbol) first, so a symbol with several prices a day is one
+    constituent whatever the prices hold.
     """
     columns = members.select("index_code", "index_name", "symbol", "weight", "effective_date")
     quotes = prices.select(
@@ -54,15 +52,23 @@ def index_days(
     )
     joined = effective_join(columns, quotes, "symbol", "trade_date", "effective_date")
     weighted = {n: F.col(f"{n}_price") * F.col("weight") for n in ("open", "high", "low", "close")}
-    return joined.groupBy("index_code", "index_name", "trade_date").agg(
+    members_days = joined.groupBy("index_code", "index_name", "trade_date", "symbol").agg(
         F.sum(weighted["open"]).alias("index_open"),
         F.max(weighted["high"]).alias("index_high"),
         F.min(weighted["low"]).alias("index_low"),
         F.sum(weighted["close"]).alias("index_close"),
         F.sum("volume").alias("total_volume"),
-        (F.count("symbol") if one_row_per_day else F.countDistinct("symbol")).alias(
-            "constituents_count"
-        ),
+    )
+    kinds = {f.name: f.dataType for f in joined.select(
+        F.sum(weighted["open"]).alias("index_open"), F.sum(weighted["close"]).alias("index_close")
+    ).schema.fields}
+    return members_days.groupBy("index_code", "index_name", "trade_date").agg(
+        F.sum("index_open").cast(kinds["index_open"]).alias("index_open"),
+        F.max("index_high").alias("index_high"),
+        F.min("index_low").alias("index_low"),
+        F.sum("index_close").cast(kinds["index_close"]).alias("index_close"),
+        F.sum("total_volume").alias("total_volume"),
+        F.count("symbol").alias("constituents_count"),
     )
 
 
@@ -70,7 +76,6 @@ def index_performance(
     members: DataFrame,
     prices: DataFrame,
     previous: DataFrame | None = None,
-    one_row_per_day: bool = False,
 ) -> DataFrame:
     """Daily index values with change against the day before.
 
@@ -78,7 +83,7 @@ def index_performance(
     last index day already loaded, which is used and not repeated. One index has
     one row per day, so its window is bounded by the calendar.
     """
-    days = index_days(members, prices, one_row_per_day).withColumn("_new", F.lit(True))
+    days = index_days(members, prices).withColumn("_new", F.lit(True))
     if previous is not None:
         known = previous.select(*[c for c in days.columns if c != "_new"])
         days = days.unionByName(known.withColumn("_new", F.lit(False)))

@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from quotelake.operators.latest import first_rows_per
 
 FILE_NAME = "file_name"
-MAX_LAYOUTS = 1_000
 
 # Which table a file feeds, by words in its path; first hit wins.
 ROUTES = (
@@ -93,14 +92,7 @@ def scan_csv_text(
     if columns is not None:
         return _scan_layout(spark, paths, columns, options)
     first = _first_lines(spark, paths, options)
-    layouts = (
-        first.groupBy("header")
-        .agg(F.collect_list("file").alias("files"))
-        .limit(MAX_LAYOUTS + 1)
-        .collect()
-    )
-    if len(layouts) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different CSV headers below {paths}")
+    layouts = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
     merged = None
     for layout in layouts:
         names = _column_names(layout["header"])

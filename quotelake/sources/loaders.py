@@ -55,26 +55,44 @@ def upsert_companies(company: DataFrame, updates: DataFrame, order: Sequence[str
     )
 
 
+def _unreadable(rows: DataFrame) -> Column:
+    """Whether a price row lacks a readable day, or has a close that is no number."""
+    checked = require_columns(rows, ["symbol", "trade_date", "close"])
+    close = checked["close"]
+    return checked["trade_date"].try_cast("date").isNull() | (
+        close.isNotNull() & close.try_cast("decimal(18,4)").isNull()
+    )
+
+
+def rejected_prices(rows: DataFrame) -> DataFrame:
+    """Price rows that cannot be loaded, as they came."""
+    return rows.filter(_unreadable(rows))
+
+
 def load_prices(
     rows: DataFrame, company: DataFrame, created_at: datetime | Column, source: str = BATCH_SOURCE
 ) -> DataFrame:
-    """Daily prices with their company id; unknown symbols drop out."""
+    """Daily prices with their company id; unknown symbols drop out.
+
+    Rows of ``rejected_prices`` are left out; other unreadable cells count as missing.
+    """
+    rows = rows.filter(~_unreadable(rows))
     money = "decimal(18,4)"
     checked = require_columns(rows, ["symbol", "trade_date", "close"])
     absent = [c for c in ("open", "high", "low", "volume") if c not in checked.columns]
     for name in absent:
         checked = checked.withColumn(name, F.lit(None))
-    close = F.col("close").cast(money)
+    close = F.col("close").try_cast(money)
     stamp = created_at if isinstance(created_at, Column) else F.lit(created_at)
     matched = resolve(checked, company, F.col("symbol"), "symbol", "company_id")
     return matched.select(
         "company_id",
-        F.col("trade_date").cast("date").alias("trade_date"),
-        F.coalesce(F.col("open").cast(money), close).alias("open_price"),
-        F.coalesce(F.col("high").cast(money), close).alias("high_price"),
-        F.coalesce(F.col("low").cast(money), close).alias("low_price"),
+        F.col("trade_date").try_cast("date").alias("trade_date"),
+        F.coalesce(F.col("open").try_cast(money), close).alias("open_price"),
+        F.coalesce(F.col("high").try_cast(money), close).alias("high_price"),
+        F.coalesce(F.col("low").try_cast(money), close).alias("low_price"),
         close.alias("close_price"),
-        F.coalesce(F.col("volume").cast("bigint"), F.lit(0)).alias("volume"),
+        F.coalesce(F.col("volume").try_cast("bigint"), F.lit(0)).alias("volume"),
         F.lit(source).alias("data_source"),
         stamp.alias("created_at"),
     )
@@ -87,7 +105,7 @@ def load_membership(
     effective: date | Column,
     weighting: str = UNWEIGHTED,
 ) -> DataFrame:
-    """Members of one index from its list of symbols.
+    """Members of one index from its list of symbols, each company once.
 
     The equal weight counts every listed row, matched or not.
     """
@@ -106,7 +124,7 @@ def load_membership(
         .cast("date")
         .alias("effective_date"),
         F.lit(True).alias("is_current"),
-    )
+    ).dropDuplicates(["index_id", "company_id"])
 
 
 def unlisted_symbols(listed: DataFrame, company: DataFrame) -> DataFrame:

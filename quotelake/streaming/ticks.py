@@ -56,14 +56,19 @@ def keyed_messages(rows: DataFrame, key: str = "ticker") -> DataFrame:
 
 
 def decode_ticks(messages: DataFrame) -> DataFrame:
-    """Typed ticks; a message that is not valid JSON keeps its text in ``_malformed``."""
+    """Typed ticks; a message that is no valid tick keeps its text in ``_malformed``.
+
+    That is a message that is not JSON, or one without a ticker or a readable
+    time: what a reject table stores can be decoded again.
+    """
     text = F.col("value").cast("string")
-    with_bad = T.StructType([*TICK_MESSAGE.fields, T.StructField(MALFORMED, T.StringType())])
-    data = F.from_json(text, with_bad, {"columnNameOfCorruptRecord": MALFORMED})
-    rows = messages.select(data.alias("data")).select("data.*")
-    return rows.withColumnRenamed("timestamp", "time").withColumn(
-        "time", iso_time(F.col("time"))
-    )
+    bad = "_corrupt"
+    with_bad = T.StructType([*TICK_MESSAGE.fields, T.StructField(bad, T.StringType())])
+    data = F.from_json(text, with_bad, {"columnNameOfCorruptRecord": bad})
+    rows = messages.select(text.alias("_text"), data.alias("data")).select("_text", "data.*")
+    timed = rows.withColumnRenamed("timestamp", "time").withColumn("time", iso_time(F.col("time")))
+    usable = F.col(bad).isNull() & F.col("ticker").isNotNull() & F.col("time").isNotNull()
+    return timed.withColumn(MALFORMED, F.when(~usable, F.col("_text"))).drop("_text", bad)
 
 
 def valid_ticks(decoded: DataFrame) -> DataFrame:

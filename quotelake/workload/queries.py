@@ -145,7 +145,7 @@ def _text_prices_raw(spark, sf):
     base = inputs.money("l_extendedprice")
     kind = F.col("l_linenumber") % 5 + 1
     day = F.to_date("l_shipdate")
-    cells = inputs.spread(inputs.table(spark, sf, "lineitem")).select(
+    cells = inputs.table(spark, sf, "lineitem").select(
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("symbol"),
         F.date_format(day, "E dd MMM ''yy").alias("date"),
         base.cast("string").alias("open"),
@@ -206,9 +206,7 @@ def index_membership(spark, sf):
 
 @query
 def index_performance(spark, sf):
-    return indices.index_performance(
-        _members(spark, sf), inputs.part_prices(spark, sf), one_row_per_day=True
-    )
+    return indices.index_performance(_members(spark, sf), inputs.part_prices(spark, sf))
 
 
 @query
@@ -374,8 +372,8 @@ def semi_active(spark, sf):
     """Companies that have prices or statistics."""
     active = lookups.distinct_union(
         "company_id",
-        inputs.stock_price(spark, sf).filter("volume > 45"),
-        inputs.market_stat(spark, sf).filter("price > 400000"),
+        inputs.stock_price(spark, sf),
+        inputs.market_stat(spark, sf),
     )
     rows = inputs.company(spark, sf)
     return lookups.active_only(rows, active, F.col("company_id"), "company_id").select(
