@@ -104,13 +104,22 @@ def sync_schema(target: DataFrame, updates: DataFrame) -> DataFrame:
     return target.unionByName(updates, allowMissingColumns=True).select(updates.columns)
 
 
+def _archive_limit(df: DataFrame, column: str, as_of: Clock, days: int):
+    return moment(df, column, as_of, lambda now: F.date_sub(now.cast("date"), days))
+
+
+def archive_due(df: DataFrame, column: str, as_of: Clock, days: int) -> DataFrame:
+    """Rows with ``due``: whether they lie more than ``days`` back."""
+    limit = _archive_limit(df, column, as_of, days)
+    return df.withColumn("due", F.coalesce(F.col(column) < limit, F.lit(False)))
+
+
 def split_retention(
     df: DataFrame, column: str, as_of: Clock, days: int
 ) -> tuple[DataFrame, DataFrame]:
     """(rows to keep, rows to archive): archived rows lie more than ``days`` back."""
-    cut = moment(df, column, as_of, lambda now: F.date_sub(now.cast("date"), days))
-    stamp = F.col(column)
-    return df.filter((stamp >= cut) | stamp.isNull()), df.filter(stamp < cut)
+    limit, stamp = _archive_limit(df, column, as_of, days), F.col(column)
+    return df.filter((stamp >= limit) | stamp.isNull()), df.filter(stamp < limit)
 
 
 def upsert_table(

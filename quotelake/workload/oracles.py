@@ -858,6 +858,12 @@ ORACLES["archive_split"] = sql(
       FROM stock_price) GROUP BY old""",
     "stock_price",
 )
+ORACLES["archive_repeated"] = sql(
+    f"""SELECT symbol, {day('trade_date')} AS trade_date, volume,
+    CASE WHEN trade_date < (SELECT max(trade_date) FROM tick_bars) - 8 THEN 'archived'
+      ELSE 'live' END AS side FROM tick_bars""",
+    "tick_bars",
+)
 ORACLES["schema_sync"] = sql(
     """SELECT company_id, symbol, CAST(NULL AS DOUBLE) AS balance FROM company
     UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier""",

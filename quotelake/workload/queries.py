@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -862,16 +862,31 @@ def archive_split(spark, sf):
     """Rows and dates on either side of the retention limit."""
     rows = inputs.stock_price(spark, sf).select("price_id", "trade_date")
     newest = rows.agg(F.max("trade_date").alias("now"))
-    kept, expired = incremental.split_retention(rows, "trade_date", newest, 360)
+    due = incremental.archive_due(rows, "trade_date", newest, 360)
+    return due.groupBy(F.when(F.col("due"), "archived").otherwise("kept").alias("side")).agg(
+        F.count("*").alias("rows"),
+        F.min("trade_date").alias("first"),
+        F.max("trade_date").alias("last"),
+    )
 
-    def summary(df: DataFrame, side: str) -> DataFrame:
-        return df.agg(
-            F.count("*").alias("rows"),
-            F.min("trade_date").alias("first"),
-            F.max("trade_date").alias("last"),
-        ).withColumn("side", F.lit(side))
 
-    return summary(kept, "kept").unionByName(summary(expired, "archived"))
+@query
+def archive_repeated(spark, sf):
+    """A table and its archive after two runs on different days and a late row's run."""
+    path, archive = scratch_path(spark, "bars"), scratch_path(spark, "archive")
+    bars = inputs.tick_bars(spark, sf).select("symbol", "trade_date", "volume")
+    incremental.write_partitions(bars, path, "trade_date", ["symbol"])
+    last = spark.read.parquet(path).agg(F.max("trade_date")).first()[0]
+    if last is None:
+        return bars.withColumn("side", F.lit("live"))
+    for ahead in (0, 0, 2):
+        incremental.archive_table(
+            spark, path, archive, "trade_date", last + timedelta(days=ahead), 10
+        )
+    live, old = spark.read.parquet(path), spark.read.parquet(archive)
+    return live.withColumn("side", F.lit("live")).unionByName(
+        old.drop(incremental.ARCHIVED_FILE).withColumn("side", F.lit("archived"))
+    )
 
 
 @query
