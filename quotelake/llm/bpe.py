@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from quotelake.llm.common import literal_table
 from quotelake.llm.quality_rules import let
 
-NONE = 1 << 30  # stands for the rank of neighbours that do not merge
+NONE = 1 << 17  # stands for the rank of neighbours that do not merge
 SHORT = 96  # bytes; longer words merge all equal pairs of a pass at once
 
 
@@ -84,15 +84,33 @@ class Codec:
                 pass  # part of a character: never a word
         return spark.createDataFrame(words, "w string, id int")
 
+    def encode(self, word: Column) -> Column:
+        """Ids of one word of the pattern, array<int>.
+
+        The literal stands in the expression once; all lookups go to a variable.
+        """
+        raw = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "", -1)
+        ids = F.transform(raw, lambda b: F.get(self.bytes, F.ascii(b)))
+        return let(self.pairs, lambda table: let(ids, _Fold(table).of))
+
+    def decode(self, ids: Column) -> Column:
+        """The bytes of a list of ids."""
+        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""))
+
+
+class _Fold:
+    """The merges of one word, given the pair table."""
+
+    def __init__(self, table: Column):
+        self.table = table
+
     def pair(self, left: Column, right: Column) -> Column:
         """The rank of two neighbouring ids, NONE if they do not merge or one is null."""
         left, right = left.cast("long"), right.cast("long")
         key = left * 65536 + right
-        found = [
-            F.get(self.pairs, ((left * a + right * b) % PAIR_SLOTS).cast("int")) for a, b in HASHES
-        ]
         chain = F
-        for entry in found:
+        for a, b in HASHES:
+            entry = F.get(self.table, ((left * a + right * b) % PAIR_SLOTS).cast("int"))
             chain = chain.when(
                 F.shiftright(entry, 16) == key, entry.bitwiseAND(F.lit(65535)).cast("int")
             )
@@ -107,30 +125,44 @@ class Codec:
             ),
         ).otherwise(F.array().cast("array<int>"))
 
-    def _merge_one(self, state: Column) -> Column:
+    def _packed(self, ids: Column) -> Column:
+        """Per piece one number: rank with the next piece, place in the word, id."""
+        return F.transform(
+            ids,
+            lambda x, i: F.shiftleft(self.pair(x, F.get(ids, i + 1)).cast("long"), 40)
+            + F.shiftleft(i.cast("long"), 16)
+            + x,
+        )
+
+    def _merge_one(self, packed: Column) -> Column:
         """Merge the leftmost pair of lowest rank; only the ranks beside it change."""
-        ids, ranks = state["ids"], state["ranks"]
-        none = F.array().cast("array<int>")
-
-        def at(r, c):
-            before, after = F.get(ids, c - 1), F.get(ids, c + 2)
-            return F.struct(
-                F.concat(F.slice(ids, 1, c), F.array(r), F.slice(ids, c + 3, F.size(ids))).alias(
-                    "ids"
-                ),
-                F.concat(
-                    F.slice(ranks, 1, F.greatest(c - 1, F.lit(0))),
-                    F.when(c > 0, F.array(self.pair(before, r))).otherwise(none),
-                    F.when(after.isNotNull(), F.array(self.pair(r, after))).otherwise(none),
-                    F.slice(ranks, c + 3, F.size(ids)),
-                ).alias("ranks"),
-            )
+        rest = (1 << 40) - 1
+
+        def piece(i):
+            return F.get(packed, i).bitwiseAND(F.lit(65535)).cast("int")
 
-        def lowest(r):
-            place = (F.array_position(ranks, r) - 1).cast("int")
-            return F.when(r < NONE, let(place, lambda c: at(r, c))).otherwise(state)
+        def at(least, c):
+            rank = F.shiftright(least, 40).cast("int")
+            merged = (
+                F.shiftleft(self.pair(rank, piece(c + 1)).cast("long"), 40)
+                + least.bitwiseAND(F.lit(rest - 65535))
+                + rank
+            )
+            tail = F.slice(packed, c + 2, F.size(packed))
+            before = F.get(packed, c - 2).bitwiseAND(F.lit(rest)) + F.shiftleft(
+                self.pair(piece(c - 2), rank).cast("long"), 40
+            )
+            return F.when(
+                c > 1, F.concat(F.slice(packed, 1, c - 2), F.array(before, merged), tail)
+            ).otherwise(F.concat(F.array(merged), tail))
 
-        return let(F.coalesce(F.array_min(ranks), F.lit(NONE)), lowest)
+        return let(
+            F.array_min(packed),
+            lambda least: F.when(
+                least < NONE << 40,
+                let(F.array_position(packed, least).cast("int"), lambda c: at(least, c)),
+            ).otherwise(packed),
+        )
 
     def _merge_equal(self, state: Column) -> Column:
         """Merge all pairs of the lowest rank, or one if that could change what follows."""
@@ -183,26 +215,15 @@ class Codec:
         )
         return F.concat(F.slice(ids, 1, F.get(at, F.lit(0))), F.flatten(parts))
 
-    def encode(self, word: Column) -> Column:
-        """Ids of one word of the pattern, array<int>."""
-        raw = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "", -1)
-        first = F.transform(raw, lambda b: F.get(self.bytes, F.ascii(b)))
-
-        def folded(ids):
-            start = F.struct(ids.alias("ids"), self._neighbours(ids).alias("ranks"))
-            passes = F.sequence(F.lit(1), F.size(ids))
-            return F.when(
-                F.size(ids) <= SHORT,
-                F.aggregate(passes, start, lambda s, _: self._merge_one(s), lambda s: s["ids"]),
-            ).otherwise(
-                F.aggregate(passes, start, lambda s, _: self._merge_equal(s), lambda s: s["ids"])
-            )
-
-        return let(first, folded)
-
-    def decode(self, ids: Column) -> Column:
-        """The bytes of a list of ids."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""))
+    def of(self, ids: Column) -> Column:
+        """The merged ids of a word given as the ids of its bytes."""
+        start = F.struct(ids.alias("ids"), self._neighbours(ids).alias("ranks"))
+        passes = F.sequence(F.lit(1), F.size(ids))
+        one = F.aggregate(passes, self._packed(ids), lambda s, _: self._merge_one(s))
+        unpacked = F.transform(one, lambda x: x.bitwiseAND(F.lit(65535)).cast("int"))
+        return F.when(F.size(ids) <= SHORT, unpacked).otherwise(
+            F.aggregate(passes, start, lambda s, _: self._merge_equal(s), lambda s: s["ids"])
+        )
 
 
 CHUNK_BYTES = 64 << 20
