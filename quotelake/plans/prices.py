@@ -15,7 +15,7 @@ from quotelake.functions.measures import (
 )
 from quotelake.functions.text import change_percent, parse_magnitude, strip_signs, trade_day, try_decimal
 from quotelake.operators.incremental import newer_than_target
-from quotelake.operators.latest import latest_by
+from quotelake.operators.latest import latest_by, latest_of_few
 from quotelake.operators.lookups import enrich
 from quotelake.operators.ranges import Clock, since_months
 from quotelake.operators.series import CARRIED, SLICE, drop_carried, last_rows, with_lookback
@@ -49,7 +49,7 @@ def unified_prices(
     ).filter(F.col("trade_date").isNotNull() & F.col("close_price").isNotNull())
     if target is not None:
         typed = newer_than_target(typed, target, "ingested_at")
-    single = latest_by(typed, ["symbol", "trade_date"], ["ingested_at"])
+    single = latest_of_few(typed, ["symbol", "trade_date"], ["ingested_at"])
     close = F.col("close_price")
     return enrich(single, companies, "symbol", ["company_name", "sector"]).select(
         "symbol",
@@ -69,7 +69,7 @@ def unified_prices(
 def latest_stock_prices(stock_price: DataFrame) -> DataFrame:
     """One row per company and day: the row created last, then the greatest id."""
     cleaned = stock_price.withColumn("data_source", F.upper(F.trim("data_source")))
-    single = latest_by(cleaned, ["company_id", "trade_date"], ["created_at", "price_id"])
+    single = latest_of_few(cleaned, ["company_id", "trade_date"], ["created_at", "price_id"])
     day = F.col("trade_date")
     return single.withColumns(
         {
@@ -99,7 +99,7 @@ def text_prices(prices_raw: DataFrame) -> DataFrame:
         "file_name",
         "load_ts",
     )
-    return latest_by(typed, ["symbol", "date"], ["load_ts", "file_name"])
+    return latest_of_few(typed, ["symbol", "date"], ["load_ts", "file_name"])
 
 
 def price_input(prices: DataFrame) -> DataFrame:
