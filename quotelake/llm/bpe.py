@@ -1,7 +1,7 @@
 """Byte-level BPE with Spark higher-order functions.
 
-Texts are split by the tokenizer's pattern. Each distinct word of the corpus is
-folded once: over its array of bytes, the neighbours of lowest rank are merged
+Texts are split by the tokenizer's pattern. Each distinct word of 64 chunks of
+the corpus is folded once: over its array of bytes, the neighbours of lowest rank are merged
 until no neighbours have a rank. Ranks come from a literal map from pairs of ids
 (a flat array with two slots per pair, as a lookup in a map literal is linear).
 Documents are dealt to chunks of bounded size; a chunk gets the codes of its own
@@ -237,14 +237,20 @@ def _slot(word: Column, slots: int) -> Column:
 def _codes(words: DataFrame, codec: Codec, chunks: int, slots: int) -> DataFrame:
     """(chunk, codes) from (chunk, w): array<map<word, ids joined by commas>> by slot.
 
-    A word is folded once for all chunks that use it.
+    A word is folded once for every 64 chunks, a bit per chunk that uses it.
     """
-    used = words.groupBy("w").agg(F.collect_set("chunk").alias("chunks"))
+    bit = F.expr("shiftleft(1L, chunk % 64)")
+    used = words.groupBy("w", F.expr("chunk div 64").alias("block")).agg(F.bit_or(bit).alias("mask"))
     known = used.join(F.broadcast(codec.whole(words.sparkSession)), "w", "left")
     ids = F.transform(codec.encode(F.col("w")), lambda i: i.cast("string"))
     code = F.coalesce(F.col("id").cast("string"), F.array_join(ids, ","))
-    coded = known.select("w", "chunks", code.alias("code"))
-    coded = coded.select(F.explode("chunks").alias("chunk"), "w", "code")
+    coded = known.select("w", "block", "mask", code.alias("code"))
+    chunk = F.filter(
+        F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit("mask", i) == F.lit(1).cast("byte")
+    )
+    coded = coded.withColumn("bit", F.explode(chunk)).select(
+        (F.col("block") * 64 + F.col("bit")).cast("int").alias("chunk"), "w", "code"
+    )
     # An empty word in each slot makes the slots of a chunk an array without gaps.
     blank = words.sparkSession.range(chunks).select(
         F.col("id").cast("int").alias("chunk"),
