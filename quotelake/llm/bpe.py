@@ -1,12 +1,12 @@
 """Byte-level BPE with Spark higher-order functions.
 
 Texts are split by the tokenizer's pattern. Each distinct word of 64 chunks of
-the corpus is folded once: over its array of bytes, the neighbours of lowest rank are merged
-until no neighbours have a rank. Ranks come from a literal map from pairs of ids
-(a flat array with two slots per pair, as a lookup in a map literal is linear).
-Documents are dealt to chunks of bounded size; a chunk gets the codes of its own
-words, so no task needs the vocabulary of the corpus. Decoding concatenates the
-pieces of the ids.
+the corpus is folded once: over its array of bytes, the neighbours of lowest rank
+are merged until no neighbours have a rank. Ranks come from a literal map from
+pairs of ids (a flat array with two slots per pair, as a lookup in a map literal
+is linear). Documents are dealt to chunks of bounded size; a chunk gets the codes
+of its own words, so no task needs the vocabulary of the corpus. Decoding
+concatenates the pieces of the ids.
 """
 
 from __future__ import annotations
