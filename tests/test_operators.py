@@ -225,6 +225,31 @@ def test_company_and_price_loaders(spark):
     assert rows_of(loaders.unlisted_symbols(listed, company)) == [("ZZ",)]
 
 
+def test_unreadable_prices_are_kept_apart(spark):
+    company = spark.createDataFrame([(1, "A")], "company_id int, symbol string")
+    rows = spark.createDataFrame(
+        [
+            ("A", "2024-01-02", "1.5", "2"),
+            ("A", "n/a", "1.5", "2"),
+            ("A", "2024-01-03", "one", "2"),
+            ("A", "2024-01-04", None, "many"),
+        ],
+        "symbol string, trade_date string, close string, volume string",
+    )
+    loaded = loaders.load_prices(rows, company, datetime(2024, 1, 5))
+    assert [(r["trade_date"].day, r["volume"]) for r in loaded.orderBy("trade_date").collect()] == [
+        (2, 2), (4, 0)
+    ]
+    assert loaders.rejected_prices(rows).count() == 2
+
+
+def test_a_symbol_listed_twice_is_one_member(spark):
+    company = spark.createDataFrame([(1, "A")], "company_id int, symbol string")
+    listed = spark.createDataFrame([("A",), (" a",)], "Symbol string")
+    members = loaders.load_membership(listed, company, 2, date(2024, 1, 1), loaders.EQUAL)
+    assert rows_of(members.select("company_id", "weight")) == [(1, Decimal("50.0000"))]
+
+
 def test_materialize_modes(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     more = spark.createDataFrame([(2, "c", True), (3, "d", False)], "id int, v string, flag boolean")
