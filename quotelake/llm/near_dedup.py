@@ -115,33 +115,44 @@ def prefix_lists(heads: DataFrame, percent: int, k: int) -> DataFrame:
     ).select("c", "n", F.col("x.v").alias("v"))
 
 
-def _similar(pairs: DataFrame, heads: DataFrame, sets: DataFrame, percent: int, k: int):
-    """Pairs (a, b) with the similarity or more: sizes, then sketches, then full sets."""
+def _sized(pairs: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b), a < b, whose sizes allow the similarity."""
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
-    sized = pairs.where(100 * small >= percent * large).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    return (
+        pairs.where(100 * small >= percent * large)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
     )
-    sized = sized.distinct()
+
+
+def _estimated(pairs: DataFrame, heads: DataFrame, percent: int, k: int) -> DataFrame:
+    """Pairs whose similarity in the union of both sketches may reach the one asked for."""
     left = heads.select(F.col("c").alias("a"), F.col("sketch").alias("sa"))
     right = heads.select(F.col("c").alias("b"), F.col("sketch").alias("sb"))
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     both = F.size(F.array_intersect(F.array_intersect("sa", "sb"), F.col("u")))
-    near = (
-        sized.join(left, "a")
+    return (
+        pairs.join(left, "a")
         .join(right, "b")
         .withColumn("u", union)
         .where(k * both >= (least_overlap(percent, k) - 1) * F.size("u"))
         .select("a", "b")
     )
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs with ``met``, the size of their sets' intersection, and whether they link."""
     full_a = sets.select(F.col("doc_id").alias("a"), F.col("full").alias("fa"))
     full_b = sets.select(F.col("doc_id").alias("b"), F.col("full").alias("fb"))
     met = F.size(F.array_intersect("fa", "fb"))
+    both = F.size("fa") + F.size("fb")
     return (
-        near.join(full_a, "a")
+        pairs.join(full_a, "a")
         .join(full_b, "b")
-        .select("a", "b", met.alias("met"), (F.size("fa") + F.size("fb")).alias("both"))
-        .where(100 * F.col("met") >= percent * (F.col("both") - F.col("met")))
-        .select("a", "b")
+        .select("a", "b", met.alias("met"), both.alias("both"))
+        .select(
+            "a", "b", "met", (100 * F.col("met") >= percent * (F.col("both") - F.col("met"))).alias("ok")
+        )
     )
 
 
@@ -217,52 +228,83 @@ def link_components(
     )
     wanted = lists.select("c").distinct()
     heads = staged(marks.join(wanted, "c", "left_semi"), "heads")
-    links, found, round_ = None, None, 0
+    # Of each row what its list's first hub and it have in common, where compared.
+    lists = lists.withColumn("met", F.lit(None).cast("int")).withColumn("component", F.col("c"))
+    links, round_ = None, 0
     while True:
-        placed = lists.withColumn("component", F.col("c"))
-        if found is not None:
-            names = found.select(F.col("v").alias("c"), "component")
-            placed = lists.join(names, "c", "left").withColumn(
-                "component", F.coalesce("component", "c")
-            )
-        hubbed = staged(_hubs(placed, round_), "hubs")
+        hubbed = staged(_hubs(lists, round_), "hubs")
         outside = hubbed.where(
             (F.col("component") != F.col("main")) & (F.col("reach") >= F.col("least"))
         )
         pending = outside.agg(F.sum("all")).first()[0] or 0
-        last = round_ == 3 or pending <= 4 * hubbed.count()
-        if last:
-            other = hubbed.select(
-                "v",
-                F.col("c").alias("b"),
-                F.col("n").alias("nb"),
-                F.col("component").alias("cb"),
-                F.col("reach").alias("rb"),
-                "main",
-            )
-            mine = outside.select("v", F.col("c").alias("a"), F.col("n").alias("na"), "component", "reach")
-            # A member outside the main component meets the main one, and the rest once.
-            pairs = mine.join(other, "v").where(
-                (F.col("component") != F.col("cb"))
-                & (F.col("nb") <= F.col("reach"))
-                & (F.col("na") <= F.col("rb"))
-                & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
-            )
-        else:
-            pairs = outside.where(
-                (F.col("hub_n") <= F.col("reach")) & (F.col("n") <= F.col("hub_reach"))
-            ).select(
-                F.col("c").alias("a"),
-                F.col("n").alias("na"),
-                F.col("hub").alias("b"),
-                F.col("hub_n").alias("nb"),
-            )
-        fresh = staged(_similar(pairs, heads, sets, percent, k), "near")
+        if round_ == 3 or pending <= 4 * hubbed.count():
+            break
+        pairs = outside.where(
+            (F.col("hub_n") <= F.col("reach")) & (F.col("n") <= F.col("hub_reach"))
+        ).select(
+            F.col("c").alias("a"),
+            F.col("n").alias("na"),
+            F.col("hub").alias("b"),
+            F.col("hub_n").alias("nb"),
+        )
+        judged = staged(_confirmed(_sized(pairs, percent), sets, percent), "judged")
+        fresh = judged.where("ok").select("a", "b")
         links = fresh if links is None else links.unionByName(fresh)
-        found = staged(components(links), "components")
-        if last:
-            return found
+        names = staged(components(links), "components").withColumnRenamed("v", "c")
+        kept = hubbed.drop("component", "main", "all", "least", "hub_n", "hub_reach")
+        if round_ == 0:
+            ends = [("a", "b"), ("b", "a")]
+            mets = [judged.select(F.col(x).alias("hub"), F.col(y).alias("c"), "met") for x, y in ends]
+            own = F.when(F.col("hub") == F.col("c"), F.col("n").cast("int"))
+            kept = (
+                kept.drop("met")
+                .join(mets[0].unionByName(mets[1]), ["hub", "c"], "left")
+                .withColumn("met", F.coalesce(own, "met"))
+            )
+        # Lists of one component are done and leave.
+        lists = kept.drop("hub").join(names, "c", "left").withColumn(
+            "component", F.coalesce("component", "c")
+        )
         round_ += 1
+    found = _estimated(_sized(_rest(hubbed, outside, percent), percent), heads, percent, k)
+    fresh = staged(_confirmed(found, sets, percent), "judged").where("ok").select("a", "b")
+    return components(fresh if links is None else links.unionByName(fresh))
+
+
+def _rest(hubbed: DataFrame, outside: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that can still link, each in one list.
+
+    A row outside its list's main component meets that component's rows and, once,
+    the other rows. What both have in common is in the hub too, or among what each
+    shares with others beside it.
+    """
+    # Each pair counts in the least of the lists that hold both.
+    places = hubbed.groupBy("c").agg(F.collect_set("v").alias("places"))
+    places = staged(places, "places")
+    columns = ["v", "c", "n", "component", "shared", "reach", "met", "places"]
+    mine = outside.join(places, "c").select(*columns)
+    other = hubbed.join(places, "c").select(*columns, "main")
+    other = other.select(
+        "v", "main", *[F.col(c).alias(f"{c}_") for c in columns if c != "v"]
+    )
+    beside = F.least(F.col("shared") - F.col("met"), F.col("shared_") - F.col("met_"))
+    most = F.when(
+        F.col("met").isNotNull() & F.col("met_").isNotNull(), F.least("met", "met_") + beside
+    ).otherwise(F.least("shared", "shared_"))
+    met_in = F.array_min(F.array_intersect("places", "places_"))
+    pairs = mine.join(
+        other,
+        (mine["v"] == other["v"])
+        & (F.col("component") != F.col("component_"))
+        & ((F.col("component_") == F.col("main")) | (F.col("c") < F.col("c_")))
+        & (F.col("n_") <= F.col("reach"))
+        & (F.col("n") <= F.col("reach_"))
+        & ((100 + percent) * most >= percent * (F.col("n") + F.col("n_")))
+        & (met_in == mine["v"]),
+    )
+    return pairs.select(
+        F.col("c").alias("a"), F.col("n").alias("na"), F.col("c_").alias("b"), F.col("n_").alias("nb")
+    )
 
 
 def near_duplicates(
