@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from quotelake.llm.common import staged
 
-DEPTH = 4
-CHUNK_BYTES = 16 << 20
-FLUSH = 8 << 20  # bytes of text a task counts before it sends what it has
+DEPTH = 3
+CHUNK_BYTES = 32 << 20
+FLUSH = 16 << 20  # bytes of text a task counts before it sends what it has
 END = 10  # the byte of the end mark; words hold no white space
 SPACE = 32
 
@@ -63,12 +63,14 @@ def _used(dealt: DataFrame, depth: int) -> DataFrame:
                 # A code is a gram with a low bit that tells training rows apart.
                 codes, n = np.unique(np.concatenate(parts), return_counts=True)
                 n[codes & 1 == 0] = 0
+                codes, first = np.unique(codes >> 1, return_index=True)
+                n = np.add.reduceat(n, first)
                 names = list(learned.keys() | other.keys())
                 total = len(codes) + len(names)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(total, chunk, np.int32)),
-                        pa.concat_arrays([pa.array(codes >> 1), pa.nulls(len(names), pa.int64())]),
+                        pa.concat_arrays([pa.array(codes), pa.nulls(len(names), pa.int64())]),
                         pa.concat_arrays(
                             [pa.nulls(len(codes), pa.binary()), pa.array(names, pa.binary())]
                         ),
@@ -248,7 +250,7 @@ def score_texts(
     learn: Column,
     depth: int = DEPTH,
     chunk_bytes: int = CHUNK_BYTES,
-    least_chunks: int = 64,
+    least_chunks: int = 16,
 ) -> DataFrame:
     """(doc_id, learn, n_tokens, n_known, train_tokens, base_score, score) per row.
 
