@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from quotelake.llm.common import staged
 
-DEPTH = 3
+DEPTH = 4
 CHUNK_BYTES = 32 << 20
 FLUSH = 16 << 20  # bytes of text a task counts before it sends what it has
 END = 10  # the byte of the end mark; words hold no white space
@@ -123,28 +123,121 @@ def _log_kt(zeros: Column, ones: Column) -> Column:
     )
 
 
-def _bits(rows: DataFrame) -> DataFrame:
-    """Eight rows per gram: context, node (the byte's bits so far after a 1) and the next bit."""
-    return rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("k")).select(
-        *rows.columns,
-        F.shiftright("gram", 8).alias("context"),
-        F.expr("cast(shiftright((gram & 255) + 256, 8 - k) as int)").alias("node"),
-        F.expr("cast(shiftright(gram & 255, 7 - k) & 1 as int)").alias("bit"),
+def _log_kt_array(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """As ``_log_kt`` inside tasks."""
+
+    def log_gamma(x):
+        y = x + 8
+        series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
+        product = x.copy()
+        for k in range(1, 8):
+            product *= x + k
+        return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - np.log(product)
+
+    return (
+        log_gamma(zeros + 0.5)
+        + log_gamma(ones + 0.5)
+        - log_gamma(zeros + ones + 1)
+        - math.log(math.pi)
     )
 
 
-def _tree(counts: DataFrame, depth: int) -> DataFrame:
-    """(context, node, one): the mixed chance of a 1 at each node of full depth."""
-    bit, n = F.col("bit"), F.col("n").cast("double")
-    leaf = (
-        _bits(counts)
-        .groupBy("context", "node")
-        .agg(F.sum(n * (1 - bit)).alias("zeros"), F.sum(n * bit).alias("ones"))
+class _Leaves:
+    """Nodes of full depth of sorted grams: eight per gram, equal ones counted once."""
+
+    def __init__(self, gram: np.ndarray, n: np.ndarray):
+        byte = (gram & 255)[:, None]
+        k = np.arange(8)
+        self.node = (byte + 256) >> (8 - k)
+        self.bit = byte >> (7 - k) & 1
+        key = (gram >> 8)[:, None] << 8 | self.node
+        self.keys, self.place = np.unique(key.ravel(), return_inverse=True)
+        weight = np.repeat(n.astype(np.float64), 8)
+        ones = self.bit.ravel() == 1
+        self.ones = np.bincount(self.place[ones], weight[ones], len(self.keys))
+        self.zeros = np.bincount(self.place[~ones], weight[~ones], len(self.keys))
+
+
+def _whole_groups(source, handle):
+    """Feed ``handle`` with tables of whole groups of the first column, which is sorted.
+
+    Only a group that a batch leaves open is carried over; a group is the grams of
+    one context less its oldest byte, so at most 65,536 rows and a few hundred nodes.
+    """
+    left = None
+    for batch in source:
+        table = pa.Table.from_batches([batch])
+        if left is not None:
+            table = pa.concat_tables([left, table])
+        group = table.column(0).to_numpy()
+        if not len(group):
+            continue
+        cut = int(np.searchsorted(group, group[-1]))
+        left = table.slice(cut)
+        if cut:
+            yield handle(table.slice(0, cut))
+    if left is not None and left.num_rows:
+        yield handle(left)
+
+
+def _below(depth: int) -> int:
+    """The mask of a context's newest bytes but the oldest, of grams of the depth."""
+    return (1 << 8 * (depth - 1)) - 1
+
+
+def _first_level(counts: DataFrame, depth: int) -> DataFrame:
+    """(context, node, zeros, ones, split) one byte short of full depth."""
+    mask = _below(depth)
+
+    def handle(table):
+        leaves = _Leaves(table.column("gram").to_numpy(), table.column("n").to_numpy())
+        keys, place = np.unique((leaves.keys >> 8 & mask) << 8 | leaves.keys & 255, return_inverse=True)
+
+        def total(values):
+            return np.bincount(place, values, len(keys))
+
+        return pa.RecordBatch.from_pydict(
+            {
+                "context": keys >> 8,
+                "node": (keys & 255).astype(np.int32),
+                "zeros": total(leaves.zeros),
+                "ones": total(leaves.ones),
+                "split": total(_log_kt_array(leaves.zeros, leaves.ones)),
+            }
+        )
+
+    grouped = counts.select(
+        F.shiftright("gram", 8).bitwiseAND(F.lit(mask)).alias("up"), "gram", "n"
+    )
+    return (
+        grouped.repartition("up")
+        .sortWithinPartitions("up", "gram")
+        .mapInArrow(
+            lambda source: _whole_groups(source, handle),
+            "context long, node int, zeros double, ones double, split double",
+        )
     )
-    kt = _log_kt(F.col("zeros"), F.col("ones"))
-    levels = {depth: staged(leaf.withColumn("weighted", kt).withColumn("own", F.lit(1.0)), "ctw")}
-    for d in range(depth - 1, -1, -1):
-        # The oldest byte of the context is its highest.
+
+
+def _mixed(level: DataFrame) -> DataFrame:
+    """A level with its weighted probability and the weight of its own estimate."""
+    level = level.withColumn("kt", _log_kt(F.col("zeros"), F.col("ones")))
+    high, low = F.greatest("kt", "split"), F.least("kt", "split")
+    mixed = math.log(0.5) + high + F.log1p(F.exp(low - high))
+    level = level.withColumn("weighted", mixed)
+    own = F.exp(F.least(F.lit(0.0), math.log(0.5) + F.col("kt") - F.col("weighted")))
+    return level.select("context", "node", "zeros", "ones", "weighted", own.alias("own"))
+
+
+def _tree(counts: DataFrame, depth: int) -> DataFrame:
+    """(context, node, said, left, last) of the contexts of ``depth - 1`` bytes.
+
+    The weights are found bottom up. Top down, ``said`` is what nodes down to this
+    one say, ``left`` the weight left for deeper ones, and ``last`` the chance of a 1 if
+    there is nothing deeper. A node without training bits passes its parent's on.
+    """
+    levels = {depth - 1: staged(_mixed(_first_level(counts, depth)), "ctw")}
+    for d in range(depth - 2, -1, -1):
         up = F.col("context").bitwiseAND(F.lit((1 << 8 * d) - 1))
         level = (
             levels[d + 1]
@@ -154,22 +247,12 @@ def _tree(counts: DataFrame, depth: int) -> DataFrame:
                 F.sum("ones").alias("ones"),
                 F.sum("weighted").alias("split"),
             )
-            .withColumn("kt", kt)
-        )
-        high, low = F.greatest("kt", "split"), F.least("kt", "split")
-        mixed = math.log(0.5) + high + F.log1p(F.exp(low - high))
-        level = level.withColumn("weighted", mixed).withColumn(
-            "own", F.exp(F.least(F.lit(0.0), math.log(0.5) + F.col("kt") - F.col("weighted")))
         )
-        levels[d] = staged(
-            level.select("context", "node", "zeros", "ones", "weighted", "own"), "ctw"
-        )
-    # Top down: what shallower nodes say, and the weight that is left for deeper ones. A node
-    # without training bits passes its parent's mixture on.
+        levels[d] = staged(_mixed(level), "ctw")
     seen = F.col("zeros") + F.col("ones") > 0
     chance = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
     above = None
-    for d in range(depth + 1):
+    for d in range(depth):
         level = levels[d].select("context", "node", chance.alias("kt"), seen.alias("seen"), "own")
         if above is None:
             level = level.withColumn("said", F.lit(0.0)).withColumn("left", F.lit(1.0))
@@ -189,17 +272,55 @@ def _tree(counts: DataFrame, depth: int) -> DataFrame:
             (F.col("left") * (1 - F.col("own"))).alias("left"),
             one.alias("last"),
         )
-    return above.select("context", "node", F.col("last").alias("one"))
+    return above
 
 
 def gram_prices(counts: DataFrame, depth: int) -> DataFrame:
-    """(gram, price): log10 of the chance of each gram's byte after its context."""
-    bits = _bits(counts.select("gram"))
-    chance = F.when(F.col("bit") == 1, F.col("one")).otherwise(1 - F.col("one"))
+    """(gram, price): log10 of the chance of each gram's byte after its context.
+
+    Full depth, the largest level by far, stays arrays in tasks: grams that agree
+    in all but the oldest byte of the context meet the nodes above them.
+    """
+    mask = _below(depth)
+
+    def handle(table):
+        is_gram = table.column("n").is_valid().to_numpy(zero_copy_only=False)
+        key = table.column("key").to_numpy()
+        gram = key[is_gram]
+        leaves = _Leaves(gram, table.column("n").drop_null().to_numpy())
+        nodes = table.filter(pa.array(~is_gram))
+        above = nodes.column("up").to_numpy() << 8 | key[~is_gram]
+        at = np.searchsorted(above, (leaves.keys >> 8 & mask) << 8 | leaves.keys & 255)
+        said, left, last = (nodes.column(c).to_numpy()[at] for c in ("said", "left", "last"))
+        total = leaves.zeros + leaves.ones
+        one = np.where(total > 0, said + left * (leaves.ones + 0.5) / (total + 1), last)
+        chance = one[leaves.place].reshape(-1, 8)
+        price = np.log10(np.where(leaves.bit == 1, chance, 1 - chance)).sum(axis=1)
+        return pa.RecordBatch.from_pydict({"gram": gram, "price": price})
+
+    tree = _tree(counts, depth)
+    nodes = tree.select(
+        F.col("context").alias("up"),
+        F.col("node").cast("long").alias("key"),
+        F.lit(None).cast("long").alias("n"),
+        "said",
+        "left",
+        "last",
+    )
+    none = F.lit(None).cast("double")
+    grams_ = counts.select(
+        F.shiftright("gram", 8).bitwiseAND(F.lit(mask)).alias("up"),
+        F.col("gram").alias("key"),
+        "n",
+        none.alias("said"),
+        none.alias("left"),
+        none.alias("last"),
+    )
     return (
-        bits.join(_tree(counts, depth), ["context", "node"])
-        .groupBy("gram")
-        .agg(F.sum(F.log10(chance)).alias("price"))
+        nodes.unionByName(grams_)
+        .repartition("up")
+        .sortWithinPartitions("up", F.col("n").isNotNull(), "key")
+        .mapInArrow(lambda source: _whole_groups(source, handle), "gram long, price double")
     )
 
 
