@@ -255,13 +255,19 @@ def _codes(words: DataFrame, codec: Codec, chunks: int, slots: int) -> DataFrame
     blank = words.sparkSession.range(chunks).select(
         F.col("id").cast("int").alias("chunk"),
         F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"),
-        F.lit("").alias("w"),
-        F.lit("").alias("code"),
+        F.lit(" ").alias("x"),
     )
-    slotted = coded.select("chunk", _slot(F.col("w"), slots).alias("slot"), "w", "code")
+    # One text per word crosses the network: its code, a space, the word.
+    packed = coded.select(
+        "chunk", F.lit(None).cast("int").alias("slot"), F.concat_ws(" ", "code", "w").alias("x")
+    )
+    w = F.substring("x", F.instr("x", " ") + 1, F.length("x"))
+    code = F.substring_index("x", " ", 1)
     by_slot = (
-        slotted.unionByName(blank)
+        packed.unionByName(blank)
         .repartition("chunk")
+        .select("chunk", "slot", w.alias("w"), code.alias("code"))
+        .withColumn("slot", F.coalesce("slot", _slot(F.col("w"), slots)))
         .groupBy("chunk", "slot")
         .agg(F.map_from_entries(F.collect_list(F.struct("w", "code"))).alias("codes"))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.session import scratch_path
@@ -32,10 +32,29 @@ def held_out(doc_id: Column, remainder: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == remainder, F.lit(False))
 
 
+_PATHS: dict[str, list[str]] = {}
+
+
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder that ``release`` knows of."""
+    path = scratch_path(spark, name)
+    _PATHS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what operators have staged so far; their results must have been written."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _PATHS.pop(spark.sparkContext.applicationId, []):
+        folder = hadoop.Path(path)
+        folder.getFileSystem(settings).delete(folder, True)
+
+
 def staged(df: DataFrame, name: str, *partitions: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = staged_path(spark, name)
     writer = df.write
     if partitions:
         writer = writer.partitionBy(*partitions)

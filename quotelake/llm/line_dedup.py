@@ -16,8 +16,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import BLANKS, lower_ascii, staged
-from quotelake.session import scratch_path
+from quotelake.llm.common import BLANKS, lower_ascii, staged, staged_path
 
 MIN_KEY = 10
 LAST = 9223372036854775807  # stands for a null doc_id: after all others
@@ -82,7 +81,7 @@ class LineRuns:
         )
 
     def _write(self, run: DataFrame, level: int = 0) -> str:
-        name, path = f"line_run_{uuid.uuid4().hex}", scratch_path(self.spark, "line-run")
+        name, path = f"line_run_{uuid.uuid4().hex}", staged_path(self.spark, "line-run")
         (
             run.write.format("parquet")
             .bucketBy(self.buckets, "h1", "h2")

@@ -1,6 +1,7 @@
 """The pipeline's stages take effect on what the stage before kept."""
 
 import corpus_pipeline
+from quotelake.session import scratch_path
 
 
 def test_stages(spark, sf_dir):
@@ -8,7 +9,9 @@ def test_stages(spark, sf_dir):
     columns, before = docs.columns, docs.count()
     seen = [before]
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = corpus_pipeline.staged(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
         assert docs.columns == columns
         seen.append(docs.count())
     assert seen[1] < seen[0] and seen[3] < seen[2] == seen[1]
