@@ -14,7 +14,8 @@ def test_stages(spark, sf_dir):
         docs = spark.read.parquet(path)
         assert docs.columns == columns
         seen.append(docs.count())
-    assert seen[1] < seen[0] and seen[3] < seen[2] == seen[1]
+    # Copies have lost their lines before near copies are looked for.
+    assert seen[4] <= seen[3] <= seen[2] == seen[1] < seen[0]
     out = corpus_pipeline.encode(spark, docs, sf_dir)
     assert out.count() == seen[-1]
     texts = {r.doc_id: r.text for r in docs.collect()}
