@@ -1,8 +1,9 @@
 """Mixing documents to target weights of domains with soft membership.
 
 A classifier fitted on a labelled table gives each document a posterior over the
-domains (naive Bayes over hashed words, scored by array lookups). Rates w >= 0,
-one per document, then minimise
+domains: naive Bayes over words, which backs off to the words of the whole sample
+where a domain's labels do not show that it differs. Rates w >= 0, one per
+document, then minimise
 
     |sum_i t_i w_i p_i - total * target|^2 + ridge * sum_i t_i (w_i - 1)^2
 
@@ -20,42 +21,39 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import literal_table, staged, words
+from quotelake.llm.common import staged, words
 
-BUCKETS = 1 << 14
 TRAIN_ROWS = 20_000
 UNIT = 1 << 30
+PSEUDO = 0.5  # words added to a domain's count of a word and to the expected count
 
 
 @dataclass(frozen=True)
 class Membership:
-    """Domains, log priors and per domain the log weights of the word buckets."""
+    """Domains, log priors, log norms, and (token, w0, w1, ...): log ratios of telling words.
+
+    The log probability of a text is the prior, less the norm for each token, and the
+    ratio of each telling one, up to what all domains share.
+    """
 
     domains: tuple[str, ...]
     priors: tuple[float, ...]
-    weights: tuple[list[float], ...]
-
-    def posterior(self, buckets: Column) -> Column:
-        """array<double> over the domains for a list of word buckets."""
-
-        def log_weight(prior, weights):
-            table = literal_table(weights, "double")
-            return F.aggregate(buckets, F.lit(prior), lambda total, b: total + F.get(table, b))
-
-        logs = [log_weight(*domain) for domain in zip(self.priors, self.weights)]
-
-        def softmax(found):
-            top = F.array_max(found)
-            up = F.transform(found, lambda x: F.exp(x - top))
-            whole = F.aggregate(up, F.lit(0.0), lambda n, x: n + x)
-            return F.transform(up, lambda x: x / whole)
+    norms: tuple[float, ...]
+    telling: DataFrame
 
-        return F.transform(F.array(F.array(*logs)), softmax)[0]
 
+def tokens(text: Column) -> Column:
+    """Hashes of the words, and of the shapes (letters as one) of words with other characters.
 
-def bucketed(text: Column) -> Column:
-    """The hash bucket of each word."""
-    return F.transform(words(text), lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
+    A junk word that no labelled row has is still known by its shape.
+    """
+    shapes = words(F.regexp_replace(text, "\\p{L}+", "a"))
+    return F.concat(
+        F.transform(words(text), lambda w: F.xxhash64(w)),
+        F.transform(
+            F.filter(shapes, lambda w: w != "a"), lambda w: F.xxhash64(F.lit("shape"), w)
+        ),
+    )
 
 
 def fit_membership(
@@ -63,7 +61,11 @@ def fit_membership(
 ) -> Membership:
     """Fit on at most ``train_rows`` labelled rows (doc_id, domain), those of least hash.
 
-    The driver gets one number per domain and bucket. A domain without rows keeps
+    A word is telling if the rows with it in some domain are sqrt(ln(rows)) deviations
+    off what the domain's share of all rows gives, as by the Bayesian information
+    criterion; in other domains it is, and all other words are, as frequent as in the
+    whole sample. So a rare word speaks for no domain, however
+    small. The driver gets a few numbers per domain. A domain without rows keeps
     flat weights and the prior of one row.
     """
     ids = (
@@ -72,37 +74,84 @@ def fit_membership(
         .limit(train_rows)
     )
     sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    sample = sample.select("domain", bucketed(F.col("text")).alias("buckets"))
-    # Rows and words of a domain; bucket -1 counts the rows.
-    counts = (
-        sample.select("domain", F.explode(F.concat(F.array(F.lit(-1)), "buckets")).alias("b"))
-        .groupBy("domain", "b")
-        .count()
-        .collect()
-    )
-    seen = {d: {} for d in domains}
-    for domain, bucket, n in counts:
-        seen[domain][bucket] = n
-    priors, weights = [], []
-    rows = sum(s.get(-1, 0) for s in seen.values())
-    for domain in domains:
-        n = seen[domain].pop(-1, 0)
-        whole = sum(seen[domain].values()) + BUCKETS
-        priors.append(math.log((n + 1) / (rows + len(domains))))
-        weights.append(
-            [round(math.log((seen[domain].get(b, 0) + 1) / whole), 4) for b in range(BUCKETS)]
+    sample = sample.select("domain", tokens(F.col("text")).alias("tokens"))
+
+    def marked(found, n, rows):
+        return F.transform(
+            found, lambda x: F.struct(x.alias("token"), F.lit(n).alias("n"), F.lit(rows).alias("m"))
         )
-    return Membership(domains, tuple(priors), tuple(weights))
+
+    both = F.concat(marked(F.col("tokens"), 1, 0), marked(F.array_distinct("tokens"), 0, 1))
+
+    def per_domain(column, name):
+        return [
+            F.sum(F.when(F.col("domain") == d, F.col(column)).otherwise(0)).alias(f"{name}{i}")
+            for i, d in enumerate(domains)
+        ]
+
+    counts = staged(
+        sample.select("domain", F.inline(both))
+        .groupBy("token")
+        .agg(*per_domain("n", "n"), *per_domain("m", "m")),
+        "word_counts",
+    )
+    seen = dict(sample.groupBy("domain").count().collect())
+    k = range(len(domains))
+    said = counts.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)) for i in k]).first()
+    rows = sum(seen.values()) + len(domains)
+    deviations = math.sqrt(math.log(rows))
+    shares = [(seen.get(d, 0) + 1) / rows for d in domains]
+    everywhere = sum(F.col(f"n{i}") for i in k)
+    with_word = sum(F.col(f"m{i}") for i in k)
+
+    def ratio(i):
+        by_rows = with_word * shares[i]
+        off = F.abs(F.col(f"m{i}") - by_rows) >= deviations * F.sqrt(by_rows * (1 - shares[i]) + 1)
+        expected = everywhere * (said[i] / max(sum(said), 1))
+        return F.when(off, (F.col(f"n{i}") + PSEUDO) / (expected + PSEUDO)).otherwise(1.0)
+
+    ratios = counts.select("token", everywhere.alias("n"), *[ratio(i).alias(f"r{i}") for i in k])
+    ratios = staged(ratios.where(" OR ".join(f"r{i} <> 1" for i in k)), "telling_words")
+    moved = ratios.agg(*[F.sum(F.col("n") * (F.col(f"r{i}") - 1)) for i in k]).first()
+    return Membership(
+        domains,
+        tuple(map(math.log, shares)),
+        tuple(math.log1p((x or 0.0) / max(sum(said), 1)) for x in moved),
+        ratios.select("token", *[F.log(f"r{i}").alias(f"w{i}") for i in k]),
+    )
 
 
 def memberships(docs: DataFrame, model: Membership) -> DataFrame:
-    """(doc_id, t, p): number of words and posterior of each row; null text has none."""
-    split = docs.select("doc_id", bucketed(F.col("text")).alias("buckets"))
-    return split.select(
+    """(doc_id, t, p): number of words and posterior of each row; null text has none.
+
+    The telling words are few and meet the words of a text in its own task; only one
+    row per document is shuffled.
+    """
+    k = range(len(model.domains))
+    split = docs.select(
         "doc_id",
-        F.size("buckets").cast("double").alias("t"),
-        model.posterior(F.col("buckets")).alias("p"),
+        F.monotonically_increasing_id().alias("row"),
+        F.size(words(F.col("text"))).alias("t"),
+        tokens(F.coalesce("text", F.lit(""))).alias("tokens"),
+    )
+    each = split.select(
+        "doc_id", "row", "t", F.size("tokens").alias("size"), F.explode_outer("tokens").alias("token")
+    )
+    sums = (
+        each.join(F.broadcast(model.telling), "token", "left")
+        .groupBy("row", "doc_id", "t", "size")
+        .agg(*[F.coalesce(F.sum(f"w{i}"), F.lit(0.0)).alias(f"w{i}") for i in k])
     )
+    logs = [model.priors[i] - F.col("size") * model.norms[i] + F.col(f"w{i}") for i in k]
+
+    def softmax(found):
+        top = F.array_max(found)
+        up = F.transform(found, lambda x: F.exp(x - top))
+        whole = F.aggregate(up, F.lit(0.0), lambda n, x: n + x)
+        return F.transform(up, lambda x: x / whole)
+
+    p = F.transform(F.array(F.array(*logs)), softmax)[0]
+    return sums.select("doc_id", F.col("t").cast("double").alias("t"), p.alias("p"))
 
 
 def _rate(steps: list[list[float]], ridge: float) -> Column:

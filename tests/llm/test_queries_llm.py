@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from compare import difference
+from pyspark.sql import functions as F
 
 from quotelake.llm.oracles import ORACLES
 from quotelake.llm.queries import QUERIES, RANKS
@@ -85,6 +86,25 @@ def test_mixing_reaches_its_targets(spark, sf_dir):
     assert all(r.rate >= 0 and math.floor(r.rate) <= r.copies <= r.rate + 1 for r in rows)
 
 
+def test_mixing_stage_keeps_held_out_clean_rows_of_each_language(spark):
+    from corpus_pipeline import TARGETS
+    from quotelake.llm import mixing
+    from quotelake.llm.common import held_out
+
+    data = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    labelled = mixing.label_domains(spark.read.parquet(f"{data}/labels.parquet"))
+    known = labelled.where(~held_out(F.col("doc_id"), 2))
+    mixed = mixing.mix(docs, known, TARGETS, rounding="nearest").select("doc_id", "copies")
+    unseen = labelled.where(held_out(F.col("doc_id"), 2)).join(mixed, "doc_id")
+    rows = unseen.join(docs.select("doc_id", "lang"), "doc_id").collect()
+    for lang in ("de", "en", "es", "fr"):
+        clean = [r.copies for r in rows if r.lang == lang and r.domain == "clean"]
+        assert clean and sum(c == 0 for c in clean) <= 0.03 * len(clean)
+    toxic = [r.copies for r in rows if r.domain == "toxic"]
+    assert toxic and sum(c > 0 for c in toxic) <= 0.2 * len(toxic)
+
+
 def test_bpe_equals_the_library(spark, sf_dir):
     with open(public_tokenizers.path(RANKS), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
