@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from quotelake.llm.common import staged
 
-DEPTH = 4
+DEPTH = 6  # at most: a gram and its training bit fill 57 of 63 bits
 CHUNK_BYTES = 32 << 20
 FLUSH = 16 << 20  # bytes of text a task counts before it sends what it has
 END = 10  # the byte of the end mark; words hold no white space

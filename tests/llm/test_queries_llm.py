@@ -135,3 +135,9 @@ def test_lm_base_equals_brute_force(spark, sf_dir):
         assert r.n_known == sum(counts[w] > 0 for w in ws)
         assert r.base_score == pytest.approx(base)
         assert r.score < 0
+
+
+def test_lm_beats_word_counts_on_held_out_rows(spark):
+    rows = QUERIES["op10_lm_scoring"](spark, "/root/testdata/sf0.01").where("held_out")
+    score, base = rows.agg(F.sum("score"), F.sum("base_score")).first()
+    assert base < score < 0
