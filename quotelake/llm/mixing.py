@@ -40,6 +40,7 @@ class Membership:
     priors: tuple[float, ...]
     norms: tuple[float, ...]
     telling: DataFrame
+    rows: int  # fitted on
 
 
 def tokens(text: Column) -> Column:
@@ -118,6 +119,7 @@ def fit_membership(
         tuple(map(math.log, shares)),
         tuple(math.log1p((x or 0.0) / max(sum(said), 1)) for x in moved),
         ratios.select("token", *[F.log(f"r{i}").alias(f"w{i}") for i in k]),
+        sum(seen.values()),
     )
 
 
@@ -216,7 +218,9 @@ def mix(
 
     ``labelled`` has (doc_id, domain); ``targets`` has the share of each domain.
     ``copies`` is the rate rounded up or down by a hash of doc_id, so that it has
-    the rate as its mean, or with ``rounding="nearest"`` the nearest number. Null and empty texts have no tokens: they follow the prior
+    the rate as its mean, or with ``rounding="nearest"`` the nearest number, but not 0 unless the text
+    makes the domains asked for less likely than the labels do. Without labelled rows
+    all rates are 1. Null and empty texts have no tokens: they follow the prior
     and do not count. Repeated rows are rated one by one; a null doc_id is rated
     like others; an empty table gives no rows. Only doc_id and text are read.
     """
@@ -224,18 +228,26 @@ def mix(
     model = fit_membership(docs, labelled, domains)
     members = staged(memberships(docs, model), "memberships")
     rate, _ = solve_rates(members, [targets[d] for d in domains], total)
+    if not model.rows:
+        rate = F.lit(1.0)
     rated = members.withColumn("rate", F.round(rate, 9))
     drawn = F.pmod(F.xxhash64(F.lit("copies"), "doc_id"), F.lit(UNIT)) / F.lit(float(UNIT))
     whole = F.floor("rate")
     up = drawn < F.col("rate") - whole
     if rounding == "nearest":
         up = F.col("rate") - whole >= 0.5
+    copies = whole + F.coalesce(up, F.lit(False)).cast("long")
+    if rounding == "nearest":
+        asked = [i for i, d in enumerate(domains) if targets[d] > 0]
+        known = sum(math.exp(model.priors[i]) for i in asked)
+        unspoken = sum(F.col("p")[i] for i in asked) >= known - 1e-9
+        copies = F.when(unspoken, F.greatest(copies, F.lit(1))).otherwise(copies).cast("long")
     return rated.select(
         "doc_id",
         F.col("t").cast("long").alias("tokens"),
         F.map_from_arrays(F.array(*map(F.lit, domains)), F.col("p")).alias("posterior"),
         "rate",
-        (whole + F.coalesce(up, F.lit(False)).cast("long")).alias("copies"),
+        copies.alias("copies"),
     )
 
 

@@ -244,6 +244,13 @@ def test_mixing_edges(spark):
     assert mixing.mix(frame, labelled.limit(0), {"a": 0.5, "b": 0.5}).count() == len(rows)
 
 
+def test_mixing_drops_nothing_without_evidence(spark):
+    frame = docs(spark, *EDGE, (6, "red green"))
+    none = spark.createDataFrame([(99, "a")], "doc_id long, domain string")
+    out = mixing.mix(frame, none, {"a": 1.0, "b": 0.0, "c": 0.0}, rounding="nearest").collect()
+    assert [(r.rate, r.copies) for r in out] == [(1.0, 1)] * 6
+
+
 @pytest.fixture(scope="module")
 def library():
     with open(public_tokenizers.path(RANKS), "rb") as lines:
