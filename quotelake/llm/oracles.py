@@ -136,10 +136,109 @@ SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
 FROM embeddings JOIN (SELECT v, min(r) AS component_id FROM reach GROUP BY v) ON v = vec_id
 """
 
+def _best(*offers: str) -> str:
+    """The cheapest of some edit sequences, then the least audit."""
+    return f"list_min([{', '.join(offers)}])"
+
+
+def _after(state: str, cost: str, edit: str, line: str | None = None) -> str:
+    """The sequence of a state with one more edit and, unless deleted, one more turn."""
+    said = f"{state}.t || chr(10) || {line}" if line else f"{state}.t"
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 't': {said}}}"
+
+
+def _inserted(columns: str, source: str) -> str:
+    """States n, s, u, v (nothing, s, u, a at the end) with empty turns inserted."""
+    user = [_after(x, "5", "I", "'user:'") for x in "nsv"]
+    helper = _after("u", "5", "I", "'assistant:'")
+    return f"""SELECT {columns}, n, s, u, {_best("v", helper)} AS v
+        FROM (SELECT {columns}, n, s, {_best("u", *user)} AS u, v FROM ({source}))"""
+
+
+def _kept(state: str, initial: str) -> str:
+    """Keep a row of that initial, else an offer that is never the cheapest."""
+    cost = f"CASE WHEN go OR initial <> '{initial}' THEN {_FAR} ELSE late END"
+    return _after(state, cost, "K", "role || ':' || text")
+
+
+def _renamed(state: str, role: str) -> str:
+    cost = f"CASE WHEN go THEN {_FAR} ELSE late + 1 END"
+    return _after(state, cost, "R", f"'{role}:' || text")
+
+
+_FAR = 1_000_000_000
+_NO = f"{{'c': {_FAR}::BIGINT, 'a': '', 't': ''}}"
+_KEY = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+_CRC = f"""xor(4294967295::BIGINT, list_reduce(
+  list_prepend(4294967295::BIGINT,
+    list_transform(string_split({_KEY}, ''), lambda ch: ord(ch)::BIGINT)),
+  lambda acc, b: list_reduce(list_prepend(xor(acc, b), range(8)::BIGINT[]),
+    lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END::BIGINT))))"""
+_MOVED = f"""
+  SELECT w.conv_id, w.pos + 1 AS pos,
+    {_after("n", "2", "D")} AS n,
+    {_best(_after("s", "2", "D"), _kept("n", "s"))} AS s,
+    {_best(_after("u", "2", "D"), *[_kept(x, "u") for x in "nsv"],
+           *[_renamed(x, "user") for x in "nsv"])} AS u,
+    {_best(_after("v", "2", "D"), _kept("u", "a"), _renamed("u", "assistant"))} AS v
+  FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.pos = w.pos + 1"""
+
+CONVERSATION_REPAIR = f"""
+WITH RECURSIVE coded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_CRC} % 20 AS kind FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS again
+  FROM coded
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
+           md5(strlen(role)::VARCHAR || ':' || role || text), again) AS pos,
+         left(role, 1) AS initial, rtrim(text, {BLANKS}) AS ended
+  FROM damaged
+), repeated AS (
+  SELECT *, ended = '' AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again_said,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+  FROM placed
+), judged AS (
+  SELECT *, NOT blank AND again_said AS duplicate, blank OR again_said AS go,
+         NOT blank AND NOT again_said AND right(ended, 1) NOT IN ('.', '!', '?') AS truncated,
+         CASE WHEN NOT blank AND NOT again_said AND right(ended, 1) NOT IN ('.', '!', '?')
+              THEN 5 ELSE 0 END AS late
+  FROM repeated
+), walk AS (
+  {_inserted("conv_id, pos", f"SELECT DISTINCT conv_id, 0::BIGINT AS pos, "
+             f"{{'c': 0::BIGINT, 'a': '', 't': ''}} AS n, {_NO} AS s, {_NO} AS u, {_NO} AS v "
+             "FROM judged")}
+  UNION ALL
+  {_inserted("conv_id, pos", _MOVED)}
+), facts AS (
+  SELECT conv_id, count(*) AS n_rows,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE blank) AS blank,
+         count(*) FILTER (WHERE duplicate) AS duplicate,
+         count(*) FILTER (WHERE truncated) AS truncated,
+         count(*) FILTER (WHERE before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+), ends AS (
+  SELECT f.*, {_best("w.n", "w.v")} AS best
+  FROM facts f JOIN walk w ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.pos = f.n_rows
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+     LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 ORACLES = {
     "op7_embedding_near_dedup": EMBEDDINGS,
     "op1_line_dedup": LINE_DEDUP,
     "op4_chat_format": CHAT_FORMAT,
     "op6_sharding": SHARDING,
     "op9_quality_rules": QUALITY_RULES,
+    "op12_conversation_repair": CONVERSATION_REPAIR,
 }

@@ -10,6 +10,7 @@ import public_tokenizers
 from quotelake.llm import (
     bpe,
     chat,
+    conversation_repair,
     embedding_dedup,
     line_dedup,
     lm_scoring,
@@ -145,6 +146,23 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    audits, turns = conversation_repair.repair_conversations(conversation_repair.damaged(given))
+    hashes = conversation_repair.turn_hashes(turns).withColumnRenamed("conv_id", "hashed")
+    whole = given.select(F.col("conv_id").alias("given")).distinct()
+    found = whole.join(audits, F.col("given").eqNullSafe(F.col("conv_id")), "left").join(
+        hashes, F.col("given").eqNullSafe(F.col("hashed")), "left"
+    )
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in conversation_repair.COUNTS]
+    return found.select(
+        F.col("given").alias("conv_id"),
+        *counts,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.lit(conversation_repair.EMPTY_HASH)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -156,4 +174,5 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_lm_scoring": op10_lm_scoring,
+    "op12_conversation_repair": op12_conversation_repair,
 }
