@@ -234,11 +234,41 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c
      LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
 """
 
+_TERMS = f"""SELECT {{}}, unnest(regexp_extract_all({LOWER.format("text")},
+  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM {{}}"""
+
+LEXICAL_SEARCH = f"""
+WITH counted AS (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM ({_TERMS.format("doc_id", "documents")})
+  GROUP BY ALL
+), long AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n FROM counted GROUP BY doc_id
+), whole AS (
+  SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS l FROM long
+), weighed AS (
+  SELECT term, floor(1000 * ln((2 * any_value(nd) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counted, whole GROUP BY term
+), asked AS (
+  SELECT item_id, term, count(*)::BIGINT AS c FROM ({_TERMS.format("item_id", "benchmark")})
+  GROUP BY ALL
+), scored AS (
+  SELECT a.item_id, d.doc_id,
+         sum(a.c * w.w * ((1000000000 * d.tf) // (1000 * d.tf + 8 * (25 + (75 * g.n * nd) // l))))
+           ::BIGINT AS score
+  FROM asked a JOIN counted d USING (term) JOIN weighed w USING (term) JOIN long g USING (doc_id),
+       whole GROUP BY a.item_id, d.doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank,
+       doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
 ORACLES = {
     "op7_embedding_near_dedup": EMBEDDINGS,
     "op1_line_dedup": LINE_DEDUP,
     "op4_chat_format": CHAT_FORMAT,
     "op6_sharding": SHARDING,
     "op9_quality_rules": QUALITY_RULES,
+    "op11_lexical_search": LEXICAL_SEARCH,
     "op12_conversation_repair": CONVERSATION_REPAIR,
 }

@@ -12,6 +12,7 @@ from quotelake.llm import (
     chat,
     conversation_repair,
     embedding_dedup,
+    lexical_search,
     line_dedup,
     lm_scoring,
     mixing,
@@ -146,6 +147,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations")
     audits, turns = conversation_repair.repair_conversations(conversation_repair.damaged(given))
@@ -174,5 +181,6 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_lexical_search": op11_lexical_search,
     "op12_conversation_repair": op12_conversation_repair,
 }
