@@ -17,6 +17,7 @@ from quotelake.llm import (
     lm_scoring,
     mixing,
     near_dedup,
+    pii,
     quality_classifier,
     quality_rules,
     sharding,
@@ -170,6 +171,25 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def joined_spans(spans):
+    parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    return F.array_join(parts, ",")
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        sha256(joined_spans(F.col("base"))).alias("base_sha256"),
+        joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -183,4 +203,5 @@ QUERIES = {
     "op10_lm_scoring": op10_lm_scoring,
     "op11_lexical_search": op11_lexical_search,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_pii": op13_pii,
 }
