@@ -36,8 +36,9 @@ TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 ITEM_BYTES = 1 << 20  # of item text searched at once
 SAMPLE = 64  # one document of so many gives the known scores
 PLANES = 24  # signs that order documents by similarity
-SECTION = 2048  # documents clustered together
-CELLS = 1 << 24  # impacts of a section as a dense matrix
+SECTION = 1024  # documents clustered together
+CELLS = 1 << 22  # impacts of a section as a dense matrix
+PAIRS = 1 << 16  # candidates of one Arrow batch, about
 BLOCK = 8  # documents of a block, on average
 
 # Separators become spaces and A-Z become a-z, so that split() gives the terms.
@@ -308,8 +309,14 @@ def candidates(index_blocks: DataFrame, plan: Plan) -> DataFrame:
 
     def run(source):
         summary = np.zeros(plan.items.size, dtype=np.int64)
+        docs, found, size = [], [], 0
+
+        def flush():
+            pairs = [pa.array(np.concatenate(x)) for x in (docs, found)]
+            docs.clear(), found.clear()
+            return pa.RecordBatch.from_arrays(pairs, ["doc", "item"])
+
         for batch in source:
-            docs, found = [], []
             for term, members, at, most in zip(*(c.to_pylist() for c in batch.columns)):
                 where = plan.coordinates(term)[np.frombuffer(at, np.int32)]
                 summary[where] = np.frombuffer(most, np.int64)
@@ -321,9 +328,12 @@ def candidates(index_blocks: DataFrame, plan: Plan) -> DataFrame:
                     members = np.frombuffer(members, np.int64)
                     docs.append(np.repeat(members, len(reached)))
                     found.append(np.tile(reached, len(members)))
-            if docs:
-                pairs = [pa.array(np.concatenate(x)) for x in (docs, found)]
-                yield pa.RecordBatch.from_arrays(pairs, ["doc", "item"])
+                    size += len(docs[-1])
+                    if size >= PAIRS:
+                        yield flush()
+                        size = 0
+        if docs:
+            yield flush()
 
     # A document meets an item in each list of its essential terms; one is enough.
     return index_blocks.mapInArrow(run, "doc long, item long").distinct()
