@@ -1,22 +1,14 @@
-"""Bronze load: CSV rows kept as one VARIANT per row, with where and when they came from."""
+"""Bronze rows: CSV rows kept as one VARIANT per row, with where and when they came from."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.sources.files import (
-    FILE_NAME,
-    file_status,
-    list_files,
-    new_files,
-    readable_paths,
-    scan_csv_text,
-    symbol_of,
-)
+from quotelake.sources.files import FILE_NAME, symbol_of
 
 INGEST_SYMBOL = "_ingest_symbol"
 
@@ -84,59 +76,3 @@ def companies_with_data(companies: DataFrame, symbols: DataFrame) -> DataFrame:
     return companies.join(
         known, F.upper(F.trim(F.col(f"`{column}`"))) == F.col("_real"), "left_semi"
     )
-
-
-def load_bronze(
-    spark: SparkSession,
-    folder: str,
-    table_path: str,
-    batch_ts: datetime,
-    suffix: str = ".csv",
-    full_refresh: bool = False,
-    symbols: DataFrame | None = None,
-) -> DataFrame:
-    """Load new CSV files below ``folder`` into the bronze table; gives (status, files).
-
-    Files the table already names are not read again. Each run writes its own
-    folder ``load_ts=<batch_ts>``, replaced when the same run is repeated, so a
-    failed run leaves no half-loaded or doubled rows.
-    """
-    listing = list_files(spark, folder, "*.csv")
-    history = _loaded(spark, table_path, full_refresh, batch_ts)
-    # File names only: the scan below has to plan over the same list anyway.
-    fresh = [r[0] for r in new_files(listing, history).select(FILE_NAME).collect()]
-    if not fresh:
-        return file_status(listing, history, history)
-    rows = scan_csv_text(spark, readable_paths(fresh))
-    if symbols is not None:
-        loaded = envelope(companies_with_data(rows, symbols), F.col(FILE_NAME), batch_ts)
-    else:
-        loaded = envelope(
-            rows, F.col(FILE_NAME), batch_ts, symbol_of(F.col(FILE_NAME), suffix)
-        )
-    overwrite = "static" if full_refresh else "dynamic"
-    (
-        loaded.write.mode("overwrite")
-        .option("partitionOverwriteMode", overwrite)
-        .partitionBy("load_ts")
-        .parquet(table_path)
-    )
-    written = read_bronze(spark, table_path).filter(F.col("load_ts") == F.lit(batch_ts))
-    return file_status(listing, history, written)
-
-
-def read_bronze(spark: SparkSession, table_path: str) -> DataFrame:
-    return spark.read.schema("file_name string, raw variant, load_ts timestamp").parquet(table_path)
-
-
-def _loaded(spark, table_path, full_refresh, batch_ts) -> DataFrame:
-    """File names of earlier runs; a repeated run does not count as earlier."""
-    nothing = spark.createDataFrame([], f"{FILE_NAME} string")
-    if full_refresh:
-        return nothing
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(table_path)
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return nothing
-    earlier = read_bronze(spark, table_path).filter(F.col("load_ts") != F.lit(batch_ts))
-    return earlier.select(FILE_NAME).distinct()

@@ -95,9 +95,9 @@ def scan_csv_text(
     layouts = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
     merged = None
     for layout in layouts:
-        names = _column_names(layout["header"])
-        if not names:
+        if not (layout["header"] or "").strip():
             continue
+        names = column_names(next(csv.reader([layout["header"]])))
         # With one layout the folder itself is scanned; else the files of the group.
         source = paths if len(layouts) == 1 else readable_paths(layout["files"])
         rows = _scan_layout(spark, source, names, options)
@@ -117,13 +117,11 @@ def _scan_layout(
     return reader.csv(paths).withColumn(FILE_NAME, F.col("_metadata.file_path"))
 
 
-def _column_names(header: str | None) -> list[str]:
-    """Header cells; blank ones are named by position and repeated ones numbered."""
-    if not header or not header.strip():
-        return []
+def column_names(cells: Sequence[str | None]) -> list[str]:
+    """Header cells as column names; blank ones are named by position, repeated ones numbered."""
     names: list[str] = []
-    for i, cell in enumerate(next(csv.reader([header]))):
-        name = cell.strip() or f"column_{i}"
+    for i, cell in enumerate(cells):
+        name = (cell or "").lstrip("\ufeff").strip() or f"column_{i}"
         while name in names:
             name = f"{name}_{i}"
         names.append(name)

@@ -70,6 +70,28 @@ def midnight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").agg(day.alias("now"))
 
 
+def landing_files(df: DataFrame, symbol: Column, folder: str, suffix: str = ".csv") -> None:
+    """A CSV file ``<symbol><suffix>`` per symbol, as a scraper leaves them."""
+    spark = df.sparkSession
+    written = scratch_path(spark, "parts")
+    rows = df.withColumn("_symbol", symbol).repartition("_symbol")
+    (
+        rows.write.partitionBy("_symbol")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(written)
+    )
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    found = hadoop.Path(f"{written}/_symbol=*/part-*")
+    store = found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(hadoop.Path(folder))
+    for status in store.globStatus(found):
+        path = status.getPath()
+        name = path.getParent().getName().split("=", 1)[1] + suffix
+        store.rename(path, hadoop.Path(f"{folder}/{name}"))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written once to the shared folder and read back as a table."""
     path = scratch_path(df.sparkSession, name)

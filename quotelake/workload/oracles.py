@@ -908,8 +908,33 @@ ORACLES["route_files"] = """SELECT p_partkey, path, CASE
     WHEN contains(lower(path), 'financial') THEN 'financial' END AS target
     FROM (SELECT p_partkey, replace(replace(replace('batch/' || p_type || '/' || p_name || '.csv',
       'PROMO', 'Company'), 'SMALL', 'OHLC'), 'LARGE', 'Financials') AS path FROM part)"""
-ORACLES["bronze_load"] = """SELECT s_suppkey, s_name, s_acctbal, CAST(NULL AS VARCHAR) AS absent,
-    '2024-02-01 00:00:00.000000' AS load_ts FROM supplier"""
+_LOADS = [f"'2024-02-0{day} 00:00:00.000000'" for day in (1, 2, 3)]
+
+ORACLES["bronze_load"] = f"""SELECT s_suppkey, s_name, s_acctbal, CAST(NULL AS VARCHAR) AS absent,
+    'S' || (s_suppkey % 10) AS _ingest_symbol, {_LOADS[0]} AS load_ts FROM supplier"""
+ORACLES["bronze_prices"] = f"""SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+    l_extendedprice, CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS l_quantity,
+    'P' || (l_partkey % 40) AS _ingest_symbol, {_LOADS[0]} AS load_ts FROM lineitem"""
+ORACLES["bronze_statements"] = f"""SELECT o_orderkey, o_totalprice,
+    CASE WHEN o_custkey % 2 = 0 THEN o_orderstatus END AS o_orderstatus,
+    'C' || (o_custkey % 30) AS _ingest_symbol, {_LOADS[0]} AS load_ts FROM orders"""
+ORACLES["bronze_companies"] = f"""WITH named AS (
+    SELECT CASE WHEN p_size % 2 = 0 THEN ' p' ELSE 'C' END || (p_partkey % 60) || ' ' AS "Symbol",
+        p_partkey, p_name FROM part
+), known AS (
+    SELECT 'P' || (l_partkey % 40) AS symbol FROM lineitem
+    UNION SELECT 'C' || (o_custkey % 30) FROM orders WHERE o_custkey % 30 < 12
+)
+SELECT "Symbol", p_partkey, p_name, CAST(NULL AS VARCHAR) AS _ingest_symbol,
+    {_LOADS[0]} AS load_ts
+FROM named WHERE upper(trim("Symbol")) IN (SELECT symbol FROM known)"""
+ORACLES["bronze_second_run"] = f"""SELECT o_orderkey, 'C' || (o_custkey % 30) AS _ingest_symbol,
+    CASE WHEN o_custkey % 30 < 18 THEN {_LOADS[0]} ELSE {_LOADS[1]} END AS load_ts FROM orders"""
+ORACLES["bronze_full_refresh"] = f"""SELECT o_orderkey, 'C' || (o_custkey % 30) AS _ingest_symbol,
+    {_LOADS[2]} AS load_ts FROM orders"""
+ORACLES["bronze_status"] = """SELECT
+    CASE WHEN o_custkey % 30 < 18 THEN 'skipped' ELSE 'processed' END AS status,
+    count(DISTINCT o_custkey % 30) AS files FROM orders GROUP BY 1"""
 ORACLES["file_inventory"] = """SELECT 'o_orderstatus=' || o_orderstatus AS prefix,
     CAST(1 AS BIGINT) AS files, 'csv' AS extensions FROM orders GROUP BY o_orderstatus"""
 ORACLES["materialize_incremental"] = sql(

@@ -13,7 +13,7 @@ from quotelake.functions import calendar, text
 from quotelake.operators import incremental, latest, lookups, quality, series
 from quotelake.plans import companies, dimensions, financials, indices, panels, points, prices
 from quotelake.session import scratch_path, tune
-from quotelake.sources import bronze, files, loaders, messages, sinks
+from quotelake.sources import bronze, files, ingest, loaders, messages, sinks
 from quotelake.streaming import live
 from quotelake.streaming import ticks as tick_stream
 from quotelake.workload import inputs
@@ -1002,26 +1002,139 @@ def route_files(spark, sf):
     )
 
 
+RUNS = (datetime(2024, 2, 1), datetime(2024, 2, 2), datetime(2024, 2, 3))
+
+
+def _price_landing(spark, sf, folder):
+    """Lineitems as one price file per symbol."""
+    rows = inputs.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
+        F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).alias("l_quantity"),
+    )
+    symbol = F.concat(F.lit("P"), (F.col("l_partkey") % 40).cast("string"))
+    inputs.landing_files(rows, symbol, folder)
+
+
+def _statement_landing(spark, sf, folder, where):
+    """Orders as one statement file per symbol; the columns differ between files."""
+    rows = inputs.table(spark, sf, "orders").filter(where)
+    narrow = rows.select("o_orderkey", "o_totalprice", "o_custkey")
+    wide = rows.select("o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice")
+    symbol = F.concat(F.lit("c"), (F.col("o_custkey") % 30).cast("string"))
+    odd = F.col("o_custkey") % 2 == 1
+    inputs.landing_files(narrow.filter(odd), symbol, folder, "_finance.csv")
+    inputs.landing_files(wide.filter(~odd), symbol, folder, "_finance.csv")
+
+
+def _bronze_rows(spark, path, names, numbers):
+    """Members of the stored raw rows with the symbol of their file and their load."""
+    text_rows = bronze.members(
+        ingest.read_bronze(spark, path), [*names, bronze.INGEST_SYMBOL], ["load_ts"]
+    )
+    return text_rows.withColumns({n: F.col(n).cast(kind) for n, kind in numbers.items()})
+
+
 @query
 def bronze_load(spark, sf):
-    """Suppliers written as CSV folders, loaded as raw rows and read back typed."""
-    folder, table = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
-    rows = inputs.table(spark, sf, "supplier").select(
-        "s_suppkey", "s_name", "s_acctbal", "s_nationkey"
+    """Suppliers written as CSV files, loaded as raw rows and read back typed."""
+    out = scratch_path(spark, "bronze")
+    rows = inputs.table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    inputs.landing_files(rows, F.concat(F.lit("s"), F.col("s_suppkey") % 10), f"{out}/landing")
+    ingest.ingest(spark, f"{out}/landing", f"{out}/table", f"{out}/ledger", RUNS[0])
+    return _bronze_rows(
+        spark, f"{out}/table", ["s_suppkey", "s_name", "s_acctbal", "absent"],
+        {"s_suppkey": "bigint", "s_acctbal": "double"},
     )
-    rows.write.partitionBy("s_nationkey").option("header", True).csv(folder)
-    bronze.load_bronze(spark, folder, table, datetime(2024, 2, 1))
-    text_rows = bronze.members(
-        bronze.read_bronze(spark, table), ["s_suppkey", "s_name", "s_acctbal", "absent"], ["load_ts"]
+
+
+@query
+def bronze_prices(spark, sf):
+    """The price load: one file per symbol, all lineitems."""
+    out = scratch_path(spark, "bronze-prices")
+    _price_landing(spark, sf, f"{out}/landing")
+    ingest.ingest(spark, f"{out}/landing", f"{out}/table", f"{out}/ledger", RUNS[0])
+    return _bronze_rows(
+        spark, f"{out}/table", ["l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"],
+        {"l_orderkey": "bigint", "l_linenumber": "bigint", "l_extendedprice": "double",
+         "l_quantity": "double"},
     )
-    return text_rows.withColumns(
-        {
-            "s_suppkey": F.col("s_suppkey").cast("bigint"),
-            "s_acctbal": F.col("s_acctbal").cast("double"),
-        }
+
+
+@query
+def bronze_statements(spark, sf):
+    """The statement load: files whose columns differ, all orders."""
+    out = scratch_path(spark, "bronze-statements")
+    _statement_landing(spark, sf, f"{out}/landing", F.lit(True))
+    ingest.ingest(
+        spark, f"{out}/landing", f"{out}/table", f"{out}/ledger", RUNS[0], "_finance.csv",
+        files_per_batch=7,
+    )
+    return _bronze_rows(
+        spark, f"{out}/table", ["o_orderkey", "o_totalprice", "o_orderstatus"],
+        {"o_orderkey": "bigint", "o_totalprice": "double"},
     )
 
 
+@query
+def bronze_companies(spark, sf):
+    """The company load: rows of symbols that have a price or a statement file."""
+    out = scratch_path(spark, "bronze-companies")
+    _price_landing(spark, sf, f"{out}/prices")
+    _statement_landing(spark, sf, f"{out}/finances", F.col("o_custkey") % 30 < 12)
+    rows = inputs.table(spark, sf, "part").select(
+        F.concat(
+            F.when(F.col("p_size") % 2 == 0, " p").otherwise("C"),
+            (F.col("p_partkey") % 60).cast("string"),
+            F.lit(" "),
+        ).alias("Symbol"),
+        "p_partkey", "p_name",
+    )
+    inputs.landing_files(rows, F.lit("company_meta"), f"{out}/companies")
+    symbols = bronze.real_symbols(
+        files.list_files(spark, f"{out}/prices", "*.csv"),
+        files.list_files(spark, f"{out}/finances", "*.csv"),
+    )
+    ingest.ingest(
+        spark, f"{out}/companies", f"{out}/table", f"{out}/ledger", RUNS[0], symbols=symbols
+    )
+    return _bronze_rows(
+        spark, f"{out}/table", ["Symbol", "p_partkey", "p_name"], {"p_partkey": "bigint"}
+    )
+
+
+def _three_runs(spark, sf, out, last_refreshes):
+    """Two lots of files and a run after each, then one without new files."""
+    early = F.col("o_custkey") % 30 < 18
+    for run, (ts, lot) in enumerate(zip(RUNS, (early, ~early, None))):
+        if lot is not None:
+            _statement_landing(spark, sf, f"{out}/landing", lot)
+        ingest.ingest(
+            spark, f"{out}/landing", f"{out}/table", f"{out}/ledger", ts, "_finance.csv",
+            full_refresh=last_refreshes and run == 2,
+        )
+    return _bronze_rows(spark, f"{out}/table", ["o_orderkey"], {"o_orderkey": "bigint"})
+
+
+@query
+def bronze_second_run(spark, sf):
+    """Files that came after the first run are loaded by the second, and no file twice."""
+    return _three_runs(spark, sf, scratch_path(spark, "bronze-runs"), False)
+
+
+@query
+def bronze_full_refresh(spark, sf):
+    """A refresh after two runs loads all files again, once."""
+    return _three_runs(spark, sf, scratch_path(spark, "bronze-refresh"), True)
+
+
+@query
+def bronze_status(spark, sf):
+    """Files skipped and processed, as the second run sees them."""
+    out = scratch_path(spark, "bronze-status")
+    _three_runs(spark, sf, out, False)
+    return ingest.load_status(spark, f"{out}/landing", f"{out}/table", RUNS[1])
+
+
 @query
 def file_inventory(spark, sf):
     """Files, types and presence per folder of a written dataset."""

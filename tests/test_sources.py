@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from quotelake.sources import bronze, files, loaders, messages
+from quotelake.sources import bronze, files, ingest, loaders, messages
 
 BATCH = datetime(2024, 2, 1)
 
@@ -41,25 +41,73 @@ def test_scan_joins_files_with_different_headers(spark, landing):
     }
 
 
-def test_bronze_load_skips_known_files_and_repeats_safely(spark, landing, tmp_path):
-    table = str(tmp_path / "bronze")
+def test_ingest_notes_files_and_repeats_safely(spark, landing, tmp_path):
+    table, ledger = str(tmp_path / "bronze"), str(tmp_path / "ledger")
 
     def load(ts, **options):
-        status = bronze.load_bronze(spark, f"{landing}/TVH", table, ts, **options)
+        ingest.ingest(spark, f"{landing}/TVH", table, ledger, ts, **options)
+        status = ingest.load_status(spark, f"{landing}/TVH", table, ts)
         return {r["status"]: r["files"] for r in status.collect()}
 
+    def rows():
+        return ingest.read_bronze(spark, table)
+
     assert load(BATCH) == {"processed": 2, "empty": 1}
-    assert load(BATCH) == {"processed": 2, "empty": 1}
-    rows = bronze.read_bronze(spark, table)
-    assert rows.count() == 3
-    text = bronze.members(rows, ["_ingest_symbol", "close", "volume"], ["load_ts"])
+    assert rows().count() == 3
+    text = bronze.members(rows(), ["_ingest_symbol", "close", "volume"], ["load_ts"])
     assert {r["_ingest_symbol"] for r in text.collect()} == {"ABUK", "COMI [1]+"}
     assert text.filter("close IS NULL").count() == 1
-    write(landing, "TVH/new.csv", "date,close\nSun 07 Dec '25,9\n")
+    assert load(BATCH + timedelta(days=1)) == {"skipped": 2, "empty": 1}
+    old = write(landing, "TVH/new.csv", "date,close\nSun 07 Dec '25,9\n")
+    os.utime(old, (0, 0))  # an old time does not hide a new file
     assert load(BATCH + timedelta(days=1)) == {"skipped": 2, "processed": 1, "empty": 1}
-    assert bronze.read_bronze(spark, table).count() == 4
+    assert rows().count() == 4 and rows().select("batch_id").distinct().count() == 2
     assert load(BATCH + timedelta(days=2), full_refresh=True) == {"processed": 3, "empty": 1}
-    assert bronze.read_bronze(spark, table).count() == 4
+    assert rows().count() == 4
+
+
+def test_ingest_writes_a_broken_batch_anew(spark, landing, tmp_path):
+    table, ledger = str(tmp_path / "bronze"), str(tmp_path / "ledger")
+    ingest.ingest(spark, f"{landing}/TVH", table, ledger, BATCH, files_per_batch=1)
+    before = ingest.read_bronze(spark, table).count()
+    # The run broke off after its last batch was written and before it was noted.
+    last = max(os.listdir(f"{ledger}/commits"), key=lambda n: int(n) if n.isdigit() else -1)
+    for name in (last, f".{last}.crc"):
+        os.remove(f"{ledger}/commits/{name}")
+    ingest.ingest(spark, f"{landing}/TVH", table, ledger, BATCH + timedelta(days=1))
+    rows = ingest.read_bronze(spark, table)
+    assert rows.count() == before == 3
+    assert rows.filter(F.col("load_ts") > F.lit(BATCH)).select("batch_id").distinct().count() <= 1
+
+
+def test_cells_are_named_by_each_files_own_header(spark, tmp_path):
+    write(tmp_path, "in/a.csv", "\ufeffx, ,x\n1,2,3\n4\n")
+    write(tmp_path, "in/b.csv", 'x,_ingest_symbol\n"two\nlines",mine\n,\n')
+    write(tmp_path, "in/c.csv", "x")
+    ingest.ingest(spark, f"{tmp_path}/in", f"{tmp_path}/t", f"{tmp_path}/l", BATCH)
+    rows = ingest.read_bronze(spark, f"{tmp_path}/t").select(F.to_json("raw").alias("r"))
+    assert {r["r"] for r in rows.collect()} == {
+        '{"_ingest_symbol":"A","column_1":"2","x":"1","x_2":"3"}',
+        '{"_ingest_symbol":"A","column_1":null,"x":"4","x_2":null}',
+        '{"_ingest_symbol":"B","x":"two\\nlines"}',
+        '{"_ingest_symbol":"B","x":null}',
+    }
+
+
+def test_too_many_columns_stop_the_load(spark, tmp_path):
+    write(tmp_path, "in/a.csv", ",".join(f"c{i}" for i in range(200)) + "\n1\n")
+    with pytest.raises(Exception, match="more than 128 columns"):
+        ingest.ingest(spark, f"{tmp_path}/in", f"{tmp_path}/t", f"{tmp_path}/l", BATCH)
+
+
+def test_ingest_reads_the_files_once(spark, landing):
+    """One scan, no exchange: the header comes with the rows it names."""
+    from quotelake.sources.files import FILE_NAME
+
+    lines = spark.read.schema(ingest._positional(8)).option("multiLine", True).csv(f"{landing}/TVH")
+    plan = ingest.bronze_rows(ingest.named_cells(lines, 8), BATCH)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "Exchange" not in text and FILE_NAME in plan.columns
 
 
 def test_companies_are_kept_when_they_have_files(spark, landing):
