@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 
 from quotelake.functions import calendar, text
 from quotelake.operators import incremental, latest, lookups, quality, series
-from quotelake.plans import companies, dimensions, financials, indices, panels, points, prices
+from quotelake.plans import (
+    companies, dimensions, financials, gold_run, indices, panels, points, prices,
+)
 from quotelake.session import scratch_path, tune
 from quotelake.sources import bronze, files, ingest, loaders, messages, sinks
 from quotelake.streaming import live
@@ -223,6 +225,30 @@ def index_performance_incremental(spark, sf):
     return indices.index_performance(members, fresh, last)
 
 
+def _gold_runs(spark, sf):
+    """Three stored runs over growing prices, the second called twice."""
+    bars = inputs.stored(inputs.part_prices(spark, sf), "bars")
+    members = inputs.stored(_members(spark, sf), "members")
+    root = scratch_path(spark, "gold-runs")
+    newest = F.max("trade_date")
+    for batch, back in ((1, 400), (2, 40), (2, 20), (3, 0)):
+        known = bars.select(F.date_sub(newest, back)).scalar()
+        gold_run.run_gold(spark, root, batch, bars.filter(F.col("trade_date") <= known), members)
+    return root
+
+
+@query
+def gold_incremental_run(spark, sf):
+    """The gold daily fact after stored runs: what one run over all days gives."""
+    return gold_run.read_prices(spark, _gold_runs(spark, sf))
+
+
+@query
+def index_incremental_run(spark, sf):
+    """Index performance after stored runs."""
+    return gold_run.read_index(spark, _gold_runs(spark, sf))
+
+
 @query
 def member_counts(spark, sf):
     return indices.member_counts(
