@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from quotelake.session import scratch_path
 
 
-def dense_ids(names: DataFrame, column: str, id_name: str) -> DataFrame:
+def dense_ids(names: DataFrame, column: str, id_name: str, kind: str = "int") -> DataFrame:
     """Number distinct names from 1 in their order.
 
     The names are cut into ranges of even size, one per shuffle partition, and
@@ -31,6 +31,6 @@ def dense_ids(names: DataFrame, column: str, id_name: str) -> DataFrame:
     return (
         ranged.withColumn("_place", inside)
         .join(F.broadcast(offsets), "_range")
-        .withColumn(id_name, (F.col("_offset") + F.col("_place")).cast("int"))
+        .withColumn(id_name, (F.col("_offset") + F.col("_place")).cast(kind))
         .select(*names.columns, id_name)
     )

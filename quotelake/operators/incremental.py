@@ -51,10 +51,10 @@ def merge_upsert(
     With ``order`` the updates may hold several rows per key; the latest wins.
     """
     source = latest_by(updates, keys, order) if order else updates
-    return _without(target, source, keys).unionByName(source.select(target.columns))
+    return without_keys(target, source, keys).unionByName(source.select(target.columns))
 
 
-def _without(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def without_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key the source does not hold; null keys are equal."""
     named = source.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
     same = reduce(
@@ -74,7 +74,7 @@ def merge_columns(
     """Target with ``columns`` set from the matching update.
 
     An update sets its value even when that is null. With ``insert`` unmatched
-    updates become new rows, whose other columns are null.
+    updates become new rows, whose other columns are null. Null keys are equal.
     """
     source = latest_by(updates, [key], order) if order else updates
     source = source.select(
@@ -83,7 +83,9 @@ def merge_columns(
         *[F.col(c).alias(f"_new_{c}") for c in columns],
     )
     joined = target.join(
-        source, target[key] == source["_key"], "full_outer" if insert else "left_outer"
+        source,
+        target[key].eqNullSafe(source["_key"]),
+        "full_outer" if insert else "left_outer",
     )
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     fields = []
@@ -153,7 +155,7 @@ def upsert_table(
         target.filter(F.col(partition).isNull() & unnamed)
     )
     source = latest_by(updates, keys, order) if order else updates
-    merged = _without(touched, source, keys).unionByName(source, allowMissingColumns=True)
+    merged = without_keys(touched, source, keys).unionByName(source, allowMissingColumns=True)
     staged = scratch_path(spark, "merge")
     merged.write.parquet(staged)
     write_partitions(spark.read.schema(merged.schema).parquet(staged), path, partition)

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from quotelake import schemas
 from quotelake.functions.text import clean_numeric, normalize_key, parse_volume
-from quotelake.operators.incremental import merge_columns
+from quotelake.operators.incremental import merge_columns, without_keys
 from quotelake.operators.latest import latest_by
 from quotelake.operators.lookups import resolve, unmatched
+from quotelake.operators.stable_ids import append_batch, continue_ids
+from quotelake.session import scratch_path
 
 # The source tag of batch prices, and the three index rows.
 BATCH_SOURCE = "BATCH_S3"
@@ -22,6 +24,7 @@ INDEX_ROWS = (
     (3, "EGX100", "EGX 100", "Top 100 stocks by liquidity", True),
 )
 EQUAL, UNWEIGHTED = "equal", "none"
+PRICE_KEY = ("company_id", "trade_date", "data_source")
 
 
 class MissingColumns(ValueError):
@@ -45,14 +48,38 @@ def index_rows(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(INDEX_ROWS), schemas.INDEX)
 
 
-def upsert_companies(company: DataFrame, updates: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Merge name, sector and market cap by symbol; of repeated symbols the latest counts."""
+def upsert_companies(
+    company: DataFrame,
+    updates: DataFrame,
+    order: Sequence[str],
+    created_at: datetime | Column | None = None,
+) -> DataFrame:
+    """Merge name, sector and market cap by symbol; of repeated symbols the latest counts.
+
+    New companies are numbered in the order of their symbols, after the greatest
+    id; they are active, and created and updated at ``created_at``.
+    """
+    columns = ["company_name", "sector", "market_cap"]
     checked = require_columns(
         updates, ["symbol", "company_name"], {"sector": "Unknown", "market_cap": 0}
     )
-    return merge_columns(
-        company, checked, "symbol", ["company_name", "sector", "market_cap"], order=order
+    spark, path = company.sparkSession, scratch_path(company.sparkSession, "companies")
+    latest_by(checked, ["symbol"], order).select("symbol", *columns).write.parquet(path)
+    source = spark.read.parquet(path)
+    stamp = created_at if isinstance(created_at, Column) else F.lit(created_at)
+    defaults = {"is_active": F.lit(True), "created_at": stamp, "updated_at": stamp}
+    fresh = continue_ids(
+        without_keys(source, company, ["symbol"]), ["symbol"], "company_id", company
+    )
+    added = fresh.select(
+        *[
+            (F.col(f.name) if f.name in fresh.columns else defaults.get(f.name, F.lit(None)))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in company.schema.fields
+        ]
     )
+    return merge_columns(company, source, "symbol", columns, insert=False).unionByName(added)
 
 
 def _unreadable(rows: DataFrame) -> Column:
@@ -98,6 +125,32 @@ def load_prices(
     )
 
 
+def append_prices(
+    path: str,
+    batch_id: int,
+    rows: DataFrame,
+    company: DataFrame,
+    created_at: datetime | Column,
+    source: str = BATCH_SOURCE,
+    latest: Sequence[str] = (),
+) -> DataFrame:
+    """Load daily prices as one batch of the price table; gives the table up to it.
+
+    A company, day and source is stored once and keeps its price_id; of several
+    rows in one load the latest by ``latest`` counts.
+    """
+    return append_batch(
+        path,
+        batch_id,
+        load_prices(rows, company, created_at, source),
+        schemas.STOCK_PRICE,
+        "price_id",
+        PRICE_KEY,
+        PRICE_KEY,
+        latest,
+    )
+
+
 def load_membership(
     listed: DataFrame,
     company: DataFrame,
@@ -127,6 +180,14 @@ def load_membership(
     ).dropDuplicates(["index_id", "company_id"])
 
 
+def append_memberships(path: str, batch_id: int, rows: DataFrame) -> DataFrame:
+    """Store members as one batch; an index and company is stored once and keeps its id."""
+    key = ["index_id", "company_id"]
+    return append_batch(
+        path, batch_id, rows, schemas.INDEX_MEMBERSHIP, "membership_id", key, key
+    )
+
+
 def unlisted_symbols(listed: DataFrame, company: DataFrame) -> DataFrame:
     """Listed symbols that no company carries."""
     column = "Symbol" if "Symbol" in listed.columns else "symbol"
@@ -179,6 +240,26 @@ def load_market_stats(
     )
 
 
+def append_market_stats(
+    path: str,
+    batch_id: int,
+    rows: DataFrame,
+    company: DataFrame,
+    snapshot: datetime | Column,
+    created_at: datetime | Column,
+) -> DataFrame:
+    """Load a market snapshot as one batch of the statistics; every row gets a stat_id.
+
+    Rows are numbered by time, company and then their other columns; rows that are
+    alike in all of them are stored as often as they come.
+    """
+    stamp = created_at if isinstance(created_at, Column) else F.lit(created_at)
+    loaded = load_market_stats(rows, company, snapshot).withColumn("created_at", stamp)
+    first = ["snapshot_datetime", "company_id"]
+    order = first + [c for c in loaded.columns if c not in first]
+    return append_batch(path, batch_id, loaded, schemas.MARKET_STAT, "stat_id", order)
+
+
 def apply_latest_sector(company: DataFrame, stats: DataFrame) -> DataFrame:
     """Companies with the sector of their newest snapshot that names one."""
     newest = latest_by(

@@ -378,6 +378,16 @@ ORACLES["derived_index_union"] = sql(
       UNION SELECT company_id FROM membership WHERE is_current)""",
     "listed", "company", "membership",
 )
+ORACLES["membership_table_runs"] = sql(
+    """SELECT row_number() OVER (ORDER BY index_id, company_id) AS membership_id,
+    CAST(index_id AS BIGINT) AS index_id, company_id,
+    CASE WHEN index_id = 2 THEN
+      CAST(CAST(100.0 / (SELECT count(*) FROM listed) AS DECIMAL(8,4)) AS DOUBLE) END AS weight,
+    '2024-01-01' AS effective_date, TRUE AS is_current
+    FROM listed JOIN company USING (symbol), range(1, 4) AS i(index_id)
+    WHERE index_id > 1 OR length(symbol) < 4""",
+    "listed", "company",
+)
 ORACLES["anti_unmatched"] = sql(
     "SELECT symbol FROM listed WHERE symbol NOT IN (SELECT symbol FROM company)",
     "listed", "company",
@@ -457,14 +467,30 @@ _UPDATES = """SELECT 'P' || (s_suppkey * 30) AS symbol, s_name AS company_name,
   CASE WHEN s_acctbal > 5000 THEN 'Banks' END AS sector,
   CAST(s_acctbal AS DECIMAL(20,2)) AS market_cap FROM supplier"""
 ORACLES["merge_company"] = sql(
-    """SELECT c.company_id, coalesce(c.symbol, u.symbol) AS symbol,
+    """SELECT coalesce(c.company_id, (SELECT max(company_id) FROM company)
+      + row_number() OVER (PARTITION BY c.company_id IS NULL ORDER BY u.symbol)) AS company_id,
+    coalesce(c.symbol, u.symbol) AS symbol,
     CASE WHEN u.symbol IS NULL THEN c.company_name ELSE u.company_name END AS company_name,
     CASE WHEN u.symbol IS NULL THEN c.sector ELSE u.sector END AS sector,
     CAST(CASE WHEN u.symbol IS NULL THEN c.market_cap ELSE u.market_cap END AS DOUBLE)
-      AS market_cap, c.industry FROM company c FULL JOIN updates u ON c.symbol = u.symbol""",
+      AS market_cap, c.industry,
+    CASE WHEN c.symbol IS NULL THEN TRUE ELSE c.is_active END AS is_active,
+    CASE WHEN c.symbol IS NULL THEN '2024-02-01' ELSE '2024-01-01' END || ' 00:00:00.000000'
+      AS created_at
+    FROM company c FULL JOIN updates u ON c.symbol = u.symbol""",
     "company",
     updates=_UPDATES,
 )
+ORACLES["company_ids_kept"] = sql(
+    """SELECT coalesce(c.company_id, (SELECT max(company_id) FROM company)
+      + row_number() OVER (PARTITION BY c.company_id IS NULL ORDER BY u.late, u.symbol))
+      AS company_id,
+    coalesce(c.symbol, u.symbol) AS symbol,
+    coalesce(u.company_name, c.company_name) AS company_name
+    FROM company c FULL JOIN updates u ON c.symbol = u.symbol""",
+    "company",
+    updates=_UPDATES.replace("SELECT", "SELECT s_suppkey % 3 <> 0 AS late,", 1),
+)
 ORACLES["merge_sector"] = sql(
     """SELECT c.company_id, c.symbol, coalesce(m.sector, c.sector) AS sector FROM company c
     LEFT JOIN (SELECT company_id, sector FROM market_stat WHERE sector IS NOT NULL
@@ -486,6 +512,33 @@ ORACLES["price_load"] = sql(
     FROM stock_price p JOIN company c ON c.company_id = p.company_id + p.volume""",
     "stock_price", "company",
 )
+ORACLES["price_table_runs"] = sql(
+    f"""SELECT row_number() OVER (ORDER BY trade_date >= DATE '1998-01-01', company_id, trade_date)
+      AS price_id, company_id, {day('trade_date')} AS trade_date,
+    CAST(open_price AS DOUBLE) AS open_price, {dbl('close_price')},
+    CAST(close_price AS DOUBLE) AS high_price, CAST(close_price AS DOUBLE) AS low_price, volume,
+    CAST(NULL AS DOUBLE) AS change_pct, 'BATCH_S3' AS data_source,
+    '2024-02-01 00:00:00.000000' AS created_at
+    FROM (SELECT c.company_id, p.trade_date, p.close_price,
+        CASE WHEN p.volume > 20 THEN p.open_price ELSE p.close_price END AS open_price,
+        CASE WHEN p.volume > 5 THEN p.volume ELSE 0 END AS volume
+      FROM stock_price p JOIN company c ON c.company_id = p.company_id + p.volume
+      QUALIFY row_number() OVER (PARTITION BY c.company_id, p.trade_date
+        ORDER BY p.close_price DESC, CASE WHEN p.volume > 5 THEN p.volume ELSE 0 END DESC,
+          CASE WHEN p.volume > 20 THEN p.open_price ELSE p.close_price END DESC) = 1)""",
+    "stock_price", "company",
+)
+ORACLES["market_stat_table_runs"] = sql(
+    """SELECT row_number() OVER (ORDER BY loaded, c.company_id, CAST(plain AS DOUBLE), kind >= 3,
+        CASE WHEN kind <> 5 THEN 1 ELSE 0 END, CASE WHEN kind <> 1 THEN 1 ELSE 0 END,
+        o_orderpriority) AS stat_id,
+    c.company_id, loaded AS snapshot_datetime, CAST(plain AS DOUBLE) AS price,
+    CASE WHEN kind <> 5 THEN CAST(trunc(CAST(plain AS DOUBLE) * 1000::DOUBLE) AS BIGINT) END
+      AS volume, o_orderpriority AS sector
+    FROM order_text JOIN company c ON c.company_id = o_custkey,
+      (VALUES ('2024-02-01 00:00:00.000000'), ('2024-02-02 00:00:00.000000')) AS runs(loaded)""",
+    "order_text", "company",
+)
 ORACLES["market_stat_load"] = sql(
     """SELECT c.company_id, CAST(plain AS DOUBLE) AS price,
     CASE WHEN kind < 3 THEN -2.5::DOUBLE ELSE 2.5::DOUBLE END AS change_pct,

@@ -22,6 +22,7 @@ from quotelake.workload import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+RUNS = (datetime(2024, 2, 1), datetime(2024, 2, 2), datetime(2024, 2, 3))
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -299,6 +300,20 @@ def derived_index_union(spark, sf):
     return loaders.derive_index(first.unionByName(second), 3, day)
 
 
+@query
+def membership_table_runs(spark, sf):
+    """The membership table after two lists and the index derived from them."""
+    company, path = inputs.company(spark, sf), scratch_path(spark, "membership-table")
+    day = F.lit("2024-01-01")
+    listed = _listed(spark, sf)
+    few = loaders.load_membership(listed.filter(F.length("Symbol") < 5), company, 1, day)
+    loaders.append_memberships(path, 1, few)
+    equal = loaders.load_membership(listed, company, 2, day, loaders.EQUAL)
+    stored = loaders.append_memberships(path, 2, equal)
+    derived = loaders.derive_index(stored, 3, day)
+    return loaders.append_memberships(path, 3, derived.unionByName(few.select(*derived.columns)))
+
+
 @query
 def anti_unmatched(spark, sf):
     """Listed symbols that no company carries."""
@@ -370,18 +385,43 @@ def company_star(spark, sf):
     )
 
 
-@query
-def merge_company(spark, sf):
-    """Companies upserted by symbol with name, sector and market cap."""
-    updates = inputs.table(spark, sf, "supplier").select(
+def _company_updates(spark, sf):
+    return inputs.table(spark, sf, "supplier").select(
         F.concat(F.lit("P"), (F.col("s_suppkey") * 30).cast("string")).alias("symbol"),
         F.col("s_name").alias("company_name"),
         F.when(F.col("s_acctbal") > 5000, "Banks").alias("sector"),
         F.col("s_acctbal").cast("decimal(20,2)").alias("market_cap"),
         F.col("s_suppkey").alias("seq"),
     )
-    merged = loaders.upsert_companies(inputs.company(spark, sf), updates, ["seq"])
-    return merged.select("company_id", "symbol", "company_name", "sector", "market_cap", "industry")
+
+
+def _load_time():
+    return F.lit(inputs.BATCH_TS).cast("timestamp_ntz")
+
+
+@query
+def merge_company(spark, sf):
+    """Companies upserted by symbol with name, sector and market cap."""
+    merged = loaders.upsert_companies(
+        inputs.company(spark, sf), _company_updates(spark, sf), ["seq"], _load_time()
+    )
+    return merged.select(
+        "company_id", "symbol", "company_name", "sector", "market_cap", "industry", "is_active",
+        "created_at",
+    )
+
+
+@query
+def company_ids_kept(spark, sf):
+    """Ids after two loads: the second repeats the first one's companies and adds some."""
+    updates = _company_updates(spark, sf)
+    first = loaders.upsert_companies(
+        inputs.company(spark, sf), updates.filter(F.col("seq") % 3 == 0), ["seq"], _load_time()
+    )
+    second = loaders.upsert_companies(
+        inputs.stored(first, "company"), updates, ["seq"], _load_time()
+    )
+    return second.select("company_id", "symbol", "company_name")
 
 
 @query
@@ -407,10 +447,8 @@ def semi_active(spark, sf):
     )
 
 
-@query
-def price_load(spark, sf):
-    """Daily price rows with their company id; unknown symbols drop out."""
-    rows = inputs.stock_price(spark, sf).select(
+def _price_rows(spark, sf):
+    return inputs.stock_price(spark, sf).select(
         F.concat(F.lit("P"), (F.col("company_id") + F.col("volume")).cast("string")).alias(
             "symbol"
         ),
@@ -419,18 +457,35 @@ def price_load(spark, sf):
         F.col("close_price").alias("close"),
         F.when(F.col("volume") > 5, F.col("volume")).alias("volume"),
     )
+
+
+@query
+def price_load(spark, sf):
+    """Daily price rows with their company id; unknown symbols drop out."""
     loaded = loaders.load_prices(
-        rows, inputs.company(spark, sf), F.lit(inputs.BATCH_TS).cast("timestamp")
+        _price_rows(spark, sf), inputs.company(spark, sf), F.lit(inputs.BATCH_TS).cast("timestamp")
     )
     return loaded.drop("created_at")
 
 
 @query
-def market_stat_load(spark, sf):
-    """Market snapshot rows with text numbers cleaned."""
+def price_table_runs(spark, sf):
+    """The price table after two loads, the second repeated and with the first one's days."""
+    rows, company = _price_rows(spark, sf), inputs.company(spark, sf)
+    path = scratch_path(spark, "price-table")
+    early = rows.filter(F.col("trade_date") < F.lit("1998-01-01").cast("date"))
+    for batch, arrived in ((1, early), (2, rows), (2, rows)):
+        table = loaders.append_prices(
+            path, batch, arrived, company, _load_time(),
+            latest=["close_price", "volume", "open_price"],
+        )
+    return table
+
+
+def _snapshot_rows(spark, sf):
     kind = inputs.priority_kind()
     total = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    rows = inputs.table(spark, sf, "orders").select(
+    return inputs.table(spark, sf, "orders").select(
         F.concat(
             F.lit(" p"), F.col("o_custkey").cast("string"), F.lit(" Some Company")
         ).alias("Symbol"),
@@ -448,11 +503,28 @@ def market_stat_load(spark, sf):
         F.concat(F.col("o_orderpriority"), F.lit(" ")).alias("Sector"),
         F.lit(None).cast("string").alias("Analyst Rating"),
     )
+
+
+@query
+def market_stat_load(spark, sf):
+    """Market snapshot rows with text numbers cleaned."""
     return loaders.load_market_stats(
-        rows, inputs.company(spark, sf), F.lit(inputs.BATCH_TS).cast("timestamp")
+        _snapshot_rows(spark, sf), inputs.company(spark, sf), F.lit(inputs.BATCH_TS).cast("timestamp")
     ).drop("snapshot_datetime")
 
 
+@query
+def market_stat_table_runs(spark, sf):
+    """The statistics table after two snapshots, the second one loaded twice."""
+    rows, company = _snapshot_rows(spark, sf), inputs.company(spark, sf)
+    path = scratch_path(spark, "stat-table")
+    for batch, ts in ((1, RUNS[0]), (2, RUNS[1]), (2, RUNS[1])):
+        table = loaders.append_market_stats(
+            path, batch, rows, company, F.lit(ts).cast("timestamp_ntz"), _load_time()
+        )
+    return table.select("stat_id", "company_id", "snapshot_datetime", "price", "volume", "sector")
+
+
 # --- statements and text ----------------------------------------------------
 
 
@@ -1028,9 +1100,6 @@ def route_files(spark, sf):
     )
 
 
-RUNS = (datetime(2024, 2, 1), datetime(2024, 2, 2), datetime(2024, 2, 3))
-
-
 def _price_landing(spark, sf, folder):
     """Lineitems as one price file per symbol."""
     rows = inputs.table(spark, sf, "lineitem").select(

@@ -215,7 +215,7 @@ def test_company_and_price_loaders(spark):
     updates = spark.createDataFrame([("A", "New"), ("B", "Bee")], "symbol string, company_name string")
     merged = loaders.upsert_companies(company, updates, ["company_name"])
     assert rows_of(merged) == [
-        (1, "A", "New", "Unknown", Decimal("0.00")), (None, "B", "Bee", "Unknown", Decimal("0.00"))
+        (1, "A", "New", "Unknown", Decimal("0.00")), (2, "B", "Bee", "Unknown", Decimal("0.00"))
     ]
     with pytest.raises(loaders.MissingColumns):
         loaders.upsert_companies(company, updates.drop("company_name"), ["symbol"])
