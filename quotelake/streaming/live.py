@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quotelake.operators.latest import latest_by
-
 
 def once_per_tick(ticks: DataFrame, delay: str = "5 minutes") -> DataFrame:
     """Ticks without the copies that an at-least-once producer sends again."""
@@ -55,28 +51,30 @@ def latest_state(ticks: DataFrame) -> DataFrame:
     return newest.select("ticker", "_row.*")
 
 
-def state_sink(table: str) -> Callable[[DataFrame, int], None]:
-    """Writes the rows that changed in a batch into that batch's folder."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batch_id={batch_id}")
-
-    return write
-
-
 def start_latest_state(
-    ticks: DataFrame, table: str, checkpoint: str, every: str | None = "10 seconds"
+    ticks: DataFrame, checkpoint: str, every: str | None = "10 seconds"
 ) -> StreamingQuery:
+    """Keep the newest tick per ticker in the state store of the checkpoint.
+
+    The state is the table, so nothing is written beside it. A stream that starts
+    again from the checkpoint goes on with the state it left.
+    """
     writer = (
         latest_state(ticks)
         .writeStream.outputMode("update")
-        .foreachBatch(state_sink(table))
+        .format("noop")
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
-def read_latest_state(spark: SparkSession, table: str) -> DataFrame:
-    """The newest row per ticker over all batches."""
-    return latest_by(spark.read.parquet(table).drop("batch_id"), ["ticker"], ["time"])
+def read_latest_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The newest row per ticker as of the last finished batch.
+
+    Read from the state store: as many rows as there are tickers, however many
+    batches there were.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    newest = state.schema["value"].dataType.names[0]
+    return state.select("key.ticker", f"value.{newest}.*")

@@ -1005,6 +1005,7 @@ ORACLES["stream_ticks"] = sql(
     {day('ticks.time')} AS trade_date FROM ticks""",
     "ticks",
 )
+ORACLES["stream_days_closed"] = ORACLES["stream_ticks"]
 _WINDOWS = """SELECT ticker, price, volume, unnest([time_bucket(INTERVAL 30 MINUTE, time),
   time_bucket(INTERVAL 30 MINUTE, time) - INTERVAL 30 MINUTE]) AS start FROM ticks"""
 _ROLLING = f"""SELECT {ts('start')} AS window_start, {ts('start + INTERVAL 1 HOUR')} AS window_end,

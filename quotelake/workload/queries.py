@@ -1267,8 +1267,11 @@ def _event_stream(spark, sf):
 
 
 def _tick_messages(spark, sf):
+    return _as_messages(_event_stream(spark, sf))
+
+
+def _as_messages(events):
     """Ticks as the JSON messages a producer sends, with an ISO time."""
-    events = _event_stream(spark, sf)
     cells = inputs.tick_columns(events).withColumnRenamed("time", "timestamp")
     iso = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     sent = cells.withColumn("timestamp", iso).withColumns(
@@ -1292,6 +1295,32 @@ def stream_ticks(spark, sf):
     )
 
 
+@query
+def stream_days_closed(spark, sf):
+    """Ticks after two streams of several batches, days closed by the watermark after each."""
+    out = scratch_path(spark, "closing")
+    events = inputs.table(spark, sf, "events")
+    middle = events.agg(F.percentile_approx("ts", 0.6)).scalar()
+    for lot in (F.col("ts") < middle, F.col("ts") >= middle):
+        events.filter(lot).repartitionByRange(3, "ts").write.mode("append").parquet(f"{out}/events")
+        arriving = (
+            spark.readStream.schema(events.schema)
+            .option("maxFilesPerTrigger", 1)
+            .parquet(f"{out}/events")
+        )
+        stream = tick_stream.start_tick_stream(
+            tick_stream.decode_ticks(_as_messages(arriving)),
+            tick_stream.tick_sink(f"{out}/table", f"{out}/rejected"),
+            f"{out}/state",
+            None,
+        )
+        stream.awaitTermination()
+        tick_stream.close_days(spark, f"{out}/table", tick_stream.watermark_day(stream))
+    return tick_stream.read_ticks(spark, f"{out}/table").select(
+        "ticker", "time", "price", "volume", "market_status", "trade_date"
+    )
+
+
 @query
 def stream_live_stats(spark, sf):
     """Rolling statistics from the stream, for windows the watermark has closed."""
@@ -1326,6 +1355,6 @@ def stream_latest(spark, sf):
     ticks = inputs.tick_columns(_event_stream(spark, sf)).select(
         "ticker", "time", "price", "price_change_percent", "volume"
     )
-    stream = live.start_latest_state(ticks, f"{out}/table", f"{out}/state", None)
+    stream = live.start_latest_state(ticks, f"{out}/state", None)
     stream.awaitTermination()
-    return live.read_latest_state(spark, f"{out}/table")
+    return live.read_latest_state(spark, f"{out}/state")

@@ -96,16 +96,92 @@ def test_live_statistics_drop_repeated_ticks(spark, inbox, tmp_path):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_latest_state(spark, inbox, tmp_path):
-    stream = ticks.valid_ticks(
-        ticks.decode_ticks(ticks.file_messages(spark, str(inbox), files_per_batch=1))
+def test_latest_state_is_read_from_the_state_store(spark, inbox, tmp_path):
+    def run_state():
+        stream = ticks.valid_ticks(
+            ticks.decode_ticks(ticks.file_messages(spark, str(inbox), files_per_batch=1))
+        )
+        live.start_latest_state(stream, f"{tmp_path}/state", None).awaitTermination()
+        rows = live.read_latest_state(spark, f"{tmp_path}/state").collect()
+        return sorted((r["ticker"], r["price"]) for r in rows)
+
+    assert run_state() == [("A", 68.0), ("B", 69.0), ("C", 55.0)]
+    # A restart goes on with the state: an older tick changes nothing, a newer one does.
+    (inbox / "more.json").write_text(
+        "\n".join([message(1, "A"), message(80, "B"), message(2, "D")]) + "\n"
     )
-    live.start_latest_state(
-        stream, f"{tmp_path}/latest", f"{tmp_path}/state", None
-    ).awaitTermination()
-    got = {r["ticker"]: r["price"] for r in
-           live.read_latest_state(spark, f"{tmp_path}/latest").collect()}
-    assert got == {"A": 68.0, "B": 69.0, "C": 55.0}
+    assert run_state() == [("A", 68.0), ("B", 90.0), ("C", 55.0), ("D", 12.0)]
+
+
+def day_message(i, day, ticker="A"):
+    return message(i, ticker, timestamp=(START + timedelta(days=day, seconds=i)).isoformat())
+
+
+@pytest.fixture
+def days(spark, tmp_path):
+    """Three batches over three days; each day has ticks of two batches."""
+    folder = tmp_path / "days"
+    folder.mkdir()
+    for part, both in enumerate(((0, 1), (1, 2), (2, 0))):
+        path = folder / f"part{part}.json"
+        path.write_text("\n".join(day_message(10 * part + i, d) for i in range(4) for d in both))
+        os.utime(path, (1_700_000_000 + part, 1_700_000_000 + part))
+    return folder
+
+
+def stream_days(spark, folder, out):
+    decoded = ticks.decode_ticks(ticks.file_messages(spark, str(folder), files_per_batch=1))
+    query = ticks.start_tick_stream(
+        decoded, ticks.tick_sink(f"{out}/table", f"{out}/rejected"), f"{out}/state", None
+    )
+    query.awaitTermination()
+    return query
+
+
+def folders(path):
+    return sorted(d for d in os.listdir(path) if "=" in d)
+
+
+def test_days_before_the_watermark_are_closed(spark, days, tmp_path):
+    query = stream_days(spark, days, tmp_path)
+    table = f"{tmp_path}/table"
+    assert len(folders(f"{table}/open/trade_date=2024-01-08")) == 2
+    before = sorted(map(tuple, ticks.read_ticks(spark, table).collect()))
+    assert ticks.watermark_day(query) == datetime(2024, 1, 9).date()
+    closed = ticks.close_days(spark, table, ticks.watermark_day(query))
+    assert [str(d) for d in closed] == ["2024-01-07", "2024-01-08"]
+    assert folders(f"{table}/open") == ["trade_date=2024-01-09"]
+    assert folders(f"{table}/closed") == ["trade_date=2024-01-07", "trade_date=2024-01-08"]
+    assert sorted(map(tuple, ticks.read_ticks(spark, table).collect())) == before
+    day = ticks.read_ticks_of(spark, table, closed[1])
+    assert day.count() == 8
+    assert all("closed/trade_date=2024-01-08" in f for f in day.inputFiles())
+    assert ticks.close_days(spark, table, ticks.watermark_day(query)) == []
+    assert ticks.read_ticks_of(spark, table, START.date() - timedelta(days=9)).count() == 0
+
+
+def test_closing_survives_breaks_repeats_and_late_ticks(spark, days, tmp_path):
+    import shutil
+
+    stream_days(spark, days, tmp_path)
+    table, end = f"{tmp_path}/table", datetime(2024, 2, 1).date()
+    shutil.copytree(f"{table}/open", f"{tmp_path}/open-before")
+    before = sorted(map(tuple, ticks.read_ticks(spark, table).collect()))
+    ticks.close_days(spark, table, end)
+    # A run that broke off before it deleted, or batches repeated after their day was closed.
+    shutil.copytree(f"{tmp_path}/open-before", f"{table}/open", dirs_exist_ok=True)
+    assert sorted(map(tuple, ticks.read_ticks(spark, table).collect())) == before
+    ticks.close_days(spark, table, end)
+    assert folders(f"{table}/open") == []
+    assert sorted(map(tuple, ticks.read_ticks(spark, table).collect())) == before
+    # A late tick of a closed day comes with a later batch.
+    (days / "late.json").write_text(day_message(99, 0, "Z"))
+    stream_days(spark, days, tmp_path)
+    assert ticks.read_ticks(spark, table).count() == len(before) + 1
+    ticks.close_days(spark, table, end)
+    rows = ticks.read_ticks_of(spark, table, START.date())
+    assert rows.filter("ticker = 'Z'").count() == 1 and rows.count() == 9
+    assert ticks.read_ticks(spark, table).count() == len(before) + 1
 
 
 def test_keyed_messages_round_trip(spark):
