@@ -871,6 +871,61 @@ ORACLES["gold_checks"] = gold(
       WHERE NOT volume >= 0)""",
     "part_prices",
 )
+
+
+def _checked(table: str, source: str, *rows: tuple[str, str, str, str]) -> list[str]:
+    """Selects of (check, column, severity, condition of a failing row) over one table."""
+    return [
+        f"""SELECT '{check}' AS "check", '{table}' AS "table", '{column}' AS "column",
+        '{severity}' AS severity, count(*) FILTER (WHERE {failing}) AS failures FROM {source}"""
+        for check, column, severity, failing in rows
+    ]
+
+
+def _null(*columns: str, severity: str = "error"):
+    return [("not_null", c, severity, f"{c} IS NULL") for c in columns]
+
+
+def _repeated(table: str, source: str, key: str) -> str:
+    return f"""SELECT 'unique' AS "check", '{table}' AS "table", '{key}' AS "column",
+    'error' AS severity, count(*) AS failures FROM (SELECT {key} FROM {source}
+      WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1)"""
+
+
+def _of(name: str) -> str:
+    return f"({ORACLES[name]}) AS t"
+
+
+ORACLES["gold_table_checks"] = " UNION ALL ".join(
+    [
+        *_checked("gold_dim_company", _of("company_dim"),
+                  *_null("company_id", "symbol", "company_name", "sector")),
+        *[_repeated("gold_dim_company", _of("company_dim"), k) for k in ("company_id", "symbol")],
+        *_checked("gold_fct_index_performance", _of("index_performance"),
+                  *_null("index_code", "trade_date"),
+                  *_null("prev_close", "index_open", severity="warn")),
+        *_checked("dim_date", _of("dim_date"), *_null("date")),
+        _repeated("dim_date", _of("dim_date"), "date"),
+        *[
+            part
+            for name in ("sector", "industry")
+            for part in (
+                *_checked(f"dim_{name}", _of(f"dim_{name}_hash"), *_null(f"{name}_id", name)),
+                _repeated(f"dim_{name}", _of(f"dim_{name}_hash"), f"{name}_id"),
+            )
+        ],
+        *_checked("fct_financials", _of("financial_facts"),
+                  *_null("financial_id", "symbol", "quarter_date", "total_revenue"),
+                  ("expression_is_true", "total_revenue", "error", "NOT total_revenue >= 0"),
+                  ("relationships", "symbol", "error", """symbol NOT IN
+                    (SELECT 'C' || c_custkey FROM customer WHERE c_acctbal > 0)"""),
+                  ("relationships", "quarter_date", "warn", """quarter_date NOT IN
+                    (SELECT strftime(unnest(generate_series(date_trunc('day', min(o_orderdate)),
+                      date_trunc('day', max(o_orderdate)), INTERVAL 1 DAY)), '%Y-%m-%d')
+                     FROM orders)""")),
+        _repeated("fct_financials", _of("financial_facts"), "financial_id"),
+    ]
+)
 ORACLES["row_counts"] = """SELECT 'company' AS table_name, count(*) AS rows FROM part
     UNION ALL SELECT 'market_stat', count(*) FROM orders
     UNION ALL SELECT 'stock_price', count(*) FROM lineitem

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelake.functions import calendar, text
-from quotelake.operators import incremental, latest, lookups, quality, series
+from quotelake.operators import declared, incremental, latest, lookups, quality, series
 from quotelake.plans import (
     companies, dimensions, financials, gold_run, indices, panels, points, prices,
 )
@@ -858,19 +858,16 @@ def freshness(spark, sf):
 def dq_report(spark, sf):
     """Not-null, unique, accepted-values, relationship and range checks."""
     company = inputs.company(spark, sf)
-    stats = inputs.market_stat(spark, sf)
-    price = inputs.stock_price(spark, sf)
+    price = declared.Checks("stock_price").holds("open_price", F.col("open_price") >= 1000)
+    price.at_least(100).unique("company_id", "trade_date")
+    price.related("company_id", company, "company_id")
+    stats = declared.Checks("market_stat").accepted("sector", ["1-URGENT", "2-HIGH"], "warn")
+    stats.related("company_id", company, "company_id", "warn")
+    names = declared.Checks("company").not_null("symbol", "sector", "is_active").unique("symbol")
     return quality.combine(
-        quality.not_null(company, "company", ["symbol", "sector", "is_active"]),
-        quality.unique(company, "company", ["symbol"]),
-        quality.unique(price, "stock_price", ["company_id", "trade_date"]),
-        quality.accepted_values(stats, "market_stat", "sector", ["1-URGENT", "2-HIGH"], "warn"),
-        quality.relationships(stats, "market_stat", "company_id", company, "company_id", "warn"),
-        quality.relationships(price, "stock_price", "company_id", company, "company_id"),
-        quality.expression_is_true(
-            price, "stock_price", "open_price", F.col("open_price") >= 1000
-        ),
-        quality.minimum_rows(price, "stock_price", 100),
+        names.report(company),
+        price.report(inputs.stock_price(spark, sf)),
+        stats.report(inputs.market_stat(spark, sf)),
         quality.freshness_check(
             inputs.ticks(spark, sf), "ticks", "time", inputs.clock(spark, sf)
         ),
@@ -879,21 +876,70 @@ def dq_report(spark, sf):
 
 @query
 def gold_checks(spark, sf):
-    """The declared checks of the gold price fact, over the stored fact."""
-    gold = inputs.stored(prices.daily_prices(inputs.part_prices(spark, sf)), "gold")
-    name = "gold_daily_prices"
+    """The declared checks of the gold price fact, taken while it is written."""
     bounds = inputs.table(spark, sf, "lineitem").agg(
         F.to_date(F.min("l_shipdate")).alias("first"), F.to_date(F.max("l_shipdate")).alias("last")
     )
     days = dimensions.date_dimension(dimensions.days_between(bounds, "first", "last"))
+    checks = (
+        declared.Checks("gold_daily_prices")
+        .not_null("symbol", "trade_date", "close_price", "price_change")
+        .accepted("trend_signal", ["BULLISH", "BEARISH", "NEUTRAL"])
+        .accepted("volume_signal", ["HIGH", "NORMAL", "LOW"])
+        .accepted("data_source", ["A", "N"], "warn")
+        .holds("volume", F.col("volume") >= 0)
+        .unique("symbol", "trade_date")
+        .related("trade_date", days, "date")
+    )
+    gold = prices.daily_prices(inputs.part_prices(spark, sf))
+    return checks.write(gold, scratch_path(spark, "gold"))
+
+
+@query
+def gold_table_checks(spark, sf):
+    """The declared checks of the other gold tables, each taken while it is written."""
+    out = scratch_path(spark, "checked")
+    company = declared.Checks("gold_dim_company").unique("company_id").unique("symbol")
+    company.not_null("company_id", "symbol", "company_name", "sector")
+    index = declared.Checks("gold_fct_index_performance").not_null("index_code", "trade_date")
+    index.not_null("prev_close", "index_open", severity="warn")
+    days = declared.Checks("dim_date").unique("date").not_null("date")
+    calendar_days = dim_date(spark, sf)
+    parts = [
+        company.write(_company_dimension(spark, sf), f"{out}/company"),
+        index.write(
+            indices.index_performance(_members(spark, sf), inputs.part_prices(spark, sf)),
+            f"{out}/index",
+        ),
+        days.write(calendar_days, f"{out}/days"),
+    ]
+    listed = companies.completed_companies(inputs.company(spark, sf))
+    for name in ("sector", "industry"):
+        dimension = dimensions.hashed_dimension(listed, name)
+        checks = declared.Checks(f"dim_{name}").unique(f"{name}_id")
+        parts.append(checks.not_null(f"{name}_id", name).write(dimension, f"{out}/{name}"))
+    facts = financials.financial_facts(financials.text_financials(inputs.finance_raw(spark, sf)))
+    customers = inputs.table(spark, sf, "customer").filter("c_acctbal > 0").select(
+        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("symbol")
+    )
+    statements = (
+        declared.Checks("fct_financials")
+        .not_null("financial_id", "symbol", "quarter_date", "total_revenue")
+        .holds("total_revenue", F.col("total_revenue") >= 0)
+        .unique("financial_id")
+        .related("symbol", customers, "symbol")
+        .related("quarter_date", spark.read.parquet(f"{out}/days"), "date", "warn")
+    )
     return quality.combine(
-        quality.not_null(gold, name, ["symbol", "trade_date", "close_price", "price_change"]),
-        quality.unique(gold, name, ["symbol", "trade_date"]),
-        quality.accepted_values(gold, name, "trend_signal", ["BULLISH", "BEARISH", "NEUTRAL"]),
-        quality.accepted_values(gold, name, "volume_signal", ["HIGH", "NORMAL", "LOW"]),
-        quality.accepted_values(gold, name, "data_source", ["A", "N"], "warn"),
-        quality.relationships(gold, name, "trade_date", days, "date"),
-        quality.expression_is_true(gold, name, "volume", F.col("volume") >= 0),
+        *parts,
+        statements.write(
+            facts.select(
+                "financial_id", "symbol",
+                F.date_format("quarter_date", "yyyy-MM-dd").alias("quarter_date"),
+                "total_revenue",
+            ),
+            f"{out}/statements",
+        ),
     )
 
 
