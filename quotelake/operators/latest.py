@@ -30,16 +30,19 @@ def _extreme(df, keys, order, pick) -> DataFrame:
     )
 
 
-def latest_of_few(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def latest_of_few(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], along: str | None = None
+) -> DataFrame:
     """As ``latest_by`` for keys that hardly repeat, such as (symbol, day).
 
     Combining in the map tasks would save nothing there, so rows are shuffled once
-    by key and sorted once.
+    by key and sorted once. With ``along``, one of the keys, they are shuffled by
+    that alone: series along it need no further shuffle.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     ranked = Window.partitionBy(*keys).orderBy(F.struct(*order, *rest).desc())
     return (
-        df.repartition(*keys)
+        df.repartition(*([along] if along else keys))
         .withColumn("_place", F.row_number().over(ranked))
         .filter(F.col("_place") == 1)
         .drop("_place")

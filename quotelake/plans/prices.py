@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,10 +15,10 @@ from quotelake.functions.measures import (
     volume_signal,
 )
 from quotelake.functions.text import change_percent, parse_magnitude, strip_signs, trade_day, try_decimal
-from quotelake.operators.incremental import newer_than_target
+from quotelake.operators.incremental import newer_than_target, write_partitions
 from quotelake.operators.latest import latest_by, latest_of_few
 from quotelake.operators.lookups import enrich
-from quotelake.operators.ranges import Clock, since_months
+from quotelake.operators.ranges import Clock, moment, since_months
 from quotelake.operators.series import CARRIED, SLICE, drop_carried, last_rows, with_lookback
 from quotelake.sources.bronze import INGEST_SYMBOL, members
 from quotelake.sources.loaders import BATCH_SOURCE
@@ -26,6 +27,7 @@ SHORT_ROWS = 7
 LONG_ROWS = 30
 LOOKBACK_ROWS = LONG_ROWS - 1
 MONEY = "decimal(18,4)"
+MONTH = "trade_month"
 
 
 def unified_prices(
@@ -66,10 +68,17 @@ def unified_prices(
     )
 
 
-def latest_stock_prices(stock_price: DataFrame) -> DataFrame:
-    """One row per company and day: the row created last, then the greatest id."""
+def latest_stock_prices(stock_price: DataFrame, along: str | None = None) -> DataFrame:
+    """One row per company and day: the row created last, then the greatest id.
+
+    With ``along``, a column that names the company, the rows of a company stay
+    together, ready for its series.
+    """
     cleaned = stock_price.withColumn("data_source", F.upper(F.trim("data_source")))
-    single = latest_of_few(cleaned, ["company_id", "trade_date"], ["created_at", "price_id"])
+    keys = ["company_id", "trade_date"]
+    single = latest_of_few(
+        cleaned, [along, *keys] if along else keys, ["created_at", "price_id"], along
+    )
     day = F.col("trade_date")
     return single.withColumns(
         {
@@ -264,6 +273,30 @@ def price_history(gold: DataFrame, as_of: Clock, months: int = 6) -> DataFrame:
     )
 
 
+def store_gold(gold: DataFrame, path: str) -> None:
+    """The gold fact by month, which months that are there again replace."""
+    by_month = gold.withColumn(MONTH, F.trunc("trade_date", "month"))
+    write_partitions(by_month, path, MONTH, ["symbol", "trade_date"])
+
+
+def newest_day(gold: DataFrame) -> DataFrame:
+    """The last day of a stored fact, looked for in its last month alone."""
+    last = gold.agg(F.max(MONTH)).scalar()
+    return gold.filter(F.col(MONTH) == last).agg(F.max("trade_date").alias("now"))
+
+
+def stored_history(gold: DataFrame, months: int = 6, as_of: Clock | None = None) -> DataFrame:
+    """As ``price_history`` from a stored fact: only the months in question are read.
+
+    Averages are stored with the fact, so no rows before these months are needed.
+    """
+    clock = newest_day(gold) if as_of is None else as_of
+    first = moment(
+        gold, MONTH, clock, lambda now: F.trunc(F.add_months(now.cast("date"), -months), "month")
+    )
+    return price_history(gold.filter(F.col(MONTH) >= first), clock, months)
+
+
 def top_movers(gold: DataFrame) -> DataFrame:
     """The last day with a known change per symbol, the largest moves first."""
     known = gold.filter(F.col("price_change_pct").isNotNull()).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -54,3 +55,27 @@ def write_ticks(ticks: DataFrame, path: str) -> None:
 def recluster(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Rewrite in the order of ``columns`` so that readers can skip row groups."""
     df.repartitionByRange(*columns).sortWithinPartitions(*columns).write.parquet(path)
+
+
+def store_by_key(df: DataFrame, path: str, key: str, sort: Sequence[str]) -> DataFrame:
+    """Store rows in buckets of a key, sorted along it, and read them back.
+
+    What groups, joins or orders by the key then needs no shuffle. A bucket is one
+    file, written by one task; there are as many as shuffle partitions. The table's
+    name is needed only while it is written and read; its files stay at ``path``.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"by_key_{uuid.uuid4().hex}"
+    try:
+        (
+            df.repartition(buckets, key)
+            .write.bucketBy(buckets, key)
+            .sortBy(key, *sort)
+            .option("path", path)
+            .saveAsTable(name)
+        )
+        return spark.table(name)
+    finally:
+        # The table is external: this drops its name, not its files.
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

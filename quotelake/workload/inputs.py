@@ -147,9 +147,10 @@ def part_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The large price table, one row per symbol and day."""
     from quotelake.plans.prices import latest_stock_prices
 
-    return latest_stock_prices(stock_price(spark, sf_dir)).select(
-        F.concat(F.lit("P"), F.col("company_id").cast("string")).alias("symbol"),
-        "trade_date", "open_price", "high_price", "low_price", "close_price", "volume",
+    symbol = F.concat(F.lit("P"), F.col("company_id").cast("string"))
+    rows = stock_price(spark, sf_dir).withColumn("symbol", symbol)
+    return latest_stock_prices(rows, "symbol").select(
+        "symbol", "trade_date", "open_price", "high_price", "low_price", "close_price", "volume",
         "data_source",
     )
 

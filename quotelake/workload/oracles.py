@@ -227,6 +227,7 @@ ORACLES: dict[str, str] = {}
 ORACLES["daily_prices_gold"] = _full_gold("part_prices")
 ORACLES["daily_prices_sliced"] = _full_gold("part_prices")
 ORACLES["daily_prices_ranged"] = _full_gold("part_prices")
+ORACLES["daily_prices_stored"] = _full_gold("part_prices")
 ORACLES["daily_prices_ticks"] = _full_gold("tick_bars")
 ORACLES["daily_prices_incremental"] = gold(
     f"""SELECT {_GOLD_COLUMNS} FROM gold

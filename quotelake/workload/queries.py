@@ -73,6 +73,20 @@ def daily_prices_ranged(spark, sf):
     return prices.daily_prices(inputs.part_prices(spark, sf), by_range=True)
 
 
+def _bars_by_symbol(spark, sf):
+    """The price bars, stored in buckets of their symbol."""
+    path = scratch_path(spark, "bars-by-symbol")
+    return sinks.store_by_key(
+        inputs.part_prices(spark, sf), path, "symbol", ["trade_date", "data_source"]
+    )
+
+
+@query
+def daily_prices_stored(spark, sf):
+    """The same fact from bars stored by symbol: no shuffle."""
+    return prices.daily_prices(_bars_by_symbol(spark, sf))
+
+
 @query
 def daily_prices_ticks(spark, sf):
     """Gold daily fact over bars built from ticks."""
@@ -100,24 +114,25 @@ def volume_leaders(spark, sf):
     return prices.volume_leaders(prices.daily_prices(inputs.part_prices(spark, sf)))
 
 
-def _company_dimension(spark, sf):
+def _company_dimension(spark, sf, bars=None):
     company = inputs.company(spark, sf)
     stats = companies.market_stats(inputs.market_stat(spark, sf), company)
-    return companies.company_dimension(company, stats, inputs.part_prices(spark, sf))
+    bars = inputs.part_prices(spark, sf) if bars is None else bars
+    return companies.company_dimension(company, stats, bars)
 
 
 @query
 def market_snapshot(spark, sf):
-    gold = prices.daily_prices(inputs.part_prices(spark, sf))
-    return prices.market_snapshot(gold, _company_dimension(spark, sf))
+    bars = _bars_by_symbol(spark, sf)
+    return prices.market_snapshot(prices.daily_prices(bars), _company_dimension(spark, sf, bars))
 
 
 @query
 def price_history(spark, sf):
-    """Six months of the gold fact before the newest day."""
-    rows = inputs.part_prices(spark, sf)
-    newest = rows.agg(F.max("trade_date").alias("now"))
-    return prices.price_history(prices.daily_prices(rows), newest)
+    """Six months of the gold fact before its newest day, from the fact stored by month."""
+    path = scratch_path(spark, "gold-by-month")
+    prices.store_gold(prices.daily_prices(inputs.part_prices(spark, sf)), path)
+    return prices.stored_history(spark.read.parquet(path))
 
 
 @query

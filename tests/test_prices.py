@@ -126,3 +126,44 @@ def test_index_increment_equals_full_run(spark):
     assert as_set(indices.index_performance(members, fresh, last)) == as_set(full)
     first_day = indices.index_days(members, rows).agg(F.min("trade_date")).first()[0]
     assert first_day == date(2020, 1, 1)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedup_and_series_share_one_shuffle(spark):
+    from quotelake.workload import inputs
+
+    rows = inputs.part_prices(spark, "/root/testdata/sf0.001")
+    assert plan_of(prices.daily_prices(rows)).count("Exchange hashpartitioning") == 1
+
+
+def test_bars_stored_by_symbol_need_no_shuffle(spark, tmp_path):
+    from quotelake.sources.sinks import store_by_key
+
+    tables = {t.name for t in spark.catalog.listTables()}
+    rows = bars(spark)
+    stored = store_by_key(rows, f"{tmp_path}/bars", "symbol", ["trade_date", "data_source"])
+    gold = prices.daily_prices(stored)
+    latest = gold.groupBy("symbol").agg(F.max("trade_date").alias("d"))
+    span = stored.groupBy("symbol").agg(F.min("trade_date").alias("first"))
+    for plan in (gold, latest.join(span.hint("merge"), "symbol")):
+        assert "Exchange" not in plan_of(plan)
+    assert as_set(gold) == as_set(prices.daily_prices(rows))
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
+def test_stored_history_reads_its_months_only(spark, tmp_path):
+    gold, path = prices.daily_prices(bars(spark)), f"{tmp_path}/gold"
+    prices.store_gold(gold, path)
+    stored = spark.read.parquet(path)
+    newest = gold.agg(F.max("trade_date")).first()[0]
+    for as_of in (None, date(2021, 5, 17)):
+        history = prices.stored_history(stored, 6, as_of)
+        assert as_set(history) == as_set(prices.price_history(gold, as_of or newest, 6))
+        text = plan_of(history)
+        assert "PartitionFilters: [isnotnull(trade_month" in text
+    # A month that comes again is replaced.
+    prices.store_gold(gold.filter(F.col("trade_date") >= F.trunc(F.lit(newest), "month")), path)
+    assert spark.read.parquet(path).count() == gold.count()
