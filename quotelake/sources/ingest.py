@@ -9,7 +9,7 @@ the cells that follow it in the same task.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 import numpy as np
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.sources.bronze import INGEST_SYMBOL
-from quotelake.sources.files import FILE_NAME, column_names, file_status, list_files, symbol_of
+from quotelake.sources.files import FILE_NAME, column_names, symbol_of
 
 WIDTH = 128  # cells a line may have
 BATCH = "batch_id"
@@ -152,12 +152,6 @@ def _remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-
-
 def ingest(
     spark: SparkSession,
     folder: str,
@@ -168,8 +162,8 @@ def ingest(
     symbols: DataFrame | None = None,
     full_refresh: bool = False,
     files_per_batch: int | None = None,
-) -> None:
-    """Load the CSV files that are new since the last run, and stop.
+) -> list[int]:
+    """Load the CSV files that are new since the last run, and stop; gives its batches.
 
     ``ledger`` is the checkpoint folder of this table. A run that broke off is
     taken up where it stopped; the batch it was in is written anew. With
@@ -181,28 +175,68 @@ def ingest(
         _remove(spark, table)
         _remove(spark, ledger)
 
+    batches: list[int] = []
+
     def shape(batch: DataFrame) -> DataFrame:
         if symbols is not None:
             return bronze_rows(with_known_symbol(batch, symbols), batch_ts, None)
         return bronze_rows(batch, batch_ts, suffix)
 
+    write = bronze_sink(table, shape)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        batches.append(batch_id)
+
     stream = (
         csv_stream(spark, folder, files_per_batch=files_per_batch)
-        .writeStream.foreachBatch(bronze_sink(table, shape))
+        .writeStream.foreachBatch(store)
         .option("checkpointLocation", ledger)
         .trigger(availableNow=True)
         .start()
     )
     stream.awaitTermination()
+    return batches
+
+
+def _plain(path: Column) -> Column:
+    """A file's name with one slash after its scheme: readers and ledger differ there."""
+    return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+
 
+def noted_files(spark: SparkSession, ledger: str) -> DataFrame:
+    """(file_name, batch_id) of all files the ledger has noted, also those of no bytes.
 
-def load_status(spark: SparkSession, folder: str, table: str, batch_ts: datetime) -> DataFrame:
-    """(status, files) of the files now in the folder, seen from the run at ``batch_ts``:
-    skipped as loaded before, processed, or empty."""
-    listing = list_files(spark, folder, "*.csv")
-    if not _exists(spark, table):
-        nothing = spark.createDataFrame([], f"{FILE_NAME} string")
-        return file_status(listing, nothing, nothing)
-    rows = read_bronze(spark, table).select(FILE_NAME, "load_ts")
-    this_run = F.col("load_ts") == F.lit(batch_ts).cast("timestamp")
-    return file_status(listing, rows.filter(~this_run), rows.filter(this_run))
+    The file source notes a file as a line of JSON; a compacted note repeats older ones.
+    """
+    entry = F.from_json("value", "path string, batchId bigint")
+    lines = spark.read.text(f"{ledger.rstrip('/')}/sources/0").filter(F.startswith("value", F.lit("{")))
+    return (
+        lines.select(entry.alias("e"))
+        .groupBy(_plain(F.col("e.path")).alias(FILE_NAME))
+        .agg(F.min("e.batchId").alias(BATCH))
+    )
+
+
+def load_status(
+    spark: SparkSession, table: str, ledger: str, batches: Sequence[int]
+) -> DataFrame:
+    """(status, files) as a run saw them that wrote these batches.
+
+    Skipped files were noted by another run; of the others those that gave rows
+    are processed and the rest is empty: of no bytes, or with nothing below the
+    header, or with no row that was kept.
+    """
+    noted = noted_files(spark, ledger)
+    loaded = read_bronze(spark, table).select(_plain(F.col(FILE_NAME)).alias(FILE_NAME))
+    filled = loaded.distinct().withColumn("_filled", F.lit(True))
+    status = (
+        F.when(~F.col(BATCH).isin(*batches) if batches else F.lit(True), "skipped")
+        .when(F.col("_filled"), "processed")
+        .otherwise("empty")
+    )
+    return (
+        noted.join(filled, FILE_NAME, "left")
+        .groupBy(status.alias("status"))
+        .agg(F.count("*").alias("files"))
+    )

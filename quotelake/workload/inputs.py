@@ -92,6 +92,15 @@ def landing_files(df: DataFrame, symbol: Column, folder: str, suffix: str = ".cs
         store.rename(path, hadoop.Path(f"{folder}/{name}"))
 
 
+def touch(spark: SparkSession, path: str, text: str = "") -> None:
+    """A file that holds just this text."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    name = hadoop.Path(path)
+    out = name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(name)
+    out.writeBytes(text)
+    out.close()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written once to the shared folder and read back as a table."""
     path = scratch_path(df.sparkSession, name)

@@ -1043,9 +1043,13 @@ ORACLES["bronze_second_run"] = f"""SELECT o_orderkey, 'C' || (o_custkey % 30) AS
     CASE WHEN o_custkey % 30 < 18 THEN {_LOADS[0]} ELSE {_LOADS[1]} END AS load_ts FROM orders"""
 ORACLES["bronze_full_refresh"] = f"""SELECT o_orderkey, 'C' || (o_custkey % 30) AS _ingest_symbol,
     {_LOADS[2]} AS load_ts FROM orders"""
-ORACLES["bronze_status"] = """SELECT
-    CASE WHEN o_custkey % 30 < 18 THEN 'skipped' ELSE 'processed' END AS status,
-    count(DISTINCT o_custkey % 30) AS files FROM orders GROUP BY 1"""
+# A file per symbol, and with each of the first two runs one of no bytes and one without rows.
+ORACLES["bronze_status"] = """WITH noted AS (
+    SELECT DISTINCT CAST(o_custkey % 30 >= 18 AS INT) AS run, o_custkey % 30 AS file FROM orders
+    UNION ALL SELECT run, -kind FROM range(0, 2) AS r(run), range(1, 3) AS k(kind)
+) SELECT CASE WHEN noted.run <> seen.run THEN 'skipped' WHEN file < 0 THEN 'empty'
+      ELSE 'processed' END AS status, count(*) AS files, seen.run AS run
+    FROM noted, range(0, 3) AS seen(run) GROUP BY 1, 3"""
 ORACLES["file_inventory"] = """SELECT 'o_orderstatus=' || o_orderstatus AS prefix,
     CAST(1 AS BIGINT) AS files, 'csv' AS extensions FROM orders GROUP BY o_orderstatus"""
 ORACLES["materialize_incremental"] = sql(

@@ -1259,36 +1259,54 @@ def bronze_companies(spark, sf):
 
 
 def _three_runs(spark, sf, out, last_refreshes):
-    """Two lots of files and a run after each, then one without new files."""
+    """Two lots of files and a run after each, then one without new files; the batches of each."""
     early = F.col("o_custkey") % 30 < 18
+    batches = []
     for run, (ts, lot) in enumerate(zip(RUNS, (early, ~early, None))):
         if lot is not None:
             _statement_landing(spark, sf, f"{out}/landing", lot)
-        ingest.ingest(
-            spark, f"{out}/landing", f"{out}/table", f"{out}/ledger", ts, "_finance.csv",
-            full_refresh=last_refreshes and run == 2,
+            inputs.touch(spark, f"{out}/landing/void{run}_finance.csv")
+            inputs.touch(spark, f"{out}/landing/head{run}_finance.csv", "o_orderkey,o_custkey")
+        batches.append(
+            ingest.ingest(
+                spark, f"{out}/landing", f"{out}/table", f"{out}/ledger", ts, "_finance.csv",
+                full_refresh=last_refreshes and run == 2,
+            )
         )
+    return batches
+
+
+def _loaded_orders(spark, out):
     return _bronze_rows(spark, f"{out}/table", ["o_orderkey"], {"o_orderkey": "bigint"})
 
 
 @query
 def bronze_second_run(spark, sf):
     """Files that came after the first run are loaded by the second, and no file twice."""
-    return _three_runs(spark, sf, scratch_path(spark, "bronze-runs"), False)
+    out = scratch_path(spark, "bronze-runs")
+    _three_runs(spark, sf, out, False)
+    return _loaded_orders(spark, out)
 
 
 @query
 def bronze_full_refresh(spark, sf):
     """A refresh after two runs loads all files again, once."""
-    return _three_runs(spark, sf, scratch_path(spark, "bronze-refresh"), True)
+    out = scratch_path(spark, "bronze-refresh")
+    _three_runs(spark, sf, out, True)
+    return _loaded_orders(spark, out)
 
 
 @query
 def bronze_status(spark, sf):
-    """Files skipped and processed, as the second run sees them."""
+    """Files skipped, processed and empty as each of three runs saw them."""
     out = scratch_path(spark, "bronze-status")
-    _three_runs(spark, sf, out, False)
-    return ingest.load_status(spark, f"{out}/landing", f"{out}/table", RUNS[1])
+    parts = [
+        ingest.load_status(spark, f"{out}/table", f"{out}/ledger", batches).withColumn(
+            "run", F.lit(run)
+        )
+        for run, batches in enumerate(_three_runs(spark, sf, out, False))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query
