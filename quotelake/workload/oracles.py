@@ -599,6 +599,25 @@ def _magnitude(kind: str, value: str = "plain") -> str:
       WHEN 4 THEN NULL ELSE CAST({value} AS DECIMAL(28,2)) END AS DOUBLE)"""
 
 
+_LATEST_STATEMENT = ", ".join(f"{m} DESC NULLS LAST" for m in _METRICS)
+ORACLES["staged_financials_text"] = sql(
+    f"""SELECT symbol, company_name, sector, {day("q")} AS quarter,
+    CAST(NULL AS BIGINT) AS fiscal_year, CAST(NULL AS BIGINT) AS fiscal_quarter,
+    {', '.join(f'coalesce({m}, 0) AS {m}' for m in _METRICS)}, {_RATIOS} FROM (
+      SELECT * FROM (SELECT 'C' || o_custkey AS symbol, quarter_day AS q, o_orderdate,
+        {_magnitude('kind')} AS total_revenue, {_magnitude('(kind % 5 + 1)')} AS gross_profit,
+        CAST(CAST(o_totalprice * 2 AS DECIMAL(28,2)) * 1000000 AS DOUBLE) AS net_income,
+        CASE WHEN kind = 2 THEN -1 ELSE 1 END * (o_custkey + 0.25::DOUBLE) AS eps,
+        {_magnitude('((kind + 1) % 5 + 1)')} AS operating_expense,
+        {_magnitude('2')} AS total_assets,
+        CASE WHEN kind <> 5 THEN {_magnitude('5')} END AS total_liabilities,
+        CASE WHEN kind <> 3 THEN {_magnitude('kind')} END AS free_cash_flow,
+        c_name AS company_name, c_mktsegment AS sector
+        FROM order_text LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus <> 'P')
+      QUALIFY row_number() OVER (PARTITION BY symbol, q
+        ORDER BY o_orderdate DESC, {_LATEST_STATEMENT}) = 1)""",
+    "order_text",
+)
 ORACLES["magnitude_parse"] = sql(
     f"""SELECT 'C' || o_custkey AS symbol,
     CASE WHEN o_orderstatus <> 'P' THEN {day('quarter_day')} END AS quarter_date,
@@ -1050,8 +1069,20 @@ ORACLES["bronze_status"] = """WITH noted AS (
 ) SELECT CASE WHEN noted.run <> seen.run THEN 'skipped' WHEN file < 0 THEN 'empty'
       ELSE 'processed' END AS status, count(*) AS files, seen.run AS run
     FROM noted, range(0, 3) AS seen(run) GROUP BY 1, 3"""
-ORACLES["file_inventory"] = """SELECT 'o_orderstatus=' || o_orderstatus AS prefix,
-    CAST(1 AS BIGINT) AS files, 'csv' AS extensions FROM orders GROUP BY o_orderstatus"""
+# A line per order and a header per file; every line ends with one byte.
+ORACLES["file_inventory"] = """SELECT prefix, CAST(count(*) AS BIGINT) AS files,
+    CAST(sum(size) AS BIGINT) AS bytes, 'csv' AS extensions,
+    array_to_string(list_slice(list_sort(list(name)), 1, 5), ',') AS sample
+    FROM (SELECT o_orderstatus AS prefix, 'C' || (o_custkey % 8) || '.csv' AS name,
+        length('o_orderkey,o_custkey') + 1
+          + sum(length(o_orderkey::VARCHAR) + length(o_custkey::VARCHAR) + 2) AS size
+      FROM orders GROUP BY 1, 2) GROUP BY prefix"""
+ORACLES["expected_folders"] = """SELECT prefix, count(file) AS files, count(file) > 0 AS found
+    FROM (VALUES ('F'), ('O'), ('P'), ('TVH')) AS e(prefix)
+    LEFT JOIN (SELECT DISTINCT o_orderstatus, o_custkey % 8 AS file FROM orders)
+      ON o_orderstatus = prefix GROUP BY prefix"""
+ORACLES["recent_file_rows"] = """SELECT o_orderkey, o_totalprice, 'C' || (o_custkey % 8) AS symbol
+    FROM orders WHERE o_custkey % 8 > 2"""
 ORACLES["materialize_incremental"] = sql(
     """SELECT company_id, symbol, CASE WHEN company_id >= 500 THEN 'Updated' ELSE sector END
     AS sector FROM company""",

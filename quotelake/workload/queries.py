@@ -579,6 +579,40 @@ def staged_financials(spark, sf):
     return financials.staged_financials(raw, known).drop("ingested_at")
 
 
+@query
+def staged_financials_text(spark, sf):
+    """Typed statements from display text of all eight metrics, the latest load per quarter."""
+    kind, total = inputs.priority_kind(), F.col("o_totalprice")
+    cells = inputs.table(spark, sf, "orders").select(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("_ingest_symbol"),
+        F.when(F.col("o_orderstatus") != "P", inputs.quarter_text(F.col("o_orderdate")))
+        .otherwise("TTM")
+        .alias("Quarter"),
+        inputs.magnitude_text(total, kind).alias("total_revenue"),
+        inputs.magnitude_text(total, kind % 5 + 1).alias("gross_profit"),
+        inputs.magnitude_text(total * 2, F.lit(1)).alias("net_income"),
+        F.concat(
+            F.when(kind == 2, text.MINUS_SIGN).otherwise(""),
+            F.col("o_custkey").cast("string"),
+            F.lit(".25"),
+        ).alias("eps"),
+        inputs.magnitude_text(total, (kind + 1) % 5 + 1).alias("operating_expense"),
+        inputs.magnitude_text(total, F.lit(2)).alias("total_assets"),
+        F.when(kind != 5, inputs.magnitude_text(total, F.lit(5)))
+        .otherwise("n/a")
+        .alias("total_liabilities"),
+        F.when(kind != 3, inputs.magnitude_text(total, kind)).alias("free_cash_flow"),
+        F.col("o_orderdate").alias("_meta_loaded"),
+    )
+    known = inputs.table(spark, sf, "customer").select(
+        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("symbol"),
+        F.col("c_name").alias("company_name"),
+        F.col("c_mktsegment").alias("sector"),
+    )
+    raw = inputs.raw_rows(cells, "finances/all", F.col("_meta_loaded"))
+    return financials.staged_financials(raw, known).drop("ingested_at")
+
+
 @query
 def magnitude_parse(spark, sf):
     """Display-text statements as numbers."""
@@ -1309,14 +1343,49 @@ def bronze_status(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _inventory(spark, sf):
+    """Orders as files of eight symbols in a folder per status, listed."""
+    folder = scratch_path(spark, "files")
+    rows = inputs.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    symbol = F.concat(F.lit("C"), (F.col("o_custkey") % 8).cast("string"))
+    for status in ("F", "O", "P"):
+        of_status = rows.filter(F.col("o_orderstatus") == status).select("o_orderkey", "o_custkey")
+        inputs.landing_files(of_status, symbol, f"{folder}/{status}")
+    return files.inventory(files.list_files(spark, folder, "*.csv"), folder)
+
+
 @query
 def file_inventory(spark, sf):
-    """Files, types and presence per folder of a written dataset."""
-    folder = scratch_path(spark, "files")
-    rows = inputs.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    rows.repartition(1, "o_orderstatus").write.partitionBy("o_orderstatus").csv(folder)
-    listing = files.inventory(files.list_files(spark, folder, "*.csv"), folder)
-    return listing.select("prefix", "files", F.concat_ws(",", "extensions").alias("extensions"))
+    """Files, bytes, types and first names per folder of a written dataset."""
+    return _inventory(spark, sf).withColumns(
+        {"extensions": F.concat_ws(",", "extensions"), "sample": F.concat_ws(",", "sample")}
+    )
+
+
+@query
+def expected_folders(spark, sf):
+    """Whether the folders a load expects hold files."""
+    return files.expected_prefixes(_inventory(spark, sf), ["F/", "O", "P", "TVH/"])
+
+
+@query
+def recent_file_rows(spark, sf):
+    """Rows of the files changed in the last days, and of no other file."""
+    folder = scratch_path(spark, "recent")
+    rows = inputs.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
+    symbol = F.concat(F.lit("C"), (F.col("o_custkey") % 8).cast("string"))
+    inputs.landing_files(rows, symbol, folder)
+    old = F.col("file_name").rlike("/C[0-2][.]csv$")
+    listing = files.list_files(spark, folder).withColumn(
+        "modified", F.when(old, F.lit(RUNS[0])).otherwise(F.col("modified"))
+    )
+    recent = files.recent_files(listing, datetime.now() + timedelta(minutes=1), 3)
+    typed = files.scan_csv_typed(
+        spark, folder, T.StructType.fromDDL("o_orderkey bigint, o_totalprice double, o_custkey int")
+    ).withColumn("file_name", F.col("_metadata.file_path"))
+    return typed.join(recent.select("file_name"), "file_name", "left_semi").select(
+        "o_orderkey", "o_totalprice", files.symbol_of(F.col("file_name")).alias("symbol")
+    )
 
 
 @query
