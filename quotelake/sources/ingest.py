@@ -77,6 +77,31 @@ def named_cells(lines: DataFrame, width: int = WIDTH) -> DataFrame:
     return headed.select(FILE_NAME, F.map_from_arrays("names", cells).alias("cells"))
 
 
+def _layout(reader, glob: str, width: int):
+    """Cells by position; a file is one task's work, so quoted cells may hold line breaks."""
+    return (
+        reader.schema(_positional(width))
+        .option("header", False)
+        .option("multiLine", True)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", glob)
+    )
+
+
+def csv_lines(
+    spark: SparkSession,
+    folder: str,
+    modified_after: datetime | None = None,
+    glob: str = "*.csv",
+    width: int = WIDTH,
+) -> DataFrame:
+    """The lines of the CSV files below a folder, for ``named_cells``."""
+    reader = _layout(spark.read, glob, width)
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S"))
+    return reader.csv(folder)
+
+
 def csv_stream(
     spark: SparkSession,
     folder: str,
@@ -86,17 +111,9 @@ def csv_stream(
 ) -> DataFrame:
     """The CSV files below a folder as a stream of (file_name, cells).
 
-    A file is one task's work, so quoted cells may hold line breaks. A file with
-    more than ``width`` columns stops the stream.
+    A file with more than ``width`` columns stops the stream.
     """
-    reader = (
-        spark.readStream.schema(_positional(width))
-        .option("header", False)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .option("maxFileAge", FOREVER)
-    )
+    reader = _layout(spark.readStream, glob, width).option("maxFileAge", FOREVER)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return named_cells(reader.csv(folder), width)

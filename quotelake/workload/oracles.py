@@ -1069,6 +1069,30 @@ ORACLES["bronze_status"] = """WITH noted AS (
 ) SELECT CASE WHEN noted.run <> seen.run THEN 'skipped' WHEN file < 0 THEN 'empty'
       ELSE 'processed' END AS status, count(*) AS files, seen.run AS run
     FROM noted, range(0, 3) AS seen(run) GROUP BY 1, 3"""
+_DROPPED = """SELECT 'P' || (company_id + volume) AS symbol, volume, close_price,
+    CASE WHEN volume <> 7 THEN trade_date END AS trade_date FROM stock_price"""
+ORACLES["batch_job_report"] = sql(
+    """SELECT 'company_list.csv' AS file_name, 'company' AS target, 'loaded' AS status,
+      count(*) AS rows, CAST(0 AS BIGINT) AS rejected FROM part
+    UNION ALL SELECT 'ohlc' || volume % 5 || '.csv', 'stock_price',
+      CASE WHEN volume % 5 = 3 THEN 'missing columns' ELSE 'loaded' END, count(*),
+      CASE WHEN volume % 5 = 3 THEN 0 ELSE count(*) FILTER (WHERE trade_date IS NULL) END
+      FROM dropped WHERE volume % 5 < 4 GROUP BY volume % 5
+    UNION ALL SELECT 'notes.csv', NULL, 'no table', count(*), 0 FROM dropped
+      WHERE volume % 5 = 4 HAVING count(*) > 0""",
+    "stock_price", dropped=_DROPPED,
+)
+ORACLES["batch_job_prices"] = sql(
+    f"""SELECT row_number() OVER (ORDER BY company_id, trade_date) AS price_id, company_id, symbol,
+    sector, {day('trade_date')} AS trade_date, {dbl('close_price')}, volume FROM (
+      SELECT d.*, company_id, sector FROM dropped d JOIN (
+        SELECT 'P' || p_partkey AS symbol, CASE WHEN p_size > 10 THEN p_type END AS sector,
+          row_number() OVER (ORDER BY 'P' || p_partkey) AS company_id FROM part) USING (symbol)
+      WHERE volume % 5 < 3 AND trade_date IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY company_id, trade_date
+        ORDER BY close_price DESC, volume DESC) = 1)""",
+    "stock_price", dropped=_DROPPED,
+)
 # A line per order and a header per file; every line ends with one byte.
 ORACLES["file_inventory"] = """SELECT prefix, CAST(count(*) AS BIGINT) AS files,
     CAST(sum(size) AS BIGINT) AS bytes, 'csv' AS extensions,

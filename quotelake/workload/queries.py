@@ -15,7 +15,7 @@ from quotelake.plans import (
     companies, dimensions, financials, gold_run, indices, panels, points, prices,
 )
 from quotelake.session import scratch_path, tune
-from quotelake.sources import bronze, files, ingest, loaders, messages, sinks
+from quotelake.sources import batch_job, bronze, files, ingest, loaders, messages, sinks
 from quotelake.streaming import live
 from quotelake.streaming import ticks as tick_stream
 from quotelake.workload import inputs
@@ -1343,6 +1343,49 @@ def bronze_status(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _drop_folder(spark, sf):
+    """Company, price and other files of a drop folder; some price files have no close."""
+    folder = scratch_path(spark, "drop")
+    part = inputs.table(spark, sf, "part").select(
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("symbol"),
+        F.col("p_name").alias("company_name"),
+        F.when(F.col("p_size") > 10, F.col("p_type")).alias("sector"),
+    )
+    inputs.landing_files(part, F.lit("company_list"), folder)
+    lines = inputs.stock_price(spark, sf).select(
+        F.concat(F.lit("P"), (F.col("company_id") + F.col("volume")).cast("string")).alias("symbol"),
+        F.when(F.col("volume") != 7, F.col("trade_date").cast("string"))
+        .otherwise("soon")
+        .alias("trade_date"),
+        F.col("close_price").alias("close"),
+        "volume",
+    )
+    name = F.concat(F.lit("ohlc"), (F.col("volume") % 5).cast("string"))
+    inputs.landing_files(lines.filter("volume % 5 < 3"), name, folder)
+    inputs.landing_files(lines.filter("volume % 5 = 3").drop("close"), name, folder)
+    inputs.landing_files(lines.filter("volume % 5 = 4"), F.lit("notes"), folder)
+    return folder
+
+
+@query
+def batch_job_report(spark, sf):
+    """What became of each file of a drop folder."""
+    root = scratch_path(spark, "batch-job")
+    report = batch_job.load_recent(spark, _drop_folder(spark, sf), root, 1, _load_time())
+    return report.withColumn("file_name", F.element_at(F.split("file_name", "/"), -1))
+
+
+@query
+def batch_job_prices(spark, sf):
+    """The prices of a drop folder after the job and its repetition."""
+    root, folder = scratch_path(spark, "batch-job"), _drop_folder(spark, sf)
+    for batch in (1, 1, 2):
+        batch_job.load_recent(spark, folder, root, batch, _load_time())
+    return batch_job.stock_prices(spark, root).join(
+        batch_job.companies(spark, root).select("company_id", "symbol", "sector"), "company_id"
+    ).select("price_id", "company_id", "symbol", "sector", "trade_date", "close_price", "volume")
+
+
 def _inventory(spark, sf):
     """Orders as files of eight symbols in a folder per status, listed."""
     folder = scratch_path(spark, "files")
