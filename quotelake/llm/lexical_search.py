@@ -258,24 +258,10 @@ def _clusters(rows: np.ndarray) -> np.ndarray:
     return np.argmax(scaled @ (chosen / np.maximum(norm, 1)[:, None]).T, axis=1)
 
 
-def blocks(ordered: DataFrame, weights: Weights, plan: Plan) -> DataFrame:
-    """The index: (term, members, at, most), a row per block of a posting list.
-
-    ``members`` are documents, ``most`` the greatest impacts of the members at the
-    places ``at`` of the list's coordinates that are not 0.
-    """
+def _built(plan: Plan, weights: Weights):
+    """What turns similar documents into blocks of posting lists, batch by batch."""
 
-    def run(source):
-        for batch in source:
-            docs, ids, impacts = batch.column("doc").to_pylist(), [], []
-            for n, i, tf in zip(*(batch.column(c).to_pylist() for c in ("n", "ids", "tf"))):
-                i, tf = _arrays(i, tf)
-                ids.append(i)
-                impacts.append(weights.impacts(n, i, tf))
-            for section in _sections(docs, ids, impacts):
-                yield from _section_blocks(*section)
-
-    def _section_blocks(docs, terms, dense):
+    def section_blocks(docs, terms, dense):
         out = {"term": [], "members": [], "at": [], "most": []}
         for column in np.flatnonzero(plan.essential[terms]):
             term = int(terms[column])
@@ -297,15 +283,48 @@ def blocks(ordered: DataFrame, weights: Weights, plan: Plan) -> DataFrame:
                 out["members"].append(members.tobytes())
                 out["at"].append(at[held].astype(np.int32).tobytes())
                 out["most"].append(top[held].tobytes())
+            if len(out["term"]) >= 4096:
+                yield out
+                out = {name: [] for name in out}
+        if out["term"]:
+            yield out
+
+    def run(source):
+        for batch in source:
+            docs, ids, impacts = batch.column("doc").to_pylist(), [], []
+            for n, i, tf in zip(*(batch.column(c).to_pylist() for c in ("n", "ids", "tf"))):
+                i, tf = _arrays(i, tf)
+                ids.append(i)
+                impacts.append(weights.impacts(n, i, tf))
+            for section in _sections(docs, ids, impacts):
+                yield from section_blocks(*section)
+
+    return run
+
+
+def blocks(ordered: DataFrame, weights: Weights, plan: Plan) -> DataFrame:
+    """The index as a table: (term, members, at, most), a row per block of a posting list.
+
+    ``members`` are documents, ``most`` the greatest impacts of the members at the
+    places ``at`` of the list's coordinates that are not 0.
+    """
+    built = _built(plan, weights)
+
+    def run(source):
         kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
-        columns = [pa.array(v, k) for v, k in zip(out.values(), kinds)]
-        yield pa.RecordBatch.from_arrays(columns, list(out))
+        for out in built(source):
+            columns = [pa.array(v, k) for v, k in zip(out.values(), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, list(out))
 
     return ordered.mapInArrow(run, "term long, members binary, at binary, most binary")
 
 
-def candidates(index_blocks: DataFrame, plan: Plan) -> DataFrame:
-    """(doc, item) of members of all blocks whose bound reaches the known score."""
+def candidates(ordered: DataFrame, weights: Weights, plan: Plan) -> DataFrame:
+    """(doc, item) of members of all blocks whose bound reaches the known score.
+
+    Blocks are judged in the task that builds them.
+    """
+    built = _built(plan, weights)
 
     def run(source):
         summary = np.zeros(plan.items.size, dtype=np.int64)
@@ -316,8 +335,8 @@ def candidates(index_blocks: DataFrame, plan: Plan) -> DataFrame:
             docs.clear(), found.clear()
             return pa.RecordBatch.from_arrays(pairs, ["doc", "item"])
 
-        for batch in source:
-            for term, members, at, most in zip(*(c.to_pylist() for c in batch.columns)):
+        for out in built(source):
+            for term, members, at, most in zip(*out.values()):
                 where = plan.coordinates(term)[np.frombuffer(at, np.int32)]
                 summary[where] = np.frombuffer(most, np.int64)
                 askers = np.array(plan.askers[term], dtype=np.int64)
@@ -336,7 +355,7 @@ def candidates(index_blocks: DataFrame, plan: Plan) -> DataFrame:
             yield flush()
 
     # A document meets an item in each list of its essential terms; one is enough.
-    return index_blocks.mapInArrow(run, "doc long, item long").distinct()
+    return ordered.mapInArrow(run, "doc long, item long").distinct()
 
 
 def exact_scores(found: DataFrame, index: DataFrame, weights: Weights, plan: Plan) -> DataFrame:
@@ -380,8 +399,8 @@ def _search_block(docs: DataFrame, asked: list, k: int, sample: int) -> DataFram
     weights = statistics(index, items)
     known = known_scores(index, items, weights, k, sample)
     plan = Plan(items, greatest_impacts(index, items, weights), known, weights)
-    lists = blocks(similar_order(index, items, weights, plan), weights, plan)
-    scored = exact_scores(candidates(lists, plan), index, weights, plan)
+    found = candidates(similar_order(index, items, weights, plan), weights, plan)
+    scored = exact_scores(found, index, weights, plan)
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     names = docs.sparkSession.createDataFrame(

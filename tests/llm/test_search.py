@@ -111,8 +111,9 @@ def test_blocks_bound_their_members_and_most_are_skipped(spark):
     weights = ls.statistics(index, asked)
     known = ls.known_scores(index, asked, weights, 10, 1)
     plan = ls.Plan(asked, ls.greatest_impacts(index, asked, weights), known, weights)
-    lists = ls.blocks(ls.similar_order(index, asked, weights, plan), weights, plan)
-    pairs = {tuple(r) for r in ls.candidates(lists, plan).collect()}
+    ordered = ls.similar_order(index, asked, weights, plan)
+    lists = ls.blocks(ordered, weights, plan)
+    pairs = {tuple(r) for r in ls.candidates(ordered, weights, plan).collect()}
     best = ranked(docs, items)
     place = {doc: i for i, (doc, _) in enumerate(items)}
     number = {r.doc_id: r.doc for r in index.select("doc", "doc_id").collect()}
