@@ -242,6 +242,12 @@ def raw_rows(df: DataFrame, file_name: Column | str, load_ts: Column) -> DataFra
     )
 
 
+def bronze_table(df: DataFrame, file_name: Column | str, load_ts: Column) -> DataFrame:
+    """Raw rows as a stored bronze table of several files, as ingest leaves it."""
+    files = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(raw_rows(df.repartition(files), file_name, load_ts), "bronze")
+
+
 def companies_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw company rows from suppliers; two loads of each, the second with a sector."""
     nation = table(spark, sf_dir, "nation")
@@ -285,7 +291,7 @@ def prices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("volume") < 45, F.col("volume")).cast("string").alias("volume"),
         F.col("created_at").alias("_meta_created"),
     )
-    return raw_rows(cells, "prices/all.csv", F.col("_meta_created"))
+    return bronze_table(cells, "prices/all.csv", F.col("_meta_created"))
 
 
 def magnitude_text(value: Column, kind: Column) -> Column:
@@ -333,7 +339,7 @@ def finance_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("_meta_order"),
         F.col("o_orderdate").alias("_meta_loaded"),
     )
-    return raw_rows(
+    return bronze_table(
         cells,
         F.concat(F.lit("finances/"), F.col("_meta_order").cast("string")),
         F.col("_meta_loaded"),

@@ -185,7 +185,7 @@ def _text_prices_raw(spark, sf):
         "HOUR", F.col("_meta_line").cast("int"), F.lit(inputs.BATCH_TS).cast("timestamp")
     )
     name = F.concat(F.lit("prices/"), F.lpad(F.col("_meta_order").cast("string"), 12, "0"))
-    return inputs.raw_rows(cells, name, loaded)
+    return inputs.bronze_table(cells, name, loaded)
 
 
 @query
