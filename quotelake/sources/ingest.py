@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from quotelake.sources.bronze import INGEST_SYMBOL
 from quotelake.sources.files import FILE_NAME, column_names, symbol_of
 
-WIDTH = 128  # cells a line may have
+WIDTH = 32  # cells a line may have; the reader's work grows with it
 BATCH = "batch_id"
 BRONZE = f"{FILE_NAME} string, load_ts timestamp, raw variant, {BATCH} bigint"
 FOREVER = "36500d"  # a file that comes late with an old time is new all the same
@@ -179,6 +179,7 @@ def ingest(
     symbols: DataFrame | None = None,
     full_refresh: bool = False,
     files_per_batch: int | None = None,
+    width: int = WIDTH,
 ) -> list[int]:
     """Load the CSV files that are new since the last run, and stop; gives its batches.
 
@@ -206,7 +207,7 @@ def ingest(
         batches.append(batch_id)
 
     stream = (
-        csv_stream(spark, folder, files_per_batch=files_per_batch)
+        csv_stream(spark, folder, files_per_batch=files_per_batch, width=width)
         .writeStream.foreachBatch(store)
         .option("checkpointLocation", ledger)
         .trigger(availableNow=True)
