@@ -1,26 +1,29 @@
-"""Byte-level BPE with Spark higher-order functions.
-
-Texts are split by the tokenizer's pattern. Each distinct word of 64 chunks of
-the corpus is folded once: over its array of bytes, the neighbours of lowest rank
-are merged until no neighbours have a rank. Ranks come from a literal map from
-pairs of ids (a flat array with two slots per pair, as a lookup in a map literal
-is linear). Documents are dealt to chunks of bounded size; a chunk gets the codes
-of its own words, so no task needs the vocabulary of the corpus. Decoding
-concatenates the pieces of the ids.
+"""Byte-level BPE: ranked merges folded over the bytes of distinct words.
+
+Texts are split by the tokenizer's pattern in the plan. A task takes the words of
+some rows at a time, makes them distinct, folds each distinct word it has not just
+seen, and puts the ids in the places of the words. The rank map goes with the
+function, as large as the rank file; texts and words are not shuffled, so a task
+needs neither the vocabulary of the corpus nor rows of other tasks. Decoding
+concatenates the pieces of the ids in the plan.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
+from array import array
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from quotelake.llm.common import literal_table
-from quotelake.llm.quality_rules import let
 
-NONE = 1 << 17  # stands for the rank of neighbours that do not merge
-SHORT = 96  # bytes; longer words merge all equal pairs of a pass at once
+SLICE_BYTES = 4 << 20  # of text that a task takes at a time; a longer text is taken alone
+KNOWN_WORDS = 1 << 18  # whose ids a task remembers; it forgets all and begins anew
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -31,290 +34,120 @@ def read_ranks(path: str) -> list[bytes]:
     return [ranks[i] for i in range(len(ranks))]
 
 
-PAIR_SLOTS = 262139
-HASHES = ((40503, 48271), (69621, 16807))
-
+def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of a word: neighbours of lowest rank are merged, leftmost first, until none merge.
 
-def _pair_table(pieces: list[bytes]) -> list[int]:
-    """Pairs of ids and the rank of what they join to, each in one of its two slots."""
-    ids = {piece: i for i, piece in enumerate(pieces)}
-    slots = [-1] * PAIR_SLOTS
-    for rank, piece in enumerate(pieces):
-        for cut in range(1, len(piece)):
-            left, right = ids.get(piece[:cut]), ids.get(piece[cut:])
-            if left is None or right is None:
-                continue
-            entry, choice = ((left << 16) + right << 16) + rank, 0
-            for _ in range(1000):  # what was in the slot moves to its other one
-                a, b = HASHES[choice]
-                at = ((entry >> 32) * a + (entry >> 16 & 65535) * b) % PAIR_SLOTS
-                slots[at], entry = entry, slots[at]
-                if entry < 0:
-                    break
-                a, b = HASHES[0]
-                first = ((entry >> 32) * a + (entry >> 16 & 65535) * b) % PAIR_SLOTS
-                choice = 1 if first == at else 0
-            else:
-                raise ValueError("no place for a pair; PAIR_SLOTS is too small")
-    return slots
+    ``end[i]`` is the end of the piece that starts at i, ``merged[i]`` the rank of
+    that piece with the next (-1: none). A heap holds ranks with places; an entry
+    that ``merged`` no longer agrees with is passed over.
+    """
+    if word in ranks:
+        return [ranks[word]]
+    n = len(word)
+    end, before = list(range(1, n + 1)), list(range(-1, n))
+    merged = [ranks.get(word[i : i + 2], -1) for i in range(n - 1)] + [-1]
+    heap = [rank * n + i for i, rank in enumerate(merged) if rank >= 0]
+    heapq.heapify(heap)
+    while heap:
+        rank, i = divmod(heapq.heappop(heap), n)
+        if merged[i] != rank:
+            continue
+        middle = end[i]
+        end[i] = stop = end[middle]
+        before[stop] = i
+        merged[middle] = merged[i] = -1
+        if stop < n:
+            merged[i] = rank = ranks.get(word[i : end[stop]], -1)
+            if rank >= 0:
+                heapq.heappush(heap, rank * n + i)
+        if i:
+            left = before[i]
+            merged[left] = rank = ranks.get(word[left:stop], -1)
+            if rank >= 0:
+                heapq.heappush(heap, rank * n + left)
+    ids, i = [], 0
+    while i < n:
+        ids.append(ranks[word[i : end[i]]])
+        i = end[i]
+    return ids
 
 
 class Codec:
-    """Encoding and decoding expressions of one rank file and splitting pattern."""
+    """Encoding and decoding with one rank file and splitting pattern."""
 
     def __init__(self, pieces: list[bytes], pattern: str):
         self.pattern = "(?U)" + pattern
-        self.vocabulary = pieces
-        ids = {piece: i for i, piece in enumerate(pieces)}
-        self.pairs = literal_table(_pair_table(pieces), "bigint")
-        self.bytes = literal_table([ids[bytes([b])] for b in range(256)], "int")
+        self.ranks = {piece: i for i, piece in enumerate(pieces)}
         self.pieces = literal_table([p.hex().upper() for p in pieces], "string")
 
     def split(self, text: Column) -> Column:
         """The words of a text that are encoded separately."""
         return F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
 
-    def whole(self, spark: SparkSession) -> DataFrame:
-        """(w, id) of the vocabulary's words, a table of the rank file's size."""
-        words = []
-        for i, piece in enumerate(self.vocabulary):
-            try:
-                words.append((piece.decode(), i))
-            except UnicodeDecodeError:
-                pass  # part of a character: never a word
-        return spark.createDataFrame(words, "w string, id int")
-
-    def encode(self, word: Column) -> Column:
-        """Ids of one word of the pattern, array<int>.
-
-        The literal stands in the expression once; all lookups go to a variable.
-        """
-        raw = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "", -1)
-        ids = F.transform(raw, lambda b: F.get(self.bytes, F.ascii(b)))
-        return let(self.pairs, lambda table: let(ids, _Fold(table).of))
-
     def decode(self, ids: Column) -> Column:
         """The bytes of a list of ids."""
         return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""))
 
 
-class _Fold:
-    """The merges of one word, given the pair table."""
-
-    def __init__(self, table: Column):
-        self.table = table
-
-    def pair(self, left: Column, right: Column) -> Column:
-        """The rank of two neighbouring ids, NONE if they do not merge or one is null."""
-        left, right = left.cast("long"), right.cast("long")
-        key = left * 65536 + right
-        chain = F
-        for a, b in HASHES:
-            entry = F.get(self.table, ((left * a + right * b) % PAIR_SLOTS).cast("int"))
-            chain = chain.when(
-                F.shiftright(entry, 16) == key, entry.bitwiseAND(F.lit(65535)).cast("int")
-            )
-        return chain.otherwise(F.lit(NONE))
-
-    def _neighbours(self, ids: Column) -> Column:
-        return F.when(
-            F.size(ids) > 1,
-            F.transform(
-                F.sequence(F.lit(0), F.size(ids) - 2),
-                lambda i: self.pair(F.get(ids, i), F.get(ids, i + 1)),
-            ),
-        ).otherwise(F.array().cast("array<int>"))
-
-    def _packed(self, ids: Column) -> Column:
-        """Per piece one number: rank with the next piece, place in the word, id."""
-        return F.transform(
-            ids,
-            lambda x, i: F.shiftleft(self.pair(x, F.get(ids, i + 1)).cast("long"), 40)
-            + F.shiftleft(i.cast("long"), 16)
-            + x,
-        )
-
-    def _merge_one(self, packed: Column) -> Column:
-        """Merge the leftmost pair of lowest rank; only the ranks beside it change."""
-        rest = (1 << 40) - 1
-
-        def piece(i):
-            return F.get(packed, i).bitwiseAND(F.lit(65535)).cast("int")
-
-        def at(least, c):
-            rank = F.shiftright(least, 40).cast("int")
-            merged = (
-                F.shiftleft(self.pair(rank, piece(c + 1)).cast("long"), 40)
-                + least.bitwiseAND(F.lit(rest - 65535))
-                + rank
-            )
-            tail = F.slice(packed, c + 2, F.size(packed))
-            before = F.get(packed, c - 2).bitwiseAND(F.lit(rest)) + F.shiftleft(
-                self.pair(piece(c - 2), rank).cast("long"), 40
-            )
-            return F.when(
-                c > 1, F.concat(F.slice(packed, 1, c - 2), F.array(before, merged), tail)
-            ).otherwise(F.concat(F.array(merged), tail))
-
-        return let(
-            F.array_min(packed),
-            lambda least: F.when(
-                least < NONE << 40,
-                let(F.array_position(packed, least).cast("int"), lambda c: at(least, c)),
-            ).otherwise(packed),
-        )
-
-    def _merge_equal(self, state: Column) -> Column:
-        """Merge all pairs of the lowest rank, or one if that could change what follows."""
-        ids, ranks = state["ids"], state["ranks"]
-
-        def places(r):
-            hits = F.filter(
-                F.transform(ranks, lambda x, i: F.when(x == r, i)), lambda i: i.isNotNull()
-            )
-            return let(hits, lambda h: let(self._apart(h), lambda c: checked(r, c)))
-
-        def checked(r, c):
-            # A merge that makes a pair of lower rank has to come before its equals.
-            unsafe = F.exists(
-                c,
-                lambda i: (self.pair(F.get(ids, i - 1), r) < r)
-                | (self.pair(r, F.get(ids, i + 2)) < r)
-                | (self.pair(r, r) < r),
-            )
-            chosen = F.when((F.size(c) > 1) & unsafe, F.slice(c, 1, 1)).otherwise(c)
-            return let(let(chosen, lambda at: self._joined(ids, at, r)), rest)
-
-        def rest(new):
-            return F.struct(new.alias("ids"), self._neighbours(new).alias("ranks"))
-
-        return let(
-            F.coalesce(F.array_min(ranks), F.lit(NONE)),
-            lambda r: F.when(r < NONE, places(r)).otherwise(state),
-        )
-
-    @staticmethod
-    def _apart(hits: Column) -> Column:
-        """Every other position of each run of positions: pairs that do not overlap."""
-        runs = F.transform(hits, lambda i, k: i - k)
-        return let(
-            runs,
-            lambda g: F.filter(
-                hits, lambda i, k: (k - F.array_position(g, F.get(g, k)).cast("int") + 1) % 2 == 0
-            ),
-        )
-
-    @staticmethod
-    def _joined(ids: Column, at: Column, merged: Column) -> Column:
-        parts = F.transform(
-            at,
-            lambda c, k: F.concat(
-                F.array(merged),
-                F.slice(ids, c + 3, F.coalesce(F.get(at, k + 1), F.size(ids)) - c - 2),
-            ),
-        )
-        return F.concat(F.slice(ids, 1, F.get(at, F.lit(0))), F.flatten(parts))
-
-    def of(self, ids: Column) -> Column:
-        """The merged ids of a word given as the ids of its bytes."""
-        start = F.struct(ids.alias("ids"), self._neighbours(ids).alias("ranks"))
-        passes = F.sequence(F.lit(1), F.size(ids))
-        one = F.aggregate(passes, self._packed(ids), lambda s, _: self._merge_one(s))
-        unpacked = F.transform(one, lambda x: x.bitwiseAND(F.lit(65535)).cast("int"))
-        return F.when(F.size(ids) <= SHORT, unpacked).otherwise(
-            F.aggregate(passes, start, lambda s, _: self._merge_equal(s), lambda s: s["ids"])
-        )
-
-
-CHUNK_BYTES = 64 << 20
-SLOT_BYTES = 1 << 10  # of text for each slot of a chunk's words
-
-
-def _slot(word: Column, slots: int) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(slots)).cast("int")
-
-
-def _codes(words: DataFrame, codec: Codec, chunks: int, slots: int) -> DataFrame:
-    """(chunk, codes) from (chunk, w): array<map<word, ids joined by commas>> by slot.
-
-    A word is folded once for every 64 chunks, a bit per chunk that uses it.
-    """
-    bit = F.expr("shiftleft(1L, chunk % 64)")
-    used = words.groupBy("w", F.expr("chunk div 64").alias("block")).agg(F.bit_or(bit).alias("mask"))
-    known = used.join(F.broadcast(codec.whole(words.sparkSession)), "w", "left")
-    ids = F.transform(codec.encode(F.col("w")), lambda i: i.cast("string"))
-    code = F.coalesce(F.col("id").cast("string"), F.array_join(ids, ","))
-    coded = known.select("w", "block", "mask", code.alias("code"))
-    chunk = F.filter(
-        F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit("mask", i) == F.lit(1).cast("byte")
-    )
-    coded = coded.withColumn("bit", F.explode(chunk)).select(
-        (F.col("block") * 64 + F.col("bit")).cast("int").alias("chunk"), "w", "code"
-    )
-    # An empty word in each slot makes the slots of a chunk an array without gaps.
-    blank = words.sparkSession.range(chunks).select(
-        F.col("id").cast("int").alias("chunk"),
-        F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"),
-        F.lit(" ").alias("x"),
-    )
-    # One text per word crosses the network: its code, a space, the word.
-    packed = coded.select(
-        "chunk", F.lit(None).cast("int").alias("slot"), F.concat_ws(" ", "code", "w").alias("x")
-    )
-    w = F.substring("x", F.instr("x", " ") + 1, F.length("x"))
-    code = F.substring_index("x", " ", 1)
-    by_slot = (
-        packed.unionByName(blank)
-        .repartition("chunk")
-        .select("chunk", "slot", w.alias("w"), code.alias("code"))
-        .withColumn("slot", F.coalesce("slot", _slot(F.col("w"), slots)))
-        .groupBy("chunk", "slot")
-        .agg(F.map_from_entries(F.collect_list(F.struct("w", "code"))).alias("codes"))
-    )
-    filled = by_slot.groupBy("chunk").agg(
-        F.array_sort(F.collect_list(F.struct("slot", F.map_entries("codes").alias("codes")))).alias(
-            "filled"
-        )
-    )
-    return filled.select(
-        "chunk",
-        F.transform("filled", lambda x: F.map_from_entries(x["codes"])).alias("codes"),
-    )
-
-
-def encode_texts(
-    docs: DataFrame, codec: Codec, chunk_bytes: int = CHUNK_BYTES, least_chunks: int = 16
-) -> DataFrame:
+def _slices(sizes: np.ndarray, most: int):
+    """Ranges of rows of about ``most`` bytes, at least a row each."""
+    ends, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield start, stop
+        start = stop
+
+
+def _encoder(ranks: dict[bytes, int]):
+    """The task's function: the last column, lists of words, becomes lists of ids."""
+
+    def ids_of(words: pa.ListArray, known: dict[bytes, bytes]) -> pa.ListArray:
+        coded = words.flatten().cast(pa.binary()).dictionary_encode()
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+        codes = []
+        for word in coded.dictionary.to_pylist():
+            code = known.get(word)
+            if code is None:
+                code = known[word] = array("i", fold(word, ranks)).tobytes()
+            codes.append(code)
+        ids = np.frombuffer(b"".join(codes), dtype=np.int32)
+        length = np.fromiter((len(c) >> 2 for c in codes), np.int64, len(codes))
+        first = np.cumsum(length) - length
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        long = length[at]
+        ends = np.concatenate([[0], np.cumsum(long)])
+        # Each word's run of ids stands in the place of the word.
+        taken = np.repeat(first[at] - ends[:-1], long) + np.arange(ends[-1])
+        rows = words.offsets.to_numpy() - words.offsets[0].as_py()
+        return pa.ListArray.from_arrays(pa.array(ends[rows], pa.int32()), pa.array(ids[taken]))
+
+    def batches(source):
+        known: dict[bytes, bytes] = {}
+        for batch in source:
+            words = batch.column(batch.num_columns - 1)
+            bounds = words.offsets.to_numpy()
+            flat = words.values.cast(pa.large_binary())
+            starts = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset + bounds]
+            for start, stop in _slices(np.diff(starts), SLICE_BYTES):
+                part = batch.slice(start, stop - start)
+                columns = part.columns
+                columns[-1] = ids_of(columns[-1], known)
+                yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
+
+    return batches
+
+
+def encode_texts(docs: DataFrame, codec: Codec) -> DataFrame:
     """All columns of ``docs`` and ``ids``, the token ids of the whole text as array<int>.
 
-    A null or empty text has no ids. Rows are dealt to chunks of about
-    ``chunk_bytes`` of text by a hash of doc_id and text, so distinct rows are
-    spread and equal rows meet. Columns may have any names (a column ``ids`` is
-    replaced); an empty table gives no rows.
+    A null or empty text has no ids. Rows stay where they are: repeated rows and
+    rows of one doc_id are encoded apart, each with the rows around it. Columns may
+    have any names (a column ``ids`` is replaced); an empty table gives no rows.
     """
-    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    chunks = max(least_chunks, -(-size // chunk_bytes))
-    slots = max(1, size // chunks // SLOT_BYTES)
-    kept = [c for c in docs.columns if c != "ids"]
-    dealt = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"),
-    )
-    words = dealt.select(
-        "chunk", F.explode(F.array_distinct(codec.split(F.col("row.text")))).alias("w")
-    )
-    packs = dealt.groupBy("chunk").agg(F.collect_list("row").alias("rows"))
-    both = packs.join(_codes(words, codec, chunks, slots), "chunk")
-
-    def coded(row):
-        found = F.transform(
-            codec.split(row["text"]),
-            lambda w: F.element_at(F.get(F.col("codes"), _slot(w, slots)), w),
-        )
-        return F.struct(row.alias("row"), F.array_join(found, ",").alias("code"))
-
-    done = both.select(F.explode(F.transform("rows", coded)).alias("x"))
-    ids = F.when(F.coalesce("x.code", F.lit("")) == "", F.array().cast("array<int>")).otherwise(
-        F.split("x.code", ",", -1).cast("array<int>")
-    )
-    return done.select(*[F.col(f"x.row.`{c}`").alias(c) for c in kept], ids.alias("ids"))
+    kept = [field for field in docs.schema.fields if field.name.lower() != "ids"]
+    words = F.coalesce(codec.split(F.col("text")), F.array().cast("array<string>"))
+    split = docs.select(*[F.col(f"`{field.name}`") for field in kept], words.alias("ids"))
+    schema = StructType(kept).add("ids", ArrayType(IntegerType()))
+    return split.mapInArrow(_encoder(codec.ranks), schema)

@@ -282,6 +282,20 @@ def test_bpe_edges(spark, library):
     assert bpe.encode_texts(frame.limit(0), codec).count() == 0
 
 
+def test_bpe_rows_of_several_slices_and_a_long_word(spark, library):
+    codec = bpe.Codec(
+        bpe.read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN
+    )
+    word = "".join("abcde"[i * i % 7 % 5] for i in range(200_000))
+    long = " ".join(f"word{i} again" for i in range(60_000))
+    rows = [(1, long), (2, None), (3, word), (3, word), (4, long + "!"), (5, "end")]
+    rows += [(6, "the same row")] * 50
+    found = bpe.encode_texts(docs(spark, *rows).coalesce(1), codec).collect()
+    assert sorted(r.doc_id for r in found) == sorted(i for i, _ in rows)
+    expected = {t: library.encode_ordinary(t or "") for t in {t for _, t in rows}}
+    assert all(r.ids == expected[r.text] for r in found)
+
+
 def brute_ctw(train, text, depth):
     """log10 probability of a text by counts of contexts, straight from the definition."""
     counts = {}
