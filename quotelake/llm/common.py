@@ -32,6 +32,14 @@ def held_out(doc_id: Column, remainder: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == remainder, F.lit(False))
 
 
+def free_prefix(columns: list[str]) -> str:
+    """A prefix that no column has: helper columns named with it clash with none."""
+    prefix = "__"
+    while any(c.startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 _PATHS: dict[str, list[str]] = {}
 
 

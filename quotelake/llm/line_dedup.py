@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import BLANKS, lower_ascii, staged, staged_path
+from quotelake.llm.common import BLANKS, free_prefix, lower_ascii, staged, staged_path
 
 MIN_KEY = 10
 LAST = 9223372036854775807  # stands for a null doc_id: after all others
@@ -137,36 +137,35 @@ def dedup_lines(docs: DataFrame, batches: int = 4, fanout: int = 2, min_key: int
     text are read; other columns, whatever their names, pass through. An empty
     table gives an empty table.
     """
+    p = free_prefix(docs.columns)
+    lines, ends, dropped = F.col(f"{p}lines"), F.col(f"{p}ends"), F.col(f"{p}dropped")
     drops = dropped_lines(docs, batches, fanout, min_key).select(
-        F.col("d").alias("__d"), F.col("t").alias("__t"), F.col("dropped").alias("__dropped")
+        F.col("d").alias(f"{p}d"), F.col("t").alias(f"{p}t"), F.col("dropped").alias(f"{p}dropped")
     )
     joined = docs.join(
         drops,
-        (F.coalesce(docs["doc_id"], F.lit(LAST)) == F.col("__d"))
-        & (F.xxhash64(docs["text"]) == F.col("__t")),
+        (F.coalesce(docs["doc_id"], F.lit(LAST)) == F.col(f"{p}d"))
+        & (F.xxhash64(docs["text"]) == F.col(f"{p}t")),
         "left",
     )
-    split = joined.withColumn("__lines", lines_of(F.col("text")))
-    ends = F.concat(F.array(F.lit(-1)), F.col("__dropped"), F.array(F.size("__lines")))
-    edges = split.withColumn("__ends", ends)
+    split = joined.withColumn(f"{p}lines", lines_of(F.col("text")))
+    edges = split.withColumn(
+        f"{p}ends", F.concat(F.array(F.lit(-1)), dropped, F.array(F.size(lines)))
+    )
     # The lines between two dropped ones are a slice: linear in the lines.
     kept = F.flatten(
         F.transform(
-            F.sequence(F.lit(0), F.size("__dropped")),
-            lambda k: F.slice(
-                F.col("__lines"),
-                F.get("__ends", k) + 2,
-                F.get("__ends", k + 1) - F.get("__ends", k) - 1,
-            ),
+            F.sequence(F.lit(0), F.size(dropped)),
+            lambda k: F.slice(lines, F.get(ends, k) + 2, F.get(ends, k + 1) - F.get(ends, k) - 1),
         )
     )
-    text = F.when(F.col("__dropped").isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(
+    text = F.when(dropped.isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(
         F.array_join(kept, "\n")
     )
     passed = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
     return edges.select(
         *passed,
         text.alias("text"),
-        F.size("__lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("__dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.size(lines).cast("long").alias("n_lines"),
+        F.coalesce(F.size(dropped), F.lit(0)).cast("long").alias("n_dropped"),
     )

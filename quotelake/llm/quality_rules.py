@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import words
+from quotelake.llm.common import free_prefix, words
 from quotelake.llm.line_dedup import lines_of
 
 WINDOW = 8
@@ -154,13 +154,14 @@ class Measured:
         return self.rejected / max(self.seconds, 1e-6)
 
 
-def _computed(name: str) -> Column:
-    return STATISTICS[name](F.col("__text"), F.col("__words"))
+def _computed(name: str, prefix: str = "__") -> Column:
+    return STATISTICS[name](F.col(f"{prefix}text"), F.col(f"{prefix}words"))
 
 
-def _split(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("__text", F.coalesce("text", F.lit(""))).withColumn(
-        "__words", words(F.col("__text"))
+def _split(docs: DataFrame, prefix: str = "__") -> DataFrame:
+    text = F.col(f"{prefix}text")
+    return docs.withColumn(f"{prefix}text", F.coalesce("text", F.lit(""))).withColumn(
+        f"{prefix}words", words(text)
     )
 
 
@@ -190,14 +191,16 @@ def cascade(
     rows and other columns play no part; an empty table gives an empty table.
     """
     order = [m.rule for m in measure(docs, rules, sample_docs)]
-    split = _split(docs)
-    counted = split.select("*", *[_computed(name).alias(f"__{name}") for name in report])
+    p = free_prefix(docs.columns)
+    counted = _split(docs, p).select(
+        "*", *[_computed(name, p).alias(f"{p}n_{name}") for name in report]
+    )
     chain = F
     for rule in order:
-        said = rule.rejects(lambda n: F.col(f"__{n}") if n in report else _computed(n))
+        said = rule.rejects(lambda n: F.col(f"{p}n_{n}") if n in report else _computed(n, p))
         chain = chain.when(said, F.lit(rule.name))
     verdict = chain if order else F.lit(None).cast("string")
     passed = [F.col(f"`{c}`") for c in docs.columns if c not in (*report, "rejected_by")]
     return counted.select(
-        *passed, *[F.col(f"__{n}").alias(n) for n in report], verdict.alias("rejected_by")
+        *passed, *[F.col(f"{p}n_{n}").alias(n) for n in report], verdict.alias("rejected_by")
     )

@@ -357,3 +357,23 @@ def test_lm_scores_equal_the_definition(spark):
     assert empty.count() == 0
     none = lm_scoring.score_texts(docs(spark, (1, "ab")), F.lit(False), depth=2).collect()
     assert none[0].score == pytest.approx(4 * 8 * math.log10(0.5))
+
+
+HELPERS = ("d", "t", "dropped", "lines", "ends", "text", "words", "n_words", "_text")
+
+
+def test_columns_named_like_helpers_pass_through(spark):
+    rows = [(1, "a line of some length\nown one"), (2, "a line of some length\nother"), (3, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    frame = frame.select("*", *[F.concat(F.lit(h), "doc_id").alias(f"__{h}") for h in HELPERS])
+    deduped = {r.doc_id: r for r in line_dedup.dedup_lines(frame).collect()}
+    assert {i: (r.text, r.n_lines, r.n_dropped) for i, r in deduped.items()} == {
+        1: ("a line of some length\nown one", 2, 0),
+        2: ("other", 2, 1),
+        3: ("", 1, 0),
+    }
+    judged = {r.doc_id: r for r in quality_rules.cascade(frame, report=("n_words",)).collect()}
+    assert {i: r.n_words for i, r in judged.items()} == {1: 7, 2: 6, 3: 0}
+    for found in (deduped, judged):
+        for i, row in found.items():
+            assert all(row[f"__{h}"] == f"{h}{i}" for h in HELPERS)

@@ -1,6 +1,8 @@
 """The pipeline's stages take effect on what the stage before kept."""
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from quotelake.session import scratch_path
 
 
@@ -30,3 +32,12 @@ def test_labelled_clean_documents_stay(spark, sf_dir):
     low = {r.doc_id for r in labels.where("quality = 0").collect()}
     kept = {r.doc_id for r in corpus_pipeline.reject_low_quality(spark, docs, sf_dir).collect()}
     assert len(clean & kept) >= 0.97 * len(clean) and len(low & kept) <= 0.1 * len(low)
+
+
+def test_mixing_stage_passes_a_column_named_copies(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("copies", F.lit("own"))
+    path = scratch_path(spark, "mixed")
+    corpus_pipeline.mix_domains(spark, docs, sf_dir).write.parquet(path)
+    mixed = spark.read.parquet(path)
+    assert mixed.columns == docs.columns
+    assert {r.copies for r in mixed.collect()} == {"own"}
