@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.llm import bpe, line_dedup, mixing, near_dedup, quality_classifier
-from quotelake.llm.common import release
+from quotelake.llm.common import free_prefix, release
 from quotelake.session import scratch_path
 
 QUALITY_CUT = 0.3
@@ -56,11 +56,12 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     release(spark)
     labelled = mixing.label_domains(_labels(spark, sf_dir))
     mixed = mixing.mix(docs, labelled, TARGETS, rounding="nearest")
-    other = mixed.where(F.col("copies") != 1).select("doc_id", "copies").dropDuplicates(["doc_id"])
-    joined = docs.join(other, "doc_id", "left")
-    times = F.sequence(F.lit(1), F.coalesce("copies", F.lit(1)).cast("int"))
-    repeated = joined.where(F.coalesce("copies", F.lit(1)) > 0)
-    return repeated.withColumn("__copy", F.explode(times)).select(*docs.columns)
+    p = free_prefix(docs.columns)
+    rates = mixed.where(F.col("copies") != 1).select("doc_id", F.col("copies").alias(f"{p}copies"))
+    copies = F.coalesce(F.col(f"{p}copies"), F.lit(1)).cast("int")
+    joined = docs.join(rates.dropDuplicates(["doc_id"]), "doc_id", "left").where(copies > 0)
+    repeated = joined.withColumn(f"{p}copy", F.explode(F.sequence(F.lit(1), copies)))
+    return repeated.select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
