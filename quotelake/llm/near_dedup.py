@@ -9,12 +9,13 @@ Passages that many documents share fall outside these lists unless they make up
 the documents. On the full sets of what is listed, shingles that one set alone
 holds bound the similarity of its document with any other.
 
-Within a list a hub is compared with the members of other components; the hub
-shares most of its set, so that most copies of one text join in the first round.
-What is left is compared with all members the bound allows. The union of two sketches estimates similarity, and what may reach
-t is confirmed on the full sets.
+Within a list a hub is compared with all members first; it shares most of its set,
+so that most copies of one text join there. Members of different components are
+then compared where the bound allows it, a long list in blocks. The union of two
+sketches estimates similarity, and what may reach t is confirmed on the full sets.
 
-Documents with equal sets are one vertex throughout.
+Documents with equal sets are one vertex throughout: the row of a stored table of
+the sets, so that a doc_id may stand for several texts.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from quotelake.llm.components import components
 from quotelake.llm.shingles import Shingler, mix
 
 SKETCH = 32
+BLOCK = 512  # members of a list that one task compares with the others
 
 
 def least_overlap(percent: int, k: int) -> int:
@@ -45,6 +47,14 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
 
 
+def _names(found: np.ndarray) -> tuple[int, int]:
+    """128 bits that name a set of shingles."""
+    spread = mix(found.view(np.uint64))
+    first = int(spread.sum(dtype=np.uint64).view(np.int64))
+    spread = mix(spread + np.uint64(0x632BE59BD9B4E019))
+    return first, int(spread.sum(dtype=np.uint64).view(np.int64))
+
+
 def sketches(docs: DataFrame, width: int, k: int = SKETCH) -> DataFrame:
     """(doc_id, n, h1, h2, sketch): set size, 128 bits that name the set, its k least values."""
 
@@ -55,11 +65,10 @@ def sketches(docs: DataFrame, width: int, k: int = SKETCH) -> DataFrame:
             n, h1, h2, parts = [], [], [], []
             for text in texts:
                 found = shingler.of(text.as_py())
+                first, second = _names(found)
                 n.append(len(found))
-                spread = mix(found.view(np.uint64))
-                h1.append(int(spread.sum(dtype=np.uint64).view(np.int64)))
-                spread = mix(spread + np.uint64(0x632BE59BD9B4E019))
-                h2.append(int(spread.sum(dtype=np.uint64).view(np.int64)))
+                h1.append(first)
+                h2.append(second)
                 parts.append(found[:k])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -78,18 +87,25 @@ def sketches(docs: DataFrame, width: int, k: int = SKETCH) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, full): all distinct shingles, sorted."""
+    """(doc_id, h1, h2, full): all distinct shingles, sorted, and the bits that name them."""
 
     def batches(source):
         shingler = Shingler(width)
         for batch in source:
+            sets = [shingler.of(t.as_py()) for t in batch.column(1)]
+            names = [_names(found) for found in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), _lists([shingler.of(t.as_py()) for t in batch.column(1)])],
-                names=["doc_id", "full"],
+                [
+                    batch.column(0),
+                    pa.array([a for a, _ in names], pa.int64()),
+                    pa.array([b for _, b in names], pa.int64()),
+                    _lists(sets),
+                ],
+                names=["doc_id", "h1", "h2", "full"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        batches, "doc_id long, full array<long>"
+        batches, "doc_id long, h1 long, h2 long, full array<long>"
     )
 
 
@@ -142,8 +158,8 @@ def _estimated(pairs: DataFrame, heads: DataFrame, percent: int, k: int) -> Data
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs with ``met``, the size of their sets' intersection, and whether they link."""
-    full_a = sets.select(F.col("doc_id").alias("a"), F.col("full").alias("fa"))
-    full_b = sets.select(F.col("doc_id").alias("b"), F.col("full").alias("fb"))
+    full_a = sets.select(F.col("c").alias("a"), F.col("full").alias("fa"))
+    full_b = sets.select(F.col("c").alias("b"), F.col("full").alias("fb"))
     met = F.size(F.array_intersect("fa", "fb"))
     both = F.size("fa") + F.size("fb")
     return (
@@ -163,12 +179,12 @@ def shared_sizes(sets: DataFrame) -> DataFrame:
     once, and once per task if many sets of the task hold it.
     """
     holders = (
-        sets.select(F.col("doc_id").alias("c"), F.explode("full").alias("x"))
+        sets.select("c", F.explode("full").alias("x"))
         .groupBy("x")
         .agg(F.count("*").alias("n"), F.min("c").alias("c"))
     )
     own = holders.where(F.col("n") == 1).groupBy("c").agg(F.count("*").alias("own"))
-    sizes = sets.select(F.col("doc_id").alias("c"), F.size("full").cast("long").alias("n"))
+    sizes = sets.select("c", F.size("full").cast("long").alias("n"))
     return sizes.join(own, "c", "left").select(
         "c", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared")
     )
@@ -179,31 +195,18 @@ def _reach(n, shared, percent: int):
     return F.floor(shared * F.lit(100 + percent) / F.lit(percent)) - n
 
 
-def _hubs(lists: DataFrame, round_: int) -> DataFrame:
-    """Each list's hub on its rows, unless all rows are of one component.
-
-    The hub is of the component with most members: the one that shares the largest
-    part of its set, later any other one.
-    """
-    chance = F.xxhash64("c", F.lit(round_))
-    first = -F.col("shared") / F.col("n") if round_ == 0 else F.lit(0.0)
-    sizes = lists.groupBy("v", "component").agg(
-        F.count("*").alias("members"),
-        F.min("n").alias("least"),
-        F.min(F.struct(first.alias("r"), chance.alias("o"), "c", "n", "reach")).alias("hub"),
+def _hubs(lists: DataFrame) -> DataFrame:
+    """Each list's hub on its rows: the member that shares the largest part of its set."""
+    ranked = F.struct(
+        (-F.col("shared") / F.col("n")).alias("r"), F.xxhash64("c").alias("o"), "c", "n", "reach"
     )
-    ranked = F.struct("members", -F.col("hub.r"), F.xxhash64("component"), "component", "hub")
-    best = sizes.groupBy("v").agg(
-        F.max(ranked).alias("best"), F.sum("members").alias("all"), F.min("least").alias("least")
-    )
-    hubs = best.where(F.col("all") > F.col("best.members")).select(
+    hubs = lists.groupBy("v").agg(F.min(ranked).alias("hub"), F.count("*").alias("all"))
+    hubs = hubs.where(F.col("all") > 1).select(
         "v",
         "all",
-        "least",
-        F.col("best.component").alias("main"),
-        F.col("best.hub.c").alias("hub"),
-        F.col("best.hub.n").alias("hub_n"),
-        F.col("best.hub.reach").alias("hub_reach"),
+        F.col("hub.c").alias("hub"),
+        F.col("hub.n").alias("hub_n"),
+        F.col("hub.reach").alias("hub_reach"),
     )
     return lists.join(hubs, "v")
 
@@ -211,13 +214,15 @@ def _hubs(lists: DataFrame, round_: int) -> DataFrame:
 def link_components(
     docs: DataFrame, marks: DataFrame, percent: int, width: int, k: int = SKETCH
 ) -> DataFrame:
-    """(v, component) over the documents that stand for equal sets (``marks``: c, n, sketch)."""
+    """(v, component) over the sets of ``marks`` (c, doc_id, h1, h2, n, sketch)."""
     lists = staged(prefix_lists(marks, percent, k), "lists")
-    wanted = lists.select(F.col("c").alias("doc_id")).distinct()
+    wanted = marks.join(lists.select("c").distinct(), "c", "left_semi")
+    named = ["doc_id", "h1", "h2"]
+    found = full_sets(
+        docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id"), width
+    )
     sets = staged(
-        full_sets(docs.select("doc_id", "text").join(wanted, "doc_id"), width).dropDuplicates(
-            ["doc_id"]
-        ),
+        found.dropDuplicates(named).join(wanted.select("c", *named), named).select("c", "full"),
         "sets",
     )
     # Sets that share too little with all others together have no link.
@@ -226,66 +231,79 @@ def link_components(
     lists = staged(
         lists.withColumn("reach", _reach(F.col("n"), F.col("shared"), percent)), "reach"
     )
-    wanted = lists.select("c").distinct()
-    heads = staged(marks.join(wanted, "c", "left_semi"), "heads")
-    # Of each row what its list's first hub and it have in common, where compared.
-    lists = lists.withColumn("met", F.lit(None).cast("int")).withColumn("component", F.col("c"))
-    links, round_ = None, 0
-    while True:
-        hubbed = staged(_hubs(lists, round_), "hubs")
-        outside = hubbed.where(
-            (F.col("component") != F.col("main")) & (F.col("reach") >= F.col("least"))
-        )
-        pending = outside.agg(F.sum("all")).first()[0] or 0
-        if round_ == 3 or pending <= 4 * hubbed.count():
-            break
-        pairs = outside.where(
-            (F.col("hub_n") <= F.col("reach")) & (F.col("n") <= F.col("hub_reach"))
-        ).select(
-            F.col("c").alias("a"),
-            F.col("n").alias("na"),
-            F.col("hub").alias("b"),
-            F.col("hub_n").alias("nb"),
-        )
-        judged = staged(_confirmed(_sized(pairs, percent), sets, percent), "judged")
-        fresh = judged.where("ok").select("a", "b")
-        links = fresh if links is None else links.unionByName(fresh)
-        names = staged(components(links), "components").withColumnRenamed("v", "c")
-        kept = hubbed.drop("component", "main", "all", "least", "hub_n", "hub_reach")
-        if round_ == 0:
-            ends = [("a", "b"), ("b", "a")]
-            mets = [judged.select(F.col(x).alias("hub"), F.col(y).alias("c"), "met") for x, y in ends]
-            own = F.when(F.col("hub") == F.col("c"), F.col("n").cast("int"))
-            kept = (
-                kept.drop("met")
-                .join(mets[0].unionByName(mets[1]), ["hub", "c"], "left")
-                .withColumn("met", F.coalesce(own, "met"))
-            )
-        # Lists of one component are done and leave.
-        lists = kept.drop("hub").join(names, "c", "left").withColumn(
-            "component", F.coalesce("component", "c")
-        )
-        round_ += 1
-    found = _estimated(_sized(_rest(hubbed, outside, percent), percent), heads, percent, k)
+    heads = staged(
+        marks.select("c", "sketch").join(lists.select("c").distinct(), "c", "left_semi"), "heads"
+    )
+    hubbed = staged(_hubs(lists), "hubs")
+    pairs = hubbed.where(
+        (F.col("c") != F.col("hub"))
+        & (F.col("hub_n") <= F.col("reach"))
+        & (F.col("n") <= F.col("hub_reach"))
+    ).select(
+        F.col("c").alias("a"),
+        F.col("n").alias("na"),
+        F.col("hub").alias("b"),
+        F.col("hub_n").alias("nb"),
+    )
+    likely = _estimated(_sized(pairs, percent), heads, percent, k)
+    judged = staged(_confirmed(likely, sets, percent), "judged")
+    links = judged.where("ok").select("a", "b")
+    names = staged(components(links), "components").withColumnRenamed("v", "c")
+    # What each row and its list's hub have in common, where compared.
+    ends = [("a", "b"), ("b", "a")]
+    mets = [judged.select(F.col(x).alias("hub"), F.col(y).alias("c"), "met") for x, y in ends]
+    own = F.when(F.col("hub") == F.col("c"), F.col("n").cast("int"))
+    members = (
+        hubbed.select("v", "all", "hub", "c", "n", "shared", "reach")
+        .join(mets[0].unionByName(mets[1]), ["hub", "c"], "left")
+        .withColumn("met", F.coalesce(own, "met"))
+        .join(names, "c", "left")
+        .withColumn("component", F.coalesce("component", "c"))
+        .drop("hub")
+    )
+    found = _estimated(
+        _sized(_rest(staged(members, "members"), percent), percent), heads, percent, k
+    )
     fresh = staged(_confirmed(found, sets, percent), "judged").where("ok").select("a", "b")
-    return components(fresh if links is None else links.unionByName(fresh))
+    return components(links.unionByName(fresh))
 
 
-def _rest(hubbed: DataFrame, outside: DataFrame, percent: int) -> DataFrame:
+def _rest(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that can still link, each in one list.
 
-    A row outside its list's main component meets that component's rows and, once,
-    the other rows. What both have in common is in the hub too, or among what each
-    shares with others beside it.
+    A row outside its list's main component (the one of most rows) meets that
+    component's rows and, once, the other rows. What both have in common is in the
+    hub too, or among what each shares with others beside it. The rows met are dealt to
+    blocks of bounded size, so a list of many copies is many tasks' work.
     """
+    sizes = members.groupBy("v", "component").agg(
+        F.count("*").alias("rows"), F.min("n").alias("least")
+    )
+    mains = sizes.groupBy("v").agg(
+        F.max(F.struct("rows", "component")).alias("best"),
+        F.sum("rows").alias("total"),
+        F.min("least").alias("least"),
+    )
+    # Lists of one component are done.
+    mains = mains.where(F.col("total") > F.col("best.rows")).select(
+        "v", "least", F.col("best.component").alias("main")
+    )
+    rows = staged(members.join(mains, "v"), "open")
     # Each pair counts in the least of the lists that hold both.
-    places = hubbed.groupBy("c").agg(F.collect_set("v").alias("places"))
-    places = staged(places, "places")
-    columns = ["v", "c", "n", "component", "shared", "reach", "met", "places"]
-    mine = outside.join(places, "c").select(*columns)
-    other = hubbed.join(places, "c").select(*columns, "main")
-    other = other.select(
-        "v", "main", *[F.col(c).alias(f"{c}_") for c in columns if c != "v"]
+    places = staged(rows.groupBy("c").agg(F.collect_set("v").alias("places")), "places")
+    columns = ["c", "n", "component", "shared", "reach", "met", "places"]
+    blocks = F.ceil(F.col("all") / F.lit(BLOCK)).cast("int")
+    outside = (F.col("component") != F.col("main")) & (F.col("reach") >= F.col("least"))
+    mine = (
+        rows.where(outside)
+        .join(places, "c")
+        .select("v", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), *columns)
+    )
+    other = rows.join(places, "c").select(
+        "v",
+        F.pmod(F.xxhash64("c"), blocks).cast("int").alias("block"),
+        "main",
+        *[F.col(c).alias(f"{c}_") for c in columns],
     )
     beside = F.least(F.col("shared") - F.col("met"), F.col("shared_") - F.col("met_"))
     most = F.when(
@@ -295,6 +313,7 @@ def _rest(hubbed: DataFrame, outside: DataFrame, percent: int) -> DataFrame:
     pairs = mine.join(
         other,
         (mine["v"] == other["v"])
+        & (mine["block"] == other["block"])
         & (F.col("component") != F.col("component_"))
         & ((F.col("component_") == F.col("main")) | (F.col("c") < F.col("c_")))
         & (F.col("n_") <= F.col("reach"))
@@ -316,19 +335,24 @@ def near_duplicates(
     shingles of ``width`` words. A null or blank text has none and links with
     nothing; a shorter text is one shingle. Ties do not arise: a component is
     named by its smallest doc_id. Rows that repeat a doc_id are joined by their
-    texts only; a row without doc_id takes no part and stays (component null).
+    texts only, two texts under one doc_id are two documents; a row without doc_id
+    takes no part and stays (component null).
     """
     rows = staged(sketches(docs.select("doc_id", "text"), width, k), "sketches")
     real = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = staged(real.groupBy("h1", "h2").agg(F.min("doc_id").alias("c")), "classes")
-    marks = real.join(
-        classes.select("h1", "h2", F.col("c").alias("doc_id")), ["doc_id", "h1", "h2"], "left_semi"
-    ).dropDuplicates(["doc_id", "h1", "h2"])
-    found = link_components(
-        docs, marks.select(F.col("doc_id").alias("c"), "n", "sketch"), percent, width, k
+    # Equal sets have equal sizes and sketches.
+    marks = real.groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
-    named = classes.join(found.withColumnRenamed("v", "c"), "c", "left").select(
-        "h1", "h2", F.coalesce("component", "c").alias("component")
+    # Stored, so that a row keeps its number.
+    marks = staged(marks.withColumn("c", F.monotonically_increasing_id()), "marks")
+    found = link_components(docs, marks, percent, width, k).withColumnRenamed("v", "c")
+    classes = marks.select("c", "doc_id", "h1", "h2")
+    linked = staged(classes.join(found, "c"), "linked")
+    least = linked.groupBy("component").agg(F.min("doc_id").alias("least"))
+    least = linked.select("c", "component").join(least, "component").select("c", "least")
+    named = classes.join(least, "c", "left").select(
+        "h1", "h2", F.coalesce("least", "doc_id").alias("component")
     )
     usable = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("h1"))
     joined = rows.select("doc_id", "n", usable.alias("h1"), "h2").join(named, ["h1", "h2"], "left")

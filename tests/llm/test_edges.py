@@ -157,6 +157,43 @@ def test_near_copies_of_one_text_are_one_component(spark):
     assert {r.component_id for r in out} == {0}
 
 
+def test_near_dedup_of_two_texts_under_one_id(spark):
+    first = " ".join(f"a{i}" for i in range(60))
+    second = " ".join(f"b{i}" for i in range(60))
+    rows = [(5, first), (5, second), (7, first + " tail"), (8, second + " tail"), (2, second + " end")]
+    out = near_dedup.near_duplicates(docs(spark, *rows), percent=85, width=3).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in out) == [
+        (2, 2, True),
+        (5, 2, False),
+        (5, 5, True),
+        (7, 5, False),
+        (8, 2, False),
+    ]
+
+
+@pytest.mark.parametrize("block", [4, 512])
+def test_near_dedup_of_a_long_list_equals_brute_force(spark, monkeypatch, block):
+    """Copies of one text that differ in one to eight words: not all link, and none with all."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(60):
+        line = [f"w{j}" for j in range(100)]
+        for j in rng.choice(20, rng.integers(1, 9), replace=False):
+            line[5 * j] = f"x{rng.integers(3)}"
+        rows.append((i, " ".join(line)))
+    sets = [{tuple(t.split()[j : j + 3]) for j in range(98)} for _, t in rows]
+    least = list(range(60))
+    for _ in range(60):
+        for a in range(60):
+            for b in range(60):
+                if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                    least[a] = min(least[a], least[b])
+    assert 2 < len(set(least)) < 60
+    out = near_dedup.near_duplicates(docs(spark, *rows), percent=85, width=3).collect()
+    assert {r.doc_id: r.component_id for r in out} == dict(enumerate(least))
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(100, 160)]
     star = [(7, i) for i in range(8, 60)] + [(3, 59), (3, 3), (9, 7)]
