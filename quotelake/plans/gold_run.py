@@ -12,15 +12,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotelake.operators.latest import latest_by
 from quotelake.plans import indices, prices
+from quotelake.sources.sinks import key_buckets, read_by_key, store_by_key
 
 BATCH = "batch_id"
 ARRIVED, PRICES, CARRY, INDEX, INDEX_CARRY, RUNS = (
     "arrived", "prices", "carry", "index", "index_carry", "runs"
 )
-_RUN = f"watermark date, {BATCH} bigint"
+_RUN = f"watermark date, {BATCH} bigint, buckets int"
+_ALONG = ["trade_date", "data_source"]
 
 
 def _folder(spark: SparkSession, path: str):
@@ -34,7 +37,10 @@ def _batch(root: str, table: str, batch_id: int) -> str:
 
 
 def runs(spark: SparkSession, root: str) -> DataFrame:
-    """(watermark, batch_id) of the finished runs; the watermark is the newest day so far."""
+    """(watermark, batch_id, buckets) of the finished runs.
+
+    The watermark is the newest day so far, the buckets are those of the run's state.
+    """
     store, folder = _folder(spark, f"{root.rstrip('/')}/{RUNS}")
     if not store.exists(folder):
         return spark.createDataFrame([], _RUN)
@@ -47,6 +53,22 @@ def _write(rows: DataFrame, root: str, table: str, batch_id: int) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def _write_by_symbol(
+    rows: DataFrame, root: str, table: str, batch_id: int, together: bool = False
+) -> DataFrame:
+    path = _batch(root, table, batch_id)
+    store, folder = _folder(rows.sparkSession, path)
+    store.delete(folder, True)  # what a broken run left
+    return store_by_key(rows, path, "symbol", _ALONG, together)
+
+
+def _carried(spark: SparkSession, root: str, batch_id: int, kinds: T.StructType, buckets):
+    path = _batch(root, CARRY, batch_id)
+    if buckets is None:  # a run that did not store its state by symbol
+        return spark.read.schema(kinds).parquet(path)
+    return read_by_key(spark, path, kinds, "symbol", buckets)
+
+
 def run_gold(
     spark: SparkSession, root: str, batch_id: int, all_prices: DataFrame, members: DataFrame
 ) -> bool:
@@ -61,6 +83,7 @@ def run_gold(
             F.max(BATCH).alias("last"),
             F.max("watermark").alias("watermark"),
             F.max(F.col(BATCH) == batch_id).alias("done"),
+            F.max_by("buckets", BATCH).alias("buckets"),
         )
         .first()
     )
@@ -73,14 +96,16 @@ def run_gold(
     if watermark is not None:
         arriving = arriving.filter(F.col("trade_date") > F.lit(watermark))
     # Facts and state are made from the same rows, whatever the source does meanwhile.
-    arrived = _write(arriving, root, ARRIVED, batch_id)
+    # Stored by symbol, these need no further shuffle for the facts, state and index.
+    arrived = _write_by_symbol(arriving, root, ARRIVED, batch_id)
+    slim = arrived.select(*prices.CARRY_COLUMNS)
     if before is None:
-        carried, last_days = arrived.limit(0), None
+        carried, last_days = slim.limit(0), None
     else:
-        carried = spark.read.schema(arrived.schema).parquet(_batch(root, CARRY, before))
+        carried = _carried(spark, root, before, slim.schema, last["buckets"])
         last_days = spark.read.parquet(_batch(root, INDEX_CARRY, before))
-    _write(prices.daily_prices_increment(arrived, carried), root, PRICES, batch_id)
-    _write(prices.next_carry(arrived, carried), root, CARRY, batch_id)
+    _write(prices.daily_prices_increment(arrived, carried, True), root, PRICES, batch_id)
+    _write_by_symbol(prices.next_carry(arrived, carried), root, CARRY, batch_id, together=True)
     days = indices.index_performance(members, arrived, last_days)
     added = _write(days, root, INDEX, batch_id)
     if last_days is not None:
@@ -89,7 +114,8 @@ def run_gold(
         latest_by(added, ["index_code", "index_name"], ["trade_date"]), root, INDEX_CARRY, batch_id
     )
     newest = arrived.agg(
-        F.greatest(F.max("trade_date"), F.lit(watermark).cast("date")).alias("watermark")
+        F.greatest(F.max("trade_date"), F.lit(watermark).cast("date")).alias("watermark"),
+        F.lit(key_buckets(spark)).alias("buckets"),
     )
     _write(newest, root, RUNS, batch_id)
     _forget(spark, root, batch_id, before)

@@ -26,6 +26,8 @@ from quotelake.sources.loaders import BATCH_SOURCE
 SHORT_ROWS = 7
 LONG_ROWS = 30
 LOOKBACK_ROWS = LONG_ROWS - 1
+# What the averages and the change of later days need of a row.
+CARRY_COLUMNS = ("symbol", "trade_date", "close_price", "volume", "data_source")
 MONEY = "decimal(18,4)"
 MONTH = "trade_month"
 
@@ -191,23 +193,32 @@ def carry_rows(prices: DataFrame) -> DataFrame:
     )
 
 
-def daily_prices_increment(new_prices: DataFrame, carried: DataFrame) -> DataFrame:
+def daily_prices_increment(
+    new_prices: DataFrame, carried: DataFrame, by_symbol: bool = False
+) -> DataFrame:
     """Gold rows for new days only, equal to those of a full recompute.
 
     ``carried`` is ``carry_rows`` of everything loaded before; store it next to
     the fact and replace it with ``next_carry`` after each run. Cost grows with
-    the new rows and the number of symbols, not with the history.
+    the new rows and the number of symbols, not with the history. Of carried rows
+    only ``CARRY_COLUMNS`` are used. With ``by_symbol`` both are stored in buckets
+    of their symbol: all carried rows then stay where they are, which takes no
+    shuffle, while picking those of new symbols would take two.
     """
     fresh = price_input(new_prices).withColumn(CARRIED, F.lit(False))
-    needed = carried.join(fresh.select("symbol").distinct(), "symbol", "left_semi")
-    rows = fresh.unionByName(needed.withColumn(CARRIED, F.lit(True)))
+    if by_symbol:
+        needed = carried.filter(F.col("symbol").isNotNull())
+    else:
+        needed = carried.join(fresh.select("symbol").distinct(), "symbol", "left_semi")
+    needed = needed.withColumn(CARRIED, F.lit(True))
+    rows = fresh.unionByName(needed, allowMissingColumns=True)
     computed = _indicators(rows, ["symbol"]).filter(~F.col(CARRIED))
     return _gold_columns(computed)
 
 
 def next_carry(new_prices: DataFrame, carried: DataFrame) -> DataFrame:
     return last_rows(
-        carried.unionByName(price_input(new_prices)),
+        carried.unionByName(price_input(new_prices).select(*carried.columns)),
         ["symbol"],
         ["trade_date", "data_source"],
         LOOKBACK_ROWS,

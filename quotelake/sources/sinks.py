@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotelake.operators.incremental import merge_upsert, sync_schema
 from quotelake.session import scratch_path
@@ -57,20 +58,28 @@ def recluster(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     df.repartitionByRange(*columns).sortWithinPartitions(*columns).write.parquet(path)
 
 
-def store_by_key(df: DataFrame, path: str, key: str, sort: Sequence[str]) -> DataFrame:
+def key_buckets(spark: SparkSession) -> int:
+    """The buckets ``store_by_key`` writes under the session's settings."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def store_by_key(
+    df: DataFrame, path: str, key: str, sort: Sequence[str], together: bool = False
+) -> DataFrame:
     """Store rows in buckets of a key, sorted along it, and read them back.
 
     What groups, joins or orders by the key then needs no shuffle. A bucket is one
     file, written by one task; there are as many as shuffle partitions. The table's
     name is needed only while it is written and read; its files stay at ``path``.
+    ``together`` says that the rows of a key are in one task already, as after a
+    window over the key, so that they need not be shuffled for it.
     """
-    spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark, buckets = df.sparkSession, key_buckets(df.sparkSession)
     name = f"by_key_{uuid.uuid4().hex}"
+    rows = df if together else df.repartition(buckets, key)
     try:
         (
-            df.repartition(buckets, key)
-            .write.bucketBy(buckets, key)
+            rows.write.bucketBy(buckets, key)
             .sortBy(key, *sort)
             .option("path", path)
             .saveAsTable(name)
@@ -79,3 +88,20 @@ def store_by_key(df: DataFrame, path: str, key: str, sort: Sequence[str]) -> Dat
     finally:
         # The table is external: this drops its name, not its files.
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def read_by_key(
+    spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int
+) -> DataFrame:
+    """The rows that ``store_by_key`` left at a path in this number of buckets."""
+    name = f"by_key_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    try:
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet"
+            f" CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{place}'"
+        )
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

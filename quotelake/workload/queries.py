@@ -243,12 +243,13 @@ def index_performance_incremental(spark, sf):
 
 def _gold_runs(spark, sf):
     """Three stored runs over growing prices, the second called twice."""
-    bars = inputs.stored(inputs.part_prices(spark, sf), "bars")
+    # A run reads its own days alone, so the bars are made per run and not stored before.
+    bars, source = inputs.part_prices(spark, sf), inputs.stock_price(spark, sf)
     members = inputs.stored(_members(spark, sf), "members")
     root = scratch_path(spark, "gold-runs")
     newest = F.max("trade_date")
     for batch, back in ((1, 400), (2, 40), (2, 20), (3, 0)):
-        known = bars.select(F.date_sub(newest, back)).scalar()
+        known = source.select(F.date_sub(newest, back)).scalar()
         gold_run.run_gold(spark, root, batch, bars.filter(F.col("trade_date") <= known), members)
     return root
 

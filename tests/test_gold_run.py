@@ -68,3 +68,17 @@ def test_runs_go_forward_and_may_bring_nothing(spark, tmp_path):
         gold_run.run_gold(spark, root, 3, rows, held)
     gold_run.run_gold(spark, root, 8, rows, held)
     assert as_set(gold_run.read_prices(spark, root)) == as_set(prices.daily_prices(rows))
+
+
+def test_state_is_slim_and_stays_with_its_symbol(spark, tmp_path):
+    rows, held, root = bars(spark), members(spark), str(tmp_path / "gold")
+    gold_run.run_gold(spark, root, 1, until(rows, date(2020, 3, 1)), held)
+    stored = spark.read.parquet(f"{root}/carry/batch_id=1")
+    assert tuple(stored.columns) == prices.CARRY_COLUMNS
+    buckets = gold_run.runs(spark, root).first()["buckets"]
+    carried = gold_run._carried(spark, root, 1, stored.schema, buckets)
+    assert as_set(carried) == as_set(stored)
+    plan = prices.carry_rows(rows.limit(0)).select(*prices.CARRY_COLUMNS)
+    assert plan.columns == carried.columns
+    alone = carried.groupBy("symbol").count()
+    assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
