@@ -25,10 +25,22 @@ def continue_ids(
     """
     if id_name in rows.columns:
         raise ValueError(f"the rows have a column {id_name} already")
-    keyed = rows.withColumn("_order", F.struct(*order))
-    placed = dense_ids(keyed, "_order", "_place", "bigint")
+    placed = dense_ids(rows, order, "_id", "bigint")
     greatest = known.agg(F.coalesce(F.max(id_name).cast("bigint"), F.lit(0))).scalar()
-    return placed.select(*rows.columns, (F.col("_place") + greatest).cast(kind).alias(id_name))
+    return placed.select(*rows.columns, (F.col("_id") + greatest).cast(kind).alias(id_name))
+
+
+def _latest_unknown(
+    rows: DataFrame, known: DataFrame, keys: Sequence[str], latest: Sequence[str]
+) -> DataFrame:
+    """The latest row of every key that ``known`` does not hold; null keys are equal.
+
+    Known keys go along as the greatest rows of their keys, so that one shuffle serves both.
+    """
+    marked = rows.withColumn("_known", F.lit(False)).unionByName(
+        known.select(*keys).withColumn("_known", F.lit(True)), allowMissingColumns=True
+    )
+    return latest_by(marked, keys, ["_known", *latest]).filter(~F.col("_known")).drop("_known")
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -62,9 +74,10 @@ def append_batch(
     earlier = read_batches(spark, path, schema).filter(F.col(BATCH) < batch_id)
     absent = [f for f in schema.fields if f.name not in rows.columns and f.name != id_name]
     filled = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
-    if keys:
-        filled = latest_by(filled, keys, latest) if latest else filled.dropDuplicates(list(keys))
-        filled = without_keys(filled, earlier, keys)
+    if keys and latest:
+        filled = _latest_unknown(filled, earlier, keys, latest)
+    elif keys:
+        filled = without_keys(filled.dropDuplicates(list(keys)), earlier, keys)
     numbered = continue_ids(filled, order, id_name, earlier, schema[id_name].dataType.simpleString())
     typed = numbered.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     typed.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")

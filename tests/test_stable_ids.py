@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotelake import schemas
+from quotelake.operators import stable_ids
 from quotelake.operators.incremental import merge_columns
 from quotelake.operators.stable_ids import append_batch, continue_ids, read_batches
 from quotelake.sources import loaders
@@ -107,3 +108,25 @@ def test_updates_without_a_key_are_not_inserted_again(spark):
     expected = {(None, "y"), ("a", "x"), ("b", "y")}
     assert {tuple(r) for r in once.collect()} == {tuple(r) for r in twice.collect()} == expected
     assert twice.count() == 3
+
+
+def test_rows_to_append_are_shuffled_once_for_key_and_known_keys(spark):
+    kind = "k bigint, v bigint"
+    rows = spark.createDataFrame([(1, 1), (1, 3), (2, 5), (None, 7), (3, 1)], kind)
+    known = spark.createDataFrame([(2, 1), (None, 9)], kind)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = stable_ids._latest_unknown(rows, known, ["k"], ["v"])
+        assert sorted(tuple(r) for r in new.collect()) == [(1, 3), (3, 1)]
+        plan = new._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Join" not in plan
+
+
+def test_ids_over_several_columns_follow_their_order(spark):
+    rows = spark.range(1000).selectExpr("id % 7 as a", "CAST(id AS string) as b")
+    known = spark.createDataFrame([(10,)], "n bigint")
+    numbered = stable_ids.continue_ids(rows, ["a", "b"], "n", known).orderBy("n").collect()
+    assert [r["n"] for r in numbered] == list(range(11, 1011))
+    assert [(r["a"], r["b"]) for r in numbered] == sorted((r["a"], r["b"]) for r in numbered)
