@@ -16,7 +16,7 @@ from quotelake import schemas
 from quotelake.operators.stable_ids import BATCH, read_batches
 from quotelake.session import scratch_path
 from quotelake.sources.files import FILE_NAME, route
-from quotelake.sources.ingest import csv_lines, named_cells
+from quotelake.sources.ingest import file_cells
 from quotelake.sources.loaders import append_prices, rejected_prices, upsert_companies
 
 # Columns a file needs before it can feed its table, and those it may have.
@@ -27,7 +27,7 @@ LOADED, NO_TABLE, LACKING = "loaded", "no table", "missing columns"
 
 def routed_rows(spark: SparkSession, folder: str, modified_after: datetime | None) -> DataFrame:
     """(file_name, cells, target, status) of the CSV rows of files changed since a time."""
-    rows = named_cells(csv_lines(spark, folder, modified_after)).withColumn(
+    rows = file_cells(spark, folder, modified_after).withColumn(
         "target", route(F.col(FILE_NAME))
     )
     complete = F.lit(False)

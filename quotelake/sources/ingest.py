@@ -23,6 +23,8 @@ from quotelake.sources.files import FILE_NAME, column_names, symbol_of
 WIDTH = 32  # cells a line may have; the reader's work grows with it
 BATCH = "batch_id"
 BRONZE = f"{FILE_NAME} string, load_ts timestamp, raw variant, {BATCH} bigint"
+LARGE_FILE = 64 << 20  # bytes from which a file is worth several tasks
+_NOT_PLAIN = r'["\r\x00]|^[\x00-\x20]+$'
 FOREVER = "36500d"  # a file that comes late with an old time is new all the same
 
 
@@ -102,6 +104,79 @@ def csv_lines(
     return reader.csv(folder)
 
 
+def _plain_files(lines: DataFrame, large: DataFrame) -> dict[str, list[str]]:
+    """Header line to the names of those large files that may be read in pieces.
+
+    Such a file has no quotes, so no cell holds a line break, and nothing else that
+    a reader of pieces takes in another way: lone carriage returns and lines of blanks.
+    Only files of more than ``LARGE_FILE`` bytes are listed, so their names are few.
+    """
+    names = [r[FILE_NAME] for r in large.select(FILE_NAME).collect()]
+    if not names:
+        return {}
+    text = lines.filter(F.col("_metadata.file_path").isin(names)).select(
+        F.col("_metadata.file_path").alias(FILE_NAME),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    )
+    first = F.min_by("value", F.when((F.col("start") == 0) & (F.col("value") != ""), F.col("line")))
+    found = text.groupBy(FILE_NAME).agg(
+        first.alias("header"), F.max(F.col("value").rlike(_NOT_PLAIN)).alias("odd")
+    )
+    plain: dict[str, list[str]] = {}
+    for row in found.filter(~F.col("odd") & F.col("header").isNotNull()).collect():
+        plain.setdefault(row["header"], []).append(row[FILE_NAME])
+    return plain
+
+
+def file_cells(
+    spark: SparkSession,
+    folder: str,
+    modified_after: datetime | None = None,
+    glob: str = "*.csv",
+    width: int = WIDTH,
+) -> DataFrame:
+    """(file_name, cells) of the CSV files below a folder, as ``named_cells`` gives them.
+
+    A large file without quotes is read in pieces by several tasks, any other by one.
+    """
+    options = {"recursiveFileLookup": True, "pathGlobFilter": glob}
+    if modified_after is not None:
+        options["modifiedAfter"] = modified_after.strftime("%Y-%m-%dT%H:%M:%S")
+    listed = spark.read.format("binaryFile").options(**options).load(folder)
+    large = listed.filter(F.col("length") > LARGE_FILE).select(
+        F.col("_metadata.file_path").alias(FILE_NAME)
+    )
+    text = spark.read.options(lineSep="\n", **options).text(folder)
+    whole = csv_lines(spark, folder, modified_after, glob, width)
+    plain = _plain_files(text, large)
+    path = F.col("_metadata.file_path")
+    done = [name for names in plain.values() for name in names]
+    rows = named_cells(whole.filter(~path.isin(done)) if done else whole, width)
+    for header, names in plain.items():
+        cells = [c or None for c in header.split(",")][: width + 1]
+        if len(cells) > width and cells[-1] is not None:
+            raise ValueError(f"{names[0]} has more than {width} columns")
+        while cells and cells[-1] is None:
+            cells.pop()
+        if not cells:
+            continue
+        columns = [f"c{i}" for i in range(len(cells))]
+        pieces = (
+            spark.read.schema(", ".join(f"{c} string" for c in columns))
+            .options(header=True, lineSep="\n", **options)
+            .csv(folder)
+        )
+        keys = F.array(*[F.lit(c) for c in column_names(cells)])
+        rows = rows.unionByName(
+            pieces.filter(path.isin(names)).select(
+                path.alias(FILE_NAME), F.map_from_arrays(keys, F.array(*columns)).alias("cells")
+            )
+        )
+    return rows
+
+
 def csv_stream(
     spark: SparkSession,
     folder: str,

@@ -3,9 +3,10 @@
 import os
 from datetime import datetime
 
+from pyspark.sql import functions as F
 from test_sources import write
 
-from quotelake.sources import batch_job
+from quotelake.sources import batch_job, ingest
 
 NOW, CUT = datetime(2024, 2, 1), datetime(2024, 1, 1)
 
@@ -58,3 +59,29 @@ def test_files_are_routed_and_bad_ones_reported(spark, tmp_path):
     run(spark, folder, root, 2)
     company, prices = tables(spark, root)
     assert company == loaded[0] and prices == loaded[1] | {(3, 2, "2024-01-01", 4.0)}
+
+
+def test_large_plain_files_are_read_in_pieces(spark, tmp_path, monkeypatch):
+    header = "symbol, trade_date,close,,\n"
+    lines = "".join(f"S{i},2024-01-02,{i}.5,x,y,z\n" if i % 3 else f"S{i},,\n\n" for i in range(3000))
+    write(tmp_path, "in/price_a.csv", "\n" + header + lines + header)
+    write(tmp_path, "in/price_b.csv", header + "A,,1\n")
+    write(tmp_path, "in/price_c.csv", 'symbol,trade_date\n"A\nB",2024-01-03\n' + "C,1\n" * 3000)
+    write(tmp_path, "in/price_d.csv", "symbol,trade_date\n  \n" + "D,1\r\n" * 3000)
+    write(tmp_path, "in/price_e.csv", ",,\n" + "1,2,3\n" * 3000)
+
+    def rows():
+        found = ingest.file_cells(spark, f"{tmp_path}/in")
+        return found, sorted(str((r[0], sorted(r[1].items()))) for r in found.collect())
+
+    whole = rows()[1]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        monkeypatch.setattr(ingest, "LARGE_FILE", 1000)
+        found, pieces = rows()
+        scans = found.filter(F.col("file_name").endswith("price_a.csv"))
+        tasks = scans.select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(whole) > 9000 and pieces == whole
+    assert tasks > 1
