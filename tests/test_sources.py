@@ -104,6 +104,16 @@ def test_too_many_columns_stop_the_load(spark, tmp_path):
     assert ingest.read_bronze(spark, f"{tmp_path}/t").count() == 1
 
 
+def test_short_lines_are_padded_by_the_reader(spark, tmp_path):
+    """Cells a line lacks cost nothing: such a line is not taken for a malformed one."""
+    write(tmp_path, "in/a.csv", 'x,y,z\n1\n"two\nlines",2\n,,3\n')
+    strict = spark.read.option("mode", "FAILFAST")
+    lines = ingest._layout(strict, "*.csv", 8).csv(f"{tmp_path}/in").drop("c9")
+    want = [("x", "y", "z"), ("1", None, None), ("two\nlines", "2", None), (None, None, "3")]
+    assert [tuple(r)[:3] for r in lines.collect()] == want
+    assert ingest.csv_lines(spark, f"{tmp_path}/in", width=8).columns == [f"c{i}" for i in range(9)]
+
+
 def test_ingest_reads_the_files_once(spark, landing):
     """One scan, no exchange: the header comes with the rows it names."""
     from quotelake.sources.files import FILE_NAME
