@@ -93,21 +93,20 @@ def parse_volume(c: Column | str) -> Column:
     The unit letter may stand anywhere; M is looked for first, then K, then B.
     """
     text = F.upper(F.replace(F.trim(_dash_to_null(_col(c))), F.lit(","), F.lit("")))
-    value = try_double(text)
-    for letter in "BKM":
-        value = F.when(
-            text.contains(letter),
-            try_double(F.translate(text, letter, "")) * F.lit(float(10 ** MAGNITUDES[letter])),
-        ).otherwise(value)
-    return value.try_cast("bigint")
+    letter, factor = F.lit(""), F.lit(1.0)
+    for unit in "BKM":
+        letter = F.when(text.contains(unit), unit).otherwise(letter)
+    for unit in "BKM":
+        factor = F.when(letter == unit, float(10 ** MAGNITUDES[unit])).otherwise(factor)
+    # The number is read in one place: a method this long per letter is never compiled.
+    return (try_double(F.replace(text, letter, F.lit(""))) * factor).try_cast("bigint")
 
 
 def clean_numeric(c: Column | str) -> Column:
     """Strip the currency, ``%``, commas and a plus sign; keep the minus sign."""
     text = _dash_to_null(_col(c))
     text = F.replace(text, F.lit("EGP"), F.lit(""))
-    text = F.trim(F.translate(text, "%," + NARROW_SPACE, ""))
-    return try_double(F.translate(text, MINUS_SIGN, "-"))
+    return try_double(F.translate(text, MINUS_SIGN + "%," + NARROW_SPACE, "-"))
 
 
 def change_percent(c: Column | str) -> Column:

@@ -212,7 +212,7 @@ def derive_index(
 
 def snapshot_ticker(symbol: Column) -> Column:
     """The first word of the symbol cell in upper case, null when blank."""
-    word = F.upper(F.split(F.trim(symbol), r"\s+").getItem(0))
+    word = F.upper(F.split(F.trim(symbol), r"\s+", 2).getItem(0))
     return F.when(word != "", word)
 
 
@@ -254,7 +254,11 @@ def append_market_stats(
     alike in all of them are stored as often as they come.
     """
     stamp = created_at if isinstance(created_at, Column) else F.lit(created_at)
-    loaded = load_market_stats(rows, company, snapshot).withColumn("created_at", stamp)
+    # Stored, because numbering reads the rows twice and their text is dear to clean.
+    spark, parsed = rows.sparkSession, scratch_path(rows.sparkSession, "market-stats")
+    cleaned = load_market_stats(rows, company, snapshot)
+    cleaned.write.parquet(parsed)
+    loaded = spark.read.schema(cleaned.schema).parquet(parsed).withColumn("created_at", stamp)
     first = ["snapshot_datetime", "company_id"]
     order = first + [c for c in loaded.columns if c not in first]
     return append_batch(path, batch_id, loaded, schemas.MARKET_STAT, "stat_id", order)

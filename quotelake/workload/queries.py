@@ -501,7 +501,11 @@ def price_table_runs(spark, sf):
 def _snapshot_rows(spark, sf):
     kind = inputs.priority_kind()
     total = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    return inputs.table(spark, sf, "orders").select(
+    # Few row groups would mean few tasks for the cleaning of the text.
+    narrow = inputs.table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"
+    )
+    return narrow.repartition("o_orderkey").select(
         F.concat(
             F.lit(" p"), F.col("o_custkey").cast("string"), F.lit(" Some Company")
         ).alias("Symbol"),

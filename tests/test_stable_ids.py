@@ -130,3 +130,28 @@ def test_ids_over_several_columns_follow_their_order(spark):
     numbered = stable_ids.continue_ids(rows, ["a", "b"], "n", known).orderBy("n").collect()
     assert [r["n"] for r in numbered] == list(range(11, 1011))
     assert [(r["a"], r["b"]) for r in numbered] == sorted((r["a"], r["b"]) for r in numbered)
+
+
+def test_market_statistics_are_cleaned_once_a_batch(spark, tmp_path):
+    """Cutting the rows into ranges reads them twice; their text is cleaned before that."""
+    names = ["Symbol", "Price", "Change %", "Volume", "Rel Volume", "Market cap", "P/E",
+             "EPS dil TTM", "EPS dil growth TTM YoY", "Div yield % TTM", "Sector",
+             "Analyst Rating"]
+    read = spark.sparkContext.accumulator(0)
+
+    def count(source):
+        for batch in source:
+            read.add(batch.num_rows)
+            yield batch
+
+    row = ["a Company", "1.5", "−1%", "2K", "1", "3 M", "-", "1", "1", "1", "x", None]
+    wanted = ", ".join(f"`{n}` string" for n in names)
+    rows = spark.createDataFrame([row] * 40, wanted).mapInArrow(count, wanted)
+    company = spark.createDataFrame([("A", 7)], "symbol string, company_id int")
+    company = F.broadcast(company)
+    table = loaders.append_market_stats(str(tmp_path / "t"), 1, rows, company, NOW, NOW)
+    assert read.value == 40
+    got = table.orderBy("stat_id").collect()
+    assert [r.stat_id for r in got] == list(range(1, 41))
+    assert {(r.company_id, float(r.price), r.volume, r.market_cap) for r in got} == {
+        (7, 1.5, 2000, 3000000)}

@@ -79,3 +79,15 @@ def test_scraped_value(spark):
 def test_names(spark):
     assert parse(spark, text.location_key, [" Cairo, New-City. "]) == ["CAIRO  NEW CITY"]
     assert parse(spark, text.not_blank, ["", "  ", "a", None]) == [False, False, True, False]
+
+
+def test_generated_code_of_volumes_is_short_enough_to_be_compiled(spark):
+    """The virtual machine never compiles a method of more than 8,000 bytes."""
+    cells = [F.concat(F.col("id").cast("string"), F.lit(f" M{i}")) for i in range(5)]
+    plan = spark.range(9).select(*[text.parse_volume(c) for c in cells])
+    debug = spark.sparkContext._jvm.java.lang.Class.forName(
+        "org.apache.spark.sql.execution.debug.package$"
+    ).getField("MODULE$").get(None)
+    parts = debug.codegenStringSeq(plan._jdf.queryExecution().executedPlan())
+    sizes = [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+    assert 0 < max(sizes) < 8000
