@@ -28,31 +28,31 @@ def envelope(
     )
 
 
+def _member(name: str) -> Column:
+    """A member of the raw object as text; a name may hold any signs."""
+    path = f"$['{name}']" if "." in name or "[" in name else f"$.{name}"
+    return F.try_variant_get("raw", path, "string")
+
+
 def members(
     rows: DataFrame, names: Sequence[str], keep: Sequence[str] = (), also: dict[str, str] | None = None
 ) -> DataFrame:
     """Members of the raw object as text columns, null when absent.
 
-    All are read in one pass over the object; the caller casts the text. ``also``
-    names a second spelling of a member, read where the first is missing. The
-    members come out of a generator, so a filter on them is not moved below it,
-    where the object would be read a second time.
+    The caller casts the text. ``also`` names a second spelling of a member, read
+    where the first is missing. Each member is looked up by its name: building an
+    object of all of them in between costs several times as much, more than a
+    filter that Spark moves down to the object and that looks its member up again.
     """
-    second = [(name, other) for name, other in (also or {}).items()]
-    kind = "struct<" + ",".join(f"`{name}`:string" for name in names) + ">"
-    read = rows.select(
-        *keep,
-        *[
-            F.try_variant_get("raw", f"$.{other}", "string").alias(f"_also_{name}")
-            for name, other in second
-        ],
-        F.inline(F.array(F.try_variant_get("raw", "$", kind))),
-    )
-    spelled = dict(second)
-    return read.select(
+    second = also or {}
+    return rows.select(
         *keep,
         *[
-            F.coalesce(name, f"_also_{name}").alias(name) if name in spelled else F.col(name)
+            (
+                F.coalesce(_member(name), _member(second[name]))
+                if name in second
+                else _member(name)
+            ).alias(name)
             for name in names
         ],
     )

@@ -140,6 +140,20 @@ def test_missing_cells_stay_as_null_members(spark):
     assert raw == '{"x":"a","y":null}'
 
 
+def test_members_are_looked_up_without_a_generator(spark):
+    rows = spark.sql(
+        """SELECT 1 AS k, parse_json('{"a":"x","b":1.50,"p.q":{"c":null},"B":"s","it''s":"?"}') AS raw
+        UNION ALL SELECT 2, parse_json('{"a":null,"B":"s"}')
+        UNION ALL SELECT 3, parse_json('[1]') UNION ALL SELECT 4, parse_json('null')
+        UNION ALL SELECT 5, CAST(NULL AS VARIANT)"""
+    )
+    got = bronze.members(rows, ["a", "b", "p.q", "it's", "none"], ["k"], {"b": "B"})
+    nothing = [(k, *[None] * 5) for k in (3, 4, 5)]
+    assert sorted(map(tuple, got.collect())) == [
+        (1, "x", "1.5", '{"c":null}', "?", None), (2, None, "s", None, None, None), *nothing]
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_recent_files_and_routes(spark, landing):
     old = write(landing, "TVH/old.csv", "date,close\n")
     os.utime(old, (0, 0))
