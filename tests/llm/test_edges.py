@@ -2,6 +2,8 @@
 
 import base64
 import math
+import os
+import random
 
 import numpy as np
 import public_tokenizers
@@ -396,6 +398,45 @@ def test_lm_scores_equal_the_definition(spark):
     assert none[0].score == pytest.approx(4 * 8 * math.log10(0.5))
 
 
+def test_lm_scores_equal_the_definition_below_the_roots_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "BLOCK", 40)  # chunks of several blocks
+    monkeypatch.setattr(lm_scoring, "PRICED", 30)
+    train = ["the cat sat on the mat", "the cat sat on the hat", "", None, "été 🦊 the cat"] * 3
+    rows = [(i, t) for i, t in enumerate(train)] + [(50, "the hat sat on the cat"), (51, "zebra")]
+    out = lm_scoring.score_texts(
+        docs(spark, *rows), F.col("doc_id") < 50, depth=5, least_chunks=2
+    ).collect()
+    words = [lm_scoring.text_words(t) for t in train]
+    assert len(out) == len(rows)
+    for r, t in zip(sorted(out, key=lambda r: r.doc_id), [t for _, t in rows]):
+        assert r.score == pytest.approx(brute_ctw(words, lm_scoring.text_words(t), 5))
+
+
+def test_lm_estimates_of_large_counts_equal_those_of_small_ones():
+    zeros, ones = np.array([0, 1, 4095, 4096, 70_000]), np.array([0, 5000, 4096, 0, 3])
+    for a, b, found in zip(zeros, ones, lm_scoring._Estimate()(zeros, ones)):
+        exact = math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1)
+        assert found == pytest.approx(exact - math.log(math.pi), abs=1e-9)
+
+
+def test_lm_stages_less_than_twice_its_texts(spark, monkeypatch):
+    paths = []
+
+    def kept(df, name, *partitions, stage=lm_scoring.staged):
+        out = stage(df, name, *partitions)
+        paths.extend(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(lm_scoring, "staged", kept)
+    draw = random.Random(5)
+    names = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(4000)]
+    rows = [(i, " ".join(draw.choices(names, k=1500))) for i in range(100)]
+    out = lm_scoring.score_texts(docs(spark, *rows), F.col("doc_id") % 5 > 0, least_chunks=4)
+    assert out.where("score < 0").count() == len(rows)
+    staged_bytes = sum(os.path.getsize(p.removeprefix("file://")) for p in paths)
+    assert staged_bytes < 2 * sum(len(t) for _, t in rows)
+
+
 HELPERS = ("d", "t", "dropped", "lines", "ends", "text", "words", "n_words", "_text")
 
 
